@@ -1,0 +1,8 @@
+"""Streaming.
+
+The study this library re-expresses is a batch pipeline: it has no streams,
+watermarks, windows over event time or stateful operators. Nothing is built
+here on purpose; every operator in ``cohortlab.operators`` is a plain
+DataFrame transformation and can be applied inside ``foreachBatch`` of a
+Structured Streaming query unchanged if notes ever arrive as a stream.
+"""
