@@ -116,8 +116,9 @@ def labeled_points_sparse(long: DataFrame, labels: DataFrame, dictionary: DataFr
     per = pairs.groupBy(pid).agg(F.sort_array(F.collect_list(F.struct("index", "_v"))).alias("_p"))
     per = per.select(pid, F.col("_p.index").alias("indices"), F.col("_p._v").alias("values"))
     j = per.join(labels.select(pid, F.col(label).cast("double").alias("label")), pid, "inner")
-    return j.select(pid, "label", size.alias("size"), "indices", "values",
-                    array_to_vector(_scatter(F.col("indices"), F.col("values"), size)).alias("features"))
+    j = j.select(pid, "label", size.alias("size"), "indices", "values")
+    return j.withColumn("features", array_to_vector(
+        _scatter(F.col("indices"), F.col("values"), F.col("size"))))
 
 
 def mean_vector_by_key(df: DataFrame, key: str | Sequence[str], vec: str, *,

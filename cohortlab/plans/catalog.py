@@ -290,3 +290,207 @@ def q_cohort_labels(spark, d):
     c = Tables(spark, d).cohort()
     labels = [op.cohort.label_expr(k).alias(f"label_{k}") for k in op.cohort.LABEL_KINDS]
     return normalise(c.select("pid", "stay", "is_male", "age", *labels))
+
+
+# =================================================================== text
+@query("clean_text", O.sql(f"SELECT doc_id, {O.clean_sql('text')} AS text FROM documents"))
+def q_clean_text(spark, d):
+    from ..functions.textcols import clean_text
+    return Tables(spark, d).documents().select("doc_id", clean_text("text").alias("text"))
+
+
+O.cte("doc_tok", f"SELECT doc_id, {O.tokens_sql('text')} AS tokens FROM documents")
+
+
+def _doc_tokens(spark, d) -> DataFrame:
+    return op.tokenize(Tables(spark, d).documents().select("doc_id", "text"))
+
+
+@query("tokenize", O.sql(
+    "SELECT doc_id, array_to_string(tokens, ' ') AS tokens, CAST(len(tokens) AS BIGINT) AS n_tokens "
+    "FROM doc_tok", "doc_tok"))
+def q_tokenize(spark, d):
+    t = _doc_tokens(spark, d)
+    return t.select("doc_id", F.array_join("tokens", " ").alias("tokens"),
+                    F.size("tokens").cast("bigint").alias("n_tokens"))
+
+
+@query("vocabulary", O.sql(
+    "SELECT term, count(*) AS n FROM (SELECT unnest(tokens) AS term FROM doc_tok) GROUP BY term", "doc_tok"))
+def q_vocabulary(spark, d):
+    return op.vocabulary(_doc_tokens(spark, d))
+
+
+@query("term_counts", O.sql(
+    "SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS term FROM doc_tok) "
+    "GROUP BY doc_id, term", "doc_tok"))
+def q_term_counts(spark, d):
+    return op.term_counts(_doc_tokens(spark, d), doc="doc_id")
+
+
+@query("doc_index", O.sql(
+    "SELECT pid, note_id, row_number() OVER (ORDER BY pid, ts, note_id) - 1 AS idx FROM inep", "inep"))
+def q_doc_index(spark, d):
+    t = Tables(spark, d)
+    inep = op.notes_in_episode(t.cohort(), t.notes(with_text=False)).select("pid", "ts", "note_id")
+    return op.dense_index(inep, ["pid", "ts", "note_id"]).select("pid", "note_id", "idx")
+
+
+_NORM_FULL = ("regexp_replace(array_to_string(list_filter(string_split(replace(replace(text, '\"\"', ' '), "
+              "'  ', ' '), chr(10)), lambda l: NOT regexp_full_match(l, '[ \\t\\r\\f\\x0B]*')), chr(10)), "
+              "'\\r?\\n', ' ', 'g')")
+
+
+@query("normalize_quoted_text", O.sql(f"SELECT doc_id, replace({_NORM_FULL}, ',', ';') AS text FROM documents"))
+def q_normalize_quoted_text(spark, d):
+    from ..sources.normalize import normalize_quoted_text
+    return normalize_quoted_text(Tables(spark, d).documents().select("doc_id", "text"), "text")
+
+
+@query("normalize_quoted_text_light", O.sql(
+    "SELECT doc_id, replace(replace(text, '\"\"', ' '), ',', ';') AS text FROM documents"))
+def q_normalize_quoted_text_light(spark, d):
+    from ..sources.normalize import normalize_quoted_text_light
+    return normalize_quoted_text_light(Tables(spark, d).documents().select("doc_id", "text"), "text")
+
+
+@query("csv_roundtrip", ORACLE["load_subjects"])
+def q_csv_roundtrip(spark, d):
+    """Subjects written as a raw CSV export (text columns, header) to the
+    shared scratch folder, read back with the CSV source and loaded."""
+    from ..session import scratch_path
+    from ..sources.csv_io import read_csv_table, write_csv_table
+    s = fx.subject(spark, d)
+    raw = s.select(F.col("pid").cast("string").alias("SUBJECT_ID"), F.col("gender").alias("GENDER"),
+                   ts_text("dob").alias("DOB"), F.coalesce(ts_text("dod"), F.lit("")).alias("DOD"),
+                   F.col("expire_flag").cast("string").alias("EXPIRE_FLAG"))
+    path = scratch_path(spark, "csv_roundtrip")
+    write_csv_table(raw, path)
+    back = read_csv_table(spark, path, "PATIENTS")
+    subj = ld.load_subjects(back)
+    return normalise(subj.withColumn("pid", F.col("pid").cast("bigint")))
+
+
+@query("text_sink_roundtrip", O.sql(
+    "SELECT CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || c_mktsegment AS value FROM customer"))
+def q_text_sink_roundtrip(spark, d):
+    from ..session import scratch_path
+    from ..sources.csv_io import write_text
+    c = fx.table(spark, d, "customer")
+    path = scratch_path(spark, "text_sink")
+    write_text(c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")
+                        .alias("value")), path)
+    return spark.read.text(path)
+
+
+# =================================================================== features
+_BL = ("SELECT c.pid, c.age / CAST(89.0 AS DOUBLE) AS a, CAST(c.is_male AS DOUBLE) AS s, "
+       "sc.score / CAST(163.0 AS DOUBLE) AS sc FROM {src} c JOIN scr sc "
+       "ON c.pid = sc.pid AND c.hadm = sc.hadm AND c.stay = sc.stay")
+O.cte("bl", _BL.format(src="cohort"), "cohort", "scr")
+O.cte(f"bl_{HOURS_PROBE}", _BL.format(src=f"present_{HOURS_PROBE}"), f"present_{HOURS_PROBE}", "scr")
+_LONG = ("SELECT pid, 'patient_age' AS feature, a AS value FROM {t} UNION ALL "
+         "SELECT pid, 'patient_sex', s FROM {t} UNION ALL SELECT pid, 'saps_score', sc FROM {t}")
+_WIDE = ("SELECT pid, CAST(0 AS BIGINT) AS idx, a AS value FROM {t} UNION ALL "
+         "SELECT pid, 1, s FROM {t} UNION ALL SELECT pid, 2, sc FROM {t}")
+
+
+@query("baseline_features_long", O.sql(_LONG.format(t="bl"), "bl"))
+def q_baseline_features_long(spark, d):
+    t = Tables(spark, d)
+    return op.baseline_features_long(t.cohort(), t.scores())
+
+
+@query("baseline_features_at_hours", O.sql(_LONG.format(t=f"bl_{HOURS_PROBE}"), f"bl_{HOURS_PROBE}"))
+def q_baseline_features_at_hours(spark, d):
+    t = Tables(spark, d)
+    c = t.cohort()
+    return op.baseline_features_long(c, t.scores(), t.note_cohort(c)["first"], HOURS_PROBE)
+
+
+@query("baseline_features_wide", O.sql(_WIDE.format(t="bl"), "bl"))
+def q_baseline_features_wide(spark, d):
+    t = Tables(spark, d)
+    return op.array_to_long(op.baseline_features_wide(t.cohort(), t.scores()), ["pid"], "features")
+
+
+@query("baseline_wide_at_hours", O.sql(_WIDE.format(t=f"bl_{HOURS_PROBE}"), f"bl_{HOURS_PROBE}"))
+def q_baseline_wide_at_hours(spark, d):
+    t = Tables(spark, d)
+    c = t.cohort()
+    w = op.baseline_features_wide(c, t.scores(), t.note_cohort(c)["first"], HOURS_PROBE)
+    return op.array_to_long(w, ["pid"], "features")
+
+
+O.cte("fv", "SELECT f.pid, f.flag_str, f.flags FROM flg f JOIN cohort c ON f.pid = c.pid AND f.hadm = c.hadm",
+      "flg", "cohort")
+
+
+@query("flag_vector", O.sql("SELECT pid, flag_str FROM fv", "fv"))
+def q_flag_vector(spark, d):
+    t = Tables(spark, d)
+    fv = op.flag_vector(t.flags(), t.cohort())
+    return fv.select("pid", F.array_join(F.transform("features", lambda x: x.cast("int").cast("string")),
+                                         "").alias("flag_str"))
+
+
+O.cte("derived", "SELECT pid, idx, value FROM (" + _WIDE.format(t="bl") + ") b "
+      "WHERE pid IN (SELECT pid FROM fv) UNION ALL "
+      "SELECT pid, CAST(i + 2 AS BIGINT) AS idx, flags[i] AS value FROM fv, range(1, 31) r(i) "
+      "WHERE pid IN (SELECT pid FROM bl)", "bl", "fv")
+
+
+def _derived(t: Tables) -> DataFrame:
+    c = t.cohort()
+    return op.derived_features(c, t.scores(), t.flags())
+
+
+@query("derived_features", O.sql("SELECT pid, idx, value FROM derived", "derived"))
+def q_derived_features(spark, d):
+    return op.array_to_long(_derived(Tables(spark, d)), ["pid"], "features")
+
+
+@query("labeled_points_dense", O.sql(
+    "SELECT x.pid, CAST(l.label_in_episode AS DOUBLE) AS label, x.idx, x.value "
+    "FROM derived x JOIN labels l ON x.pid = l.pid", "derived", "labels"))
+def q_labeled_points_dense(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    t = Tables(spark, d)
+    pts = op.labeled_points_dense(_derived(t), t.labels())
+    return op.array_to_long(pts.select("pid", "label", vector_to_array("features").alias("f")),
+                            ["pid", "label"], "f")
+
+
+O.cte("fdict", "SELECT name, CAST(row_number() OVER (ORDER BY name) - 1 AS BIGINT) AS \"index\" FROM "
+      "(SELECT DISTINCT lower(feature) AS name FROM (" + _LONG.format(t="bl") + "))", "bl")
+
+
+@query("feature_dictionary", O.sql("SELECT name, \"index\" FROM fdict", "fdict"))
+def q_feature_dictionary(spark, d):
+    t = Tables(spark, d)
+    fd = op.feature_dictionary(op.baseline_features_long(t.cohort(), t.scores()))
+    return fd.select("name", F.col("index").cast("bigint"))
+
+
+@query("labeled_points_sparse", O.sql(
+    "SELECT x.pid, CAST(l.label_in_episode AS DOUBLE) AS label, (SELECT CAST(count(*) AS BIGINT) FROM fdict) "
+    "AS size, fd.\"index\", x.value FROM (" + _LONG.format(t="bl") + ") x JOIN fdict fd ON lower(x.feature) = "
+    "fd.name JOIN labels l ON x.pid = l.pid", "bl", "fdict", "labels"))
+def q_labeled_points_sparse(spark, d):
+    t = Tables(spark, d)
+    pts = op.labeled_points_sparse(op.baseline_features_long(t.cohort(), t.scores()), t.labels())
+    z = pts.select("pid", "label", F.col("size").cast("bigint").alias("size"),
+                   F.explode(F.arrays_zip("indices", "values")).alias("z"))
+    return z.select("pid", "label", "size", F.col("z.indices").cast("bigint").alias("index"),
+                    F.col("z.values").alias("value"))
+
+
+@query("mean_vector_by_key", O.sql(
+    "SELECT label, CAST(i - 1 AS BIGINT) AS idx, round(avg(CAST(embedding[i] AS DOUBLE)), 6) AS mean "
+    "FROM embeddings, range(1, 1 + (SELECT max(len(embedding)) FROM embeddings)) r(i) "
+    "WHERE i <= len(embedding) GROUP BY label, i"))
+def q_mean_vector_by_key(spark, d):
+    e = fx.table(spark, d, "embeddings")
+    m = op.mean_vector_by_key(e, "label", "embedding")
+    out = op.array_to_long(m, ["label"], "mean", value="mean")
+    return normalise(out.select("label", "idx", F.round("mean", 6).alias("mean")))

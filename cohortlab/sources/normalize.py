@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import col_of
 
-_BLANK_LINE = r"^[ \t\r\f\x0B]*$"
+_BLANK_LINE = r"^[ \t\r\f\x0B]*\z"
 
 
 def normalized_text(c: str | Column, join_lines: bool = True, light: bool = False) -> Column:
