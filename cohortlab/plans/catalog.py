@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from .. import operators as op
 from ..constants import MIN_WORDS
+from ..functions.hashing import hash_threshold
 from ..functions.timecols import ts_text
 from ..sources import fixtures as fx
 from ..sources import loaders as ld
@@ -494,3 +495,216 @@ def q_mean_vector_by_key(spark, d):
     m = op.mean_vector_by_key(e, "label", "embedding")
     out = op.array_to_long(m, ["label"], "mean", value="mean")
     return normalise(out.select("label", "idx", F.round("mean", 6).alias("mean")))
+
+
+# =================================================================== metrics
+# Scores and labels for metric checks: lineitem discount as the score, a
+# returned item as the positive class (few distinct scores, many ties).
+def _scored_items(spark, d) -> DataFrame:
+    li = fx.table(spark, d, "lineitem")
+    return li.select(F.col("l_discount").alias("score"),
+                     F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"))
+
+
+O.cte("items", "SELECT l_discount AS score, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label FROM lineitem")
+THRESHOLD = 0.05
+
+
+def auc_sql(src: str, by: str | None = None) -> str:
+    """Exact AUC with tied scores (same arithmetic as ``auc_by_rank``)."""
+    g = f"{by}, " if by else ""
+    part = f"PARTITION BY {by} " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    return (f"SELECT {g}CASE WHEN sum(pos) = 0 OR sum(neg) = 0 THEN NULL ELSE "
+            f"sum(CAST(pos AS DOUBLE) * (CAST(below AS DOUBLE) + neg / 2.0)) / "
+            f"CAST(sum(pos) * sum(neg) AS DOUBLE) END AS auc, "
+            f"CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM ("
+            f"SELECT *, coalesce(sum(neg) OVER ({part}ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING "
+            f"AND 1 PRECEDING), 0) AS below FROM ("
+            f"SELECT {g}score, sum(CASE WHEN label > 0 THEN 1 ELSE 0 END) AS pos, "
+            f"sum(CASE WHEN label > 0 THEN 0 ELSE 1 END) AS neg FROM {src} WHERE score IS NOT NULL "
+            f"GROUP BY {g}score)) {grp}")
+
+
+def confusion_sql(src: str, threshold: float, by: str | None = None) -> str:
+    g = f"{by}, " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    pred = f"(CASE WHEN score > {threshold!r} THEN 1.0 ELSE 0.0 END)"
+    lab = "CAST(label AS DOUBLE)"
+    cnt = "CAST(coalesce(sum(CASE WHEN {} THEN 1 ELSE 0 END), 0) AS BIGINT)".format
+    return (f"SELECT {g}{cnt(f'{pred} = {lab} AND {lab} > 0')} AS tp, "
+            f"{cnt(f'{pred} <> {lab} AND NOT {lab} > 0')} AS fp, "
+            f"{cnt(f'{pred} = {lab} AND NOT {lab} > 0')} AS tn, "
+            f"{cnt(f'{pred} <> {lab} AND {lab} > 0')} AS fn FROM {src} {grp}")
+
+
+def metrics_sql(src: str, threshold: float) -> str:
+    def div(a, b):
+        return f"CASE WHEN ({b}) = 0 THEN NULL ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END"
+    return (f"SELECT tp + fp + tn + fn AS total, tp + fn AS positives, a.auc, "
+            f"{div('tp + tn', 'tp + fp + tn + fn')} AS accuracy, {div('tp', 'tp + fn')} AS sensitivity, "
+            f"{div('tn', 'fp + tn')} AS specificity FROM ({confusion_sql(src, threshold)}) c, "
+            f"({auc_sql(src)}) a")
+
+
+@query("confusion_counts", O.sql(confusion_sql("items", THRESHOLD), "items"))
+def q_confusion_counts(spark, d):
+    return op.confusion_counts(_scored_items(spark, d), threshold=THRESHOLD)
+
+
+@query("auc_by_rank", O.sql(auc_sql("items"), "items"))
+def q_auc_by_rank(spark, d):
+    return op.auc_by_rank(_scored_items(spark, d))
+
+
+@query("binary_metrics", O.sql(metrics_sql("items", THRESHOLD), "items"))
+def q_binary_metrics(spark, d):
+    return op.binary_metrics(_scored_items(spark, d), threshold=THRESHOLD)
+
+
+@query("label_balance", O.sql(
+    "SELECT count(*) AS n, CAST(coalesce(sum(label_in_episode), 0) AS BIGINT) AS positives FROM labels",
+    "labels"))
+def q_label_balance(spark, d):
+    return op.label_balance(Tables(spark, d).labels())
+
+
+@query("stage_counts", O.sql(
+    "SELECT 'subjects' AS stage, count(*) AS n FROM subj UNION ALL SELECT 'episodes', count(*) FROM ep "
+    "UNION ALL SELECT 'cohort', count(*) FROM cohort UNION ALL SELECT 'notes', count(*) FROM notes "
+    "UNION ALL SELECT 'notes_in_episode', count(*) FROM inep UNION ALL "
+    "SELECT 'note_subjects', count(*) FROM first UNION ALL SELECT 'kept_notes', count(*) FROM kept_notes "
+    "UNION ALL SELECT 'positives_in_episode', CAST(sum(label_in_episode) AS BIGINT) FROM labels",
+    "subj", "ep", "cohort", "notes", "inep", "first", "kept_notes", "labels"))
+def q_stage_counts(spark, d):
+    t = Tables(spark, d)
+    c = t.cohort()
+    nc = t.note_cohort(c)
+    counts = op.stage_counts({
+        "subjects": t.subjects(), "episodes": t.episodes(), "cohort": c, "notes": t.notes(),
+        "notes_in_episode": op.notes_in_episode(c, t.notes()), "note_subjects": nc["first"],
+        "kept_notes": nc["notes"]})
+    pos = op.label_balance(t.labels(c)).select(F.lit("positives_in_episode").alias("stage"),
+                                               F.col("positives").alias("n"))
+    return counts.unionByName(pos)
+
+
+def _linear(x: str) -> str:
+    w0, w1, w2 = FIXED_WEIGHTS
+    return (f"(((0.0::DOUBLE + {x}.a * CAST({w0!r} AS DOUBLE)) + {x}.s * CAST({w1!r} AS DOUBLE)) "
+            f"+ {x}.sc * CAST({w2!r} AS DOUBLE)) + CAST({FIXED_INTERCEPT!r} AS DOUBLE)")
+
+
+@query("linear_score", O.sql(f"SELECT b.pid, {_linear('b')} AS score FROM bl b", "bl"))
+def q_linear_score(spark, d):
+    from .models import linear_score
+    t = Tables(spark, d)
+    w = op.baseline_features_wide(t.cohort(), t.scores())
+    return linear_score(w, list(FIXED_WEIGHTS), FIXED_INTERCEPT).select("pid", "score")
+
+
+O.cte("test_subjects", f"SELECT pid FROM cohort WHERE {O.unit_hash_sql('pid', SEED)} >= "
+      f"{hash_threshold(0.7)}", "cohort")
+O.cte("sweep", f"""SELECT h.hour, b.pid, {_linear('b')} AS score, l.label_in_episode AS label
+FROM bl b JOIN labels l ON b.pid = l.pid JOIN test_subjects t ON b.pid = t.pid
+JOIN cohort c ON b.pid = c.pid LEFT JOIN first f ON b.pid = f.pid,
+range({SWEEP[0]}, {SWEEP[1] + 1}, {SWEEP[2]}) h(hour)
+WHERE h.hour <= 0 OR (f.first_ts IS NOT NULL
+  AND epoch_ms(c.out_ts) > epoch_ms(f.first_ts) + h.hour * 3600000
+  AND epoch_ms(c.dod) > epoch_ms(f.first_ts) + h.hour * 3600000)""",
+      "bl", "labels", "test_subjects", "cohort", "first")
+
+
+@query("hourly_auc_baseline", O.sql(
+    "SELECT a.hour, t.total, t.positives, a.auc FROM (" + auc_sql("sweep", "hour") + ") a JOIN "
+    "(SELECT hour, count(*) AS total, CAST(sum(label) AS BIGINT) AS positives FROM sweep GROUP BY hour) t "
+    "ON a.hour = t.hour", "sweep"))
+def q_hourly_auc_baseline(spark, d):
+    from .study import hourly_auc
+    t = Tables(spark, d)
+    c = t.cohort()
+    first = t.note_cohort(c)["first"]
+    _, test = op.split_hash(c.select("pid"), 0.7, SEED)
+    from .models import linear_score
+    feats = linear_score(op.baseline_features_wide(c, t.scores()), list(FIXED_WEIGHTS), FIXED_INTERCEPT)
+    scored = feats.join(test, "pid", "left_semi").join(t.labels(c), "pid")
+    res = hourly_auc(scored, c, first, hours=range(SWEEP[0], SWEEP[1] + 1, SWEEP[2]))
+    return res.select(F.col("hour").cast("bigint"), "total", "positives", "auc")
+
+
+# =================================================================== sampling
+def _split_sql(m_expr: str, seed: int) -> str:
+    return (f"SELECT pid, CASE WHEN rn <= ({m_expr}) THEN 'train' ELSE 'test' END AS part FROM ("
+            f"SELECT pid, row_number() OVER (ORDER BY {O.unit_hash_sql('pid', seed)}, pid) AS rn FROM cohort)")
+
+
+@query("split_exact", O.sql(_split_sql(
+    "SELECT CAST(floor(count(*) * CAST(0.7 AS DOUBLE)) AS BIGINT) FROM cohort", SEED), "cohort"))
+def q_split_exact(spark, d):
+    c = Tables(spark, d).cohort().select("pid")
+    tr, te = op.split_exact(c, 0.7, SEED)
+    return tr.withColumn("part", F.lit("train")).unionByName(te.withColumn("part", F.lit("test")))
+
+
+@query("split_hash", O.sql(
+    f"SELECT pid, CASE WHEN {O.unit_hash_sql('pid', SEED)} < "
+    f"{hash_threshold(0.7)} "
+    "THEN 'train' ELSE 'test' END AS part FROM cohort", "cohort"))
+def q_split_hash(spark, d):
+    c = Tables(spark, d).cohort().select("pid")
+    tr, te = op.split_hash(c, 0.7, SEED)
+    return tr.withColumn("part", F.lit("train")).unionByName(te.withColumn("part", F.lit("test")))
+
+
+O.cte("bal", """SELECT count(*) AS n, sum(label_in_episode) AS pos,
+  CAST(sum(label_in_episode) AS DOUBLE) / CAST(0.3 AS DOUBLE) * CAST(0.7 AS DOUBLE) AS wanted FROM labels""",
+      "labels")
+
+
+@query("rebalance_negatives", O.sql(
+    f"""SELECT pid, label FROM (
+  SELECT l.pid, CAST(l.label_in_episode AS BIGINT) AS label,
+    row_number() OVER (PARTITION BY l.label_in_episode ORDER BY {O.unit_hash_sql('l.pid', SEED)}, l.pid) AS rn
+  FROM labels l) x, bal
+WHERE CAST(bal.pos AS DOUBLE) / CAST(bal.n AS DOUBLE) >= 0.3 OR x.label = 1 OR x.rn <= CAST(floor(bal.wanted) AS BIGINT)""",
+    "labels", "bal"))
+def q_rebalance_negatives(spark, d):
+    lab = Tables(spark, d).labels()
+    return normalise(op.rebalance_negatives(lab, "label", exact=True, seed=SEED))
+
+
+@query("rebalance_negatives_hash", O.sql(
+    f"""SELECT pid, label FROM (
+  SELECT l.pid, CAST(l.label_in_episode AS BIGINT) AS label, {O.unit_hash_sql('l.pid', SEED)} AS h FROM labels l) x, bal
+WHERE CAST(bal.pos AS DOUBLE) / CAST(bal.n AS DOUBLE) >= 0.3 OR x.label = 1
+   OR x.h < CAST(floor(bal.wanted / CAST(bal.n - bal.pos AS DOUBLE) * 1152921504606846976.0) AS BIGINT)""",
+    "labels", "bal"))
+def q_rebalance_negatives_hash(spark, d):
+    lab = Tables(spark, d).labels()
+    return normalise(op.rebalance_negatives(lab, "label", exact=False, seed=SEED))
+
+
+@query("fold_assignment", O.sql(
+    f"SELECT pid, CAST({O.unit_hash_sql('pid', SEED)} % 5 AS BIGINT) AS fold FROM cohort", "cohort"))
+def q_fold_assignment(spark, d):
+    c = Tables(spark, d).cohort().select("pid")
+    return normalise(op.fold_assignment(c, 5, SEED))
+
+
+_SUB_LEFT = ("SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_mktsegment END AS seg, "
+             "c_nationkey AS nation FROM customer")
+
+
+@query("subtract_rows", O.sql(
+    "SELECT CAST(id AS BIGINT) AS id, seg, CAST(nation AS BIGINT) AS nation FROM l WHERE NOT EXISTS ("
+    "SELECT 1 FROM r WHERE l.id IS NOT DISTINCT FROM r.id AND l.seg IS NOT DISTINCT FROM r.seg "
+    "AND l.nation IS NOT DISTINCT FROM r.nation)",
+    extra=[("l", f"{_SUB_LEFT} UNION ALL {_SUB_LEFT}"), ("r", f"SELECT * FROM ({_SUB_LEFT}) WHERE nation < 5")]))
+def q_subtract_rows(spark, d):
+    c = fx.table(spark, d, "customer")
+    left1 = c.select(F.col("c_custkey").alias("id"),
+                     F.when(F.col("c_custkey") % 10 == 0, F.lit(None)).otherwise(F.col("c_mktsegment"))
+                     .alias("seg"), F.col("c_nationkey").alias("nation"))
+    left = left1.unionByName(left1)
+    right = left1.filter(F.col("nation") < 5)
+    return normalise(op.subtract_rows(left, right))
