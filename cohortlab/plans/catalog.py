@@ -708,3 +708,102 @@ def q_subtract_rows(spark, d):
     left = left1.unionByName(left1)
     right = left1.filter(F.col("nation") < 5)
     return normalise(op.subtract_rows(left, right))
+
+
+# =================================================================== models (rows-only)
+# Fits depend on solver internals and seeds, so these have no oracle. They run
+# on the whole cohort with small iteration counts and topic numbers.
+SMALL = dict(lda_k=5, lda_iterations=5, svm_iterations=10)
+
+
+def _study_inputs(spark, d):
+    from .study import StudyInputs
+    t = Tables(spark, d)
+    c = t.cohort()
+    nc = t.note_cohort(c)
+    subj = nc["subjects"].drop("first_ts")
+    labels = op.label_events(subj)
+    train, test = op.split_hash(subj.select("pid"), 0.7, SEED)
+    return StudyInputs(subj, nc["first"], nc["tokens"], t.scores(), t.flags(), labels, train, test), t
+
+
+def _cfg():
+    from .study import StudyConfig
+    return StudyConfig(svm_iterations=SMALL["svm_iterations"], lda_k=SMALL["lda_k"],
+                       lda_iterations=SMALL["lda_iterations"], seed=SEED,
+                       hours=range(SWEEP[0], SWEEP[1] + 1, SWEEP[2]),
+                       topic_hours=range(SWEEP[2], SWEEP[1] + 1, SWEEP[1] // 2))
+
+
+@query("topic_features")
+def q_topic_features(spark, d):
+    from .models import topic_features
+    inp, _ = _study_inputs(spark, d)
+    feats, _ = topic_features(inp.tokens, SMALL["lda_k"], SMALL["lda_iterations"], seed=SEED)
+    return op.array_to_long(feats, ["pid"], "features")
+
+
+@query("topic_top_terms")
+def q_topic_top_terms(spark, d):
+    from .models import fit_topics, topic_top_terms
+    inp, _ = _study_inputs(spark, d)
+    return topic_top_terms(fit_topics(inp.tokens, SMALL["lda_k"], SMALL["lda_iterations"], seed=SEED), 10)
+
+
+@query("svm_scores")
+def q_svm_scores(spark, d):
+    from .models import fit_svm
+    inp, t = _study_inputs(spark, d)
+    feats = op.derived_features(inp.cohort, inp.scores, inp.flags)
+    pts = op.labeled_points_dense(feats, inp.labels).persist()
+    model = fit_svm(pts, SMALL["svm_iterations"], 100.0, True)
+    return model.score(pts).select("pid", "label", "score")
+
+
+@query("cv_grid")
+def q_cv_grid(spark, d):
+    from .models import cv_grid
+    inp, _ = _study_inputs(spark, d)
+    pts = op.labeled_points_dense(op.derived_features(inp.cohort, inp.scores, inp.flags), inp.labels)
+    grid = {"intercept": [True], "iterations": [5, 10], "reg": [10.0]}
+    train = pts.join(inp.train, "pid", "left_semi").persist()
+    out, _ = cv_grid(train, grid, 2, seed=SEED)
+    return out
+
+
+@query("hourly_auc_fitted")
+def q_hourly_auc_fitted(spark, d):
+    from .study import baseline_model
+    inp, _ = _study_inputs(spark, d)
+    out, _ = baseline_model(inp, _cfg())
+    return out
+
+
+@query("retrospective_topic_model")
+def q_retrospective_topic_model(spark, d):
+    from .study import retrospective_topic_model
+    inp, _ = _study_inputs(spark, d)
+    return retrospective_topic_model(inp, _cfg())
+
+
+@query("hourly_topic_model")
+def q_hourly_topic_model(spark, d):
+    from .study import hourly_topic_model
+    inp, _ = _study_inputs(spark, d)
+    return hourly_topic_model(inp, _cfg())
+
+
+@query("derived_model")
+def q_derived_model(spark, d):
+    from .study import derived_model
+    inp, _ = _study_inputs(spark, d)
+    return derived_model(inp, _cfg())
+
+
+@query("study_summary")
+def q_study_summary(spark, d):
+    from .study import build_inputs, run_study, study_summary
+    t = Tables(spark, d)
+    notes = fx.attach_text(spark, d, t.notes(with_text=False))
+    inputs = build_inputs(spark, t.subjects(), t.episodes(), notes, t.scores(), t.flags(), seed=SEED)
+    return study_summary(run_study(inputs, _cfg(), topic_sweep=False))

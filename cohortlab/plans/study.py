@@ -86,9 +86,23 @@ def _restrict(df: DataFrame, subjects: DataFrame, pid: str = "pid") -> DataFrame
     return df.join(subjects.select(pid), pid, "left_semi")
 
 
+# Training rows per partition for iterative fits: every solver iteration is
+# one Spark job over the points, so tiny inputs are packed into few tasks
+# while large ones keep one task per this many rows.
+ROWS_PER_FIT_PARTITION = 1_000_000
+
+
+def fit_ready(points: DataFrame) -> DataFrame:
+    """Persist labelled points once (solvers iterate over them) and pack
+    them into ceil(rows / ROWS_PER_FIT_PARTITION) partitions."""
+    p = points.persist()
+    n = p.count()
+    parts = max(1, -(-n // ROWS_PER_FIT_PARTITION))
+    return p.coalesce(parts) if parts < p.rdd.getNumPartitions() else p
+
+
 def _points_with_ids(features: DataFrame, labels: DataFrame) -> DataFrame:
-    return op.labeled_points_dense(features, labels).coalesce(
-        max(1, features.sparkSession.sparkContext.defaultParallelism))
+    return fit_ready(op.labeled_points_dense(features, labels))
 
 
 def baseline_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()) -> tuple[DataFrame, LinearModel]:
@@ -97,7 +111,7 @@ def baseline_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()) -> tuple[
     train_c = _restrict(inp.cohort, inp.train)
     long_train = op.baseline_features_long(train_c, inp.scores)
     dictionary = op.feature_dictionary(long_train)
-    pts = op.labeled_points_sparse(long_train, inp.labels, dictionary).persist()
+    pts = fit_ready(op.labeled_points_sparse(long_train, inp.labels, dictionary))
     model = fit_svm(pts, cfg.svm_iterations, cfg.baseline_reg, cfg.intercept, solver=cfg.solver)
     train_m = op.binary_metrics(model.score(pts), threshold=cfg.threshold)
     test_c = _restrict(inp.cohort, inp.test)
@@ -118,7 +132,6 @@ def retrospective_topic_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()
     """EXP-3: LDA on all in-episode notes, SVM on train subjects, metrics on
     train and test."""
     pts, _ = _topic_points(inp.tokens, inp.labels, cfg)
-    pts = pts.persist()
     train, test = _restrict(pts, inp.train), _restrict(pts, inp.test)
     model = fit_svm(train, cfg.svm_iterations, cfg.topic_reg, cfg.intercept, solver=cfg.solver)
     return _train_test_metrics(model, train, test, cfg)
@@ -145,7 +158,6 @@ def hourly_topic_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()) -> Da
         tr_h = op.events_within_hours(tok_train, inp.first, h)
         te_h = op.events_within_hours(tok_test, inp.first, h)
         tr_pts, topic_model = _topic_points(tr_h, inp.labels, cfg)
-        tr_pts = tr_pts.persist()
         te_pts, _ = _topic_points(te_h, inp.labels, cfg,
                                   model=None if cfg.refit_test_topics else topic_model)
         model = fit_svm(tr_pts, cfg.svm_iterations, cfg.topic_reg, cfg.intercept, solver=cfg.solver)
@@ -160,7 +172,7 @@ def derived_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig(), *,
     are chosen by k-fold mean AUC on the train subjects first."""
     from .models import cv_grid
     feats = op.derived_features(inp.cohort, inp.scores, inp.flags)
-    pts = _points_with_ids(feats, inp.labels).persist()
+    pts = _points_with_ids(feats, inp.labels)
     train, test = _restrict(pts, inp.train), _restrict(pts, inp.test)
     iters, reg, icpt = cfg.svm_iterations, cfg.derived_reg, cfg.intercept
     if grid:
