@@ -63,18 +63,28 @@ def _kth_smallest(hashed: DataFrame, key: str, m: int, h: str = "_h"):
             return row[h], row[key]
 
 
-def take_smallest(df: DataFrame, m: int, seed: int = 0, *, key: str = "pid",
-                  n: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(first m rows by (hash, key), the rest). ``key`` must be unique."""
-    hashed = with_hash(df, key, seed)
-    if n is None:
-        n = df.count()
-    m = max(0, min(int(m), n))
-    if m == 0:
-        return df.limit(0), df
-    if m == n:
-        return df, df.limit(0)
-    hk, kk = _kth_smallest(hashed, key, m)
+def take_smallest(df: DataFrame, m: int | None = None, seed: int = 0, *, key: str = "pid",
+                  p: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the m rows with the smallest (hash, key), the rest); with ``p``
+    instead of ``m``, m = int(count * p). ``key`` must be unique.
+
+    The search runs on a persisted (key, hash) projection (a few small
+    actions), which is released before returning; the two parts are lazy
+    filters on ``df`` itself.
+    """
+    keys = df.select(key).withColumn("_h", unit_hash(key, seed)).persist()
+    try:
+        n = keys.count()
+        if m is None:
+            m = int(n * p)
+        m = max(0, min(int(m), n))
+        if m == 0:
+            return df.limit(0), df
+        if m == n:
+            return df, df.limit(0)
+        hk, kk = _kth_smallest(keys, key, m)
+    finally:
+        keys.unpersist()
     h = unit_hash(key, seed)
     inside = (h < F.lit(hk)) | ((h == F.lit(hk)) & (F.col(key) <= F.lit(kk)))
     return df.filter(inside), df.filter(~inside)
@@ -84,8 +94,7 @@ def split_exact(df: DataFrame, p: float = TRAIN_PROPORTION, seed: int = 0, *,
                 key: str = "pid") -> tuple[DataFrame, DataFrame]:
     """Exact split: int(count * p) rows for the first part, the rest for the
     second. (The proportion is honoured; the study hard-coded 0.7 here.)"""
-    n = df.count()
-    return take_smallest(df, int(n * p), seed, key=key, n=n)
+    return take_smallest(df, None, seed, key=key, p=p)
 
 
 def split_subjects(df: DataFrame, p: float = TRAIN_PROPORTION, seed: int = 0, *,
@@ -120,7 +129,7 @@ def rebalance_negatives(df: DataFrame, label: str = "label", *, key: str = "pid"
     posdf = df.filter(F.col(label) == 1)
     neg = df.filter(F.col(label) == 0)
     if exact:
-        sample, _ = take_smallest(neg, int(wanted), seed, key=key, n=n - pos)
+        sample, _ = take_smallest(neg, int(wanted), seed, key=key)
     else:
         frac = wanted / (n - pos)
         sample = neg.filter(unit_hash(key, seed) < F.lit(hash_threshold(frac)))

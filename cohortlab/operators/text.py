@@ -65,10 +65,23 @@ def min_word_subjects(tok: DataFrame, min_words: int = MIN_WORDS, *, pid: str =
     return words_per_subject(tok, pid=pid, tokens=tokens, out=out).filter(F.col(out) >= min_words)
 
 
+def explode_tokens(tok: DataFrame, keys: Sequence[str], tokens: str = "tokens",
+                   term: str = "term") -> DataFrame:
+    """One row per token occurrence.
+
+    ``explode_outer`` + a NULL filter instead of ``explode``: for an inner
+    explode the optimizer infers ``size(tokens) > 0`` and pushes it below
+    projections and exchanges, which evaluates the whole tokenization
+    expression a second time. Tokens are never NULL, so the rows are the same.
+    """
+    return (tok.select(*keys, F.explode_outer(tokens).alias(term))
+            .filter(F.col(term).isNotNull()))
+
+
 def vocabulary(tok: DataFrame, *, tokens: str = "tokens", term: str = "term",
                out: str = "n") -> DataFrame:
     """Distinct terms with their total counts."""
-    return (tok.select(F.explode(tokens).alias(term)).groupBy(term)
+    return (explode_tokens(tok, [], tokens, term).groupBy(term)
             .agg(F.count(F.lit(1)).alias(out)))
 
 
@@ -76,7 +89,7 @@ def term_counts(tok: DataFrame, *, doc: str | Sequence[str] = "doc_id", tokens:
                 term: str = "term", out: str = "n") -> DataFrame:
     """(doc, term, count) for every term of every document."""
     keys = [doc] if isinstance(doc, str) else list(doc)
-    return (tok.select(*keys, F.explode(tokens).alias(term)).groupBy(*keys, term)
+    return (explode_tokens(tok, keys, tokens, term).groupBy(*keys, term)
             .agg(F.count(F.lit(1)).alias(out)))
 
 

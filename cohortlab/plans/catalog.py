@@ -85,7 +85,7 @@ class Tables:
                               score_cols=["score"])
 
     def flags(self) -> DataFrame:
-        wide = ld.flags_from_long(fx.flags(self.spark, self.dir))
+        wide = fx.flags_wide(self.spark, self.dir)
         return ld.load_flags(wide, pid="pid", hadm="hadm", flag_cols=[f"f{i}" for i in range(30)])
 
     def cohort(self) -> DataFrame:
@@ -105,7 +105,8 @@ class Tables:
         return op.label_events(cohort if cohort is not None else self.cohort(), kind)
 
     def documents(self) -> DataFrame:
-        return fx.table(self.spark, self.dir, "documents")
+        """Documents, spread over the cores when the scan is a single split."""
+        return fx.spread_scan(fx.table(self.spark, self.dir, "documents"))
 
 
 # =================================================================== sources

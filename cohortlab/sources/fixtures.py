@@ -27,6 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than the session has
+    cores (e.g. one file with one row group) before CPU-heavy per-row work.
+    Large inputs arrive as many splits and are returned untouched, so this
+    never adds a shuffle at scale. Only call it on a plain scan: counting the
+    partitions of a scan plans it without running a job."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 def _days(n) -> F.Column:
     return F.make_dt_interval(n.cast("int"))
 
@@ -101,6 +111,20 @@ def score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _flag_rule(h: F.Column, i: F.Column) -> F.Column:
+    return (F.when(h % 11 == 0, F.lit(None).cast("int"))
+             .when((h * (i + 3) + i) % 7 == 0, 1).otherwise(0))
+
+
+def flags_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same flags as ``flags`` in the export's wide layout (pid, hadm,
+    f0..f29), computed row by row from orders: no explode, no pivot."""
+    o = table(spark, sf_dir, "orders")
+    h = F.col("o_orderkey")
+    return o.select(F.col("o_custkey").alias("pid"), h.alias("hadm"),
+                    *[_flag_rule(h, F.lit(i)).alias(f"f{i}") for i in range(30)])
+
+
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form: pid, hadm, flag_no 0..29, flag (NULL for some admissions).
     Thirty rows per order come from exploding a fixed sequence."""
@@ -108,7 +132,4 @@ def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     long = o.select(F.col("o_custkey").alias("pid"), k.alias("hadm"),
                     F.explode(F.sequence(F.lit(0), F.lit(29))).alias("flag_no"))
-    i, h = F.col("flag_no"), F.col("hadm")
-    return long.withColumn(
-        "flag", F.when(h % 11 == 0, F.lit(None).cast("int"))
-                 .when((h * (i + 3) + i) % 7 == 0, 1).otherwise(0))
+    return long.withColumn("flag", _flag_rule(F.col("hadm"), F.col("flag_no")))

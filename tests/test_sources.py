@@ -80,3 +80,12 @@ def test_normalize_quoted_text(spark):
     assert light == 'a  q  b;c\r\n   \nd    e\r\n\nlast\r'
     kept = normalize_quoted_text(df, "t", join_lines=False).first()["t"]
     assert kept == "a q b;c\r\nd  e\r\nlast\r"
+
+
+def test_flags_from_long_matches_wide_fixture(spark, sf_dir):
+    from cohortlab.sources import fixtures as fx
+    from cohortlab.sources.loaders import flags_from_long
+    cols = [f"f{i}" for i in range(30)]
+    a = load_flags(flags_from_long(fx.flags(spark, sf_dir)), pid="pid", hadm="hadm", flag_cols=cols)
+    b = load_flags(fx.flags_wide(spark, sf_dir), pid="pid", hadm="hadm", flag_cols=cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
