@@ -9,19 +9,19 @@ which equals the trapezoid area under the ROC curve with ties (what
 report). neg_below is a prefix sum over the score order; computing it with
 one window over all scores would put every distinct score in one task. So
 rows are first collapsed per distinct score (map-side combine), the scores
-are cut into quantile buckets (the cut points are the only values that reach
-the driver), bucket totals give each bucket's offset, and the prefix sum runs
-per (group, bucket) in parallel.
+are cut into quantile buckets (``percentile_approx`` per group, one row of
+cut points each), bucket totals give each bucket's offset, and the prefix sum
+runs per (group, bucket) in parallel. Nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..sources.loaders import table_counts
 from .sampling import label_balance  # noqa: F401  (re-exported)
 
@@ -46,44 +46,77 @@ def prediction(score: str, threshold: float | None) -> Column:
     return F.when(F.col(score) > F.lit(float(threshold)), 1.0).otherwise(0.0)
 
 
-def confusion_counts(df: DataFrame, score: str = "score", label: str = "label", *,
-                     threshold: float | None = 0.0, by: str | Sequence[str] | None = None) -> DataFrame:
-    """tp, fp, tn, fn (bigint). A row is correct when prediction == label and
-    positive when label > 0."""
+def per_score_counts(df: DataFrame, score: str = "score", label: str = "label", *,
+                     by: str | Sequence[str] | None = None, checkpoint: bool = False) -> DataFrame:
+    """(by..., score, _pos, _neg): rows collapsed per distinct score.
+
+    Every metric below is computed from this one aggregate (partial
+    aggregation before the shuffle), so the input is read once even when
+    confusion counts and AUC are both wanted. Rows with a NULL score are not
+    counted by any metric. Labels are 0/1 (positive when > 0).
+    """
     g = _by(by)
-    pred, lab = prediction(score, threshold), F.col(label).cast("double")
-    correct, positive = pred == lab, lab > 0
+    pos = F.when(F.col(label) > 0, 1).otherwise(0)
+    ps = (df.filter(F.col(score).isNotNull()).groupBy(*g, score)
+          .agg(F.sum(pos).cast("bigint").alias("_pos"), F.sum(1 - pos).cast("bigint").alias("_neg")))
+    return materialize(ps) if checkpoint else ps
+
+
+def _confusion_aggs(score: str, threshold: float | None) -> list[Column]:
+    s = F.col(score)
 
-    def n(cond: Column) -> Column:
-        return F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("bigint")
+    def tot(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
 
-    aggs = [n(correct & positive).alias("tp"), n(~correct & ~positive).alias("fp"),
-            n(correct & ~positive).alias("tn"), n(~correct & positive).alias("fn")]
-    return df.groupBy(*g).agg(*aggs) if g else df.agg(*aggs)
+    if threshold is None:     # raw margin compared with the label, as in the study
+        tp, tn = tot(F.when(s == 1.0, F.col("_pos"))), tot(F.when(s == 0.0, F.col("_neg")))
+        return [tp.alias("tp"), (tot(F.col("_neg")) - tn).alias("fp"), tn.alias("tn"),
+                (tot(F.col("_pos")) - tp).alias("fn")]
+    above = s > F.lit(float(threshold))
+    return [tot(F.when(above, F.col("_pos"))).alias("tp"), tot(F.when(above, F.col("_neg"))).alias("fp"),
+            tot(F.when(~above, F.col("_neg"))).alias("tn"), tot(F.when(~above, F.col("_pos"))).alias("fn")]
+
+
+def confusion_counts(df: DataFrame, score: str = "score", label: str = "label", *,
+                     threshold: float | None = 0.0, by: str | Sequence[str] | None = None,
+                     per_score: DataFrame | None = None) -> DataFrame:
+    """tp, fp, tn, fn (bigint). Prediction is score > threshold (1/0); a row
+    is correct when prediction == label and positive when label > 0."""
+    g = _by(by)
+    ps = per_score if per_score is not None else per_score_counts(df, score, label, by=g or None)
+    aggs = _confusion_aggs(score, threshold)
+    return ps.groupBy(*g).agg(*aggs) if g else ps.agg(*aggs)
 
 
 def auc_by_rank(df: DataFrame, score: str = "score", label: str = "label", *,
                 by: str | Sequence[str] | None = None, buckets: int = AUC_BUCKETS,
-                out: str = "auc") -> DataFrame:
+                out: str = "auc", per_score: DataFrame | None = None) -> DataFrame:
     """Exact AUC (ties averaged) per ``by`` group; NULL without positives or
-    negatives. Also returns ``n_pos`` and ``n_neg``."""
+    negatives. Also returns ``n_pos`` and ``n_neg``. Lazy: no action runs
+    until the result is used."""
     g = _by(by)
-    pos = F.when(F.col(label) > 0, 1).otherwise(0)
-    per_score = (df.filter(F.col(score).isNotNull())
-                 .groupBy(*g, score)
-                 .agg(F.sum(pos).cast("bigint").alias("_pos"),
-                      F.sum(1 - pos).cast("bigint").alias("_neg")))
-    cuts = sorted(set(per_score.approxQuantile(
-        score, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))))
-    cuts = [c for c in cuts if c == c]  # drop NaN
-    splits = [float("-inf")] + cuts + [float("inf")]
-    s = per_score.withColumn("_sd", F.col(score).cast("double"))
-    s = Bucketizer(splits=splits, inputCol="_sd", outputCol="_b", handleInvalid="keep").transform(s)
-    totals = s.groupBy(*g, "_b").agg(F.sum("_neg").alias("_bneg"))
-    w_b = (Window.partitionBy(*g) if g else Window).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bneg").over(w_b), F.lit(0)).alias("_off"))
-    w_s = Window.partitionBy(*g, "_b").orderBy("_sd").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = s.join(offsets, [*g, "_b"], "inner").withColumn(
+    # The per-score table feeds four branches below (cut points, bucket
+    # totals, offsets, prefix sums): checkpoint it so the input runs once.
+    ps = per_score if per_score is not None else per_score_counts(df, score, label, by=g or None,
+                                                                  checkpoint=True)
+    s = ps.withColumn("_sd", F.col(score).cast("double"))
+    probs = [i / buckets for i in range(1, buckets)]
+    cut_agg = F.percentile_approx("_sd", probs, 4 * buckets).alias("_cuts")
+    key = g if g else ["_one"]
+    if not g:
+        s = s.withColumn("_one", F.lit(0))
+        cuts = s.agg(cut_agg).withColumn("_one", F.lit(0))
+    else:
+        cuts = s.groupBy(*g).agg(cut_agg)
+    # bucket = number of cut points strictly below the score (0..buckets-1);
+    # one row of cut points per group, so the join below stays small.
+    s = s.join(cuts, key, "inner").withColumn(
+        "_b", F.size(F.filter("_cuts", lambda c: c < F.col("_sd")))).drop("_cuts")
+    totals = s.groupBy(*key, "_b").agg(F.sum("_neg").alias("_bneg"))
+    w_b = Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*key, "_b", F.coalesce(F.sum("_bneg").over(w_b), F.lit(0)).alias("_off"))
+    w_s = Window.partitionBy(*key, "_b").orderBy("_sd").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = s.join(offsets, [*key, "_b"], "inner").withColumn(
         "_below", F.col("_off") + F.coalesce(F.sum("_neg").over(w_s), F.lit(0)))
     contrib = F.col("_pos").cast("double") * (F.col("_below").cast("double") + F.col("_neg") / 2.0)
     aggs = [F.sum(contrib).alias("_c"), F.sum("_pos").cast("bigint").alias("n_pos"),
@@ -96,10 +129,12 @@ def auc_by_rank(df: DataFrame, score: str = "score", label: str = "label", *,
 def binary_metrics(df: DataFrame, score: str = "score", label: str = "label", *,
                    by: str | Sequence[str] | None = None, threshold: float | None = 0.0,
                    buckets: int = AUC_BUCKETS) -> DataFrame:
-    """total, positives, auc, accuracy, sensitivity, specificity per group."""
+    """total, positives, auc, accuracy, sensitivity, specificity per group,
+    all from one per-score aggregate of the input."""
     g = _by(by)
-    cm = confusion_counts(df, score, label, threshold=threshold, by=g or None)
-    auc = auc_by_rank(df, score, label, by=g or None, buckets=buckets).select(*g, "auc")
+    ps = per_score_counts(df, score, label, by=g or None, checkpoint=True)
+    cm = confusion_counts(df, score, label, threshold=threshold, by=g or None, per_score=ps)
+    auc = auc_by_rank(df, score, label, by=g or None, buckets=buckets, per_score=ps).select(*g, "auc")
     if g:
         j = cm.join(auc, g, "left")
     else:  # two one-row aggregates, joined on a constant key

@@ -536,7 +536,7 @@ def confusion_sql(src: str, threshold: float, by: str | None = None) -> str:
     return (f"SELECT {g}{cnt(f'{pred} = {lab} AND {lab} > 0')} AS tp, "
             f"{cnt(f'{pred} <> {lab} AND NOT {lab} > 0')} AS fp, "
             f"{cnt(f'{pred} = {lab} AND NOT {lab} > 0')} AS tn, "
-            f"{cnt(f'{pred} <> {lab} AND {lab} > 0')} AS fn FROM {src} {grp}")
+            f"{cnt(f'{pred} <> {lab} AND {lab} > 0')} AS fn FROM {src} WHERE score IS NOT NULL {grp}")
 
 
 def metrics_sql(src: str, threshold: float) -> str:

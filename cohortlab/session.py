@@ -75,3 +75,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut the lineage of ``df`` with a reliable checkpoint in the shared
+    checkpoint folder (survives executor loss; never a local checkpoint).
+    Used where one intermediate result feeds several branches of a plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
