@@ -722,10 +722,12 @@ def _study_inputs(spark, d):
     t = Tables(spark, d)
     c = t.cohort()
     nc = t.note_cohort(c)
-    subj = nc["subjects"].drop("first_ts")
+    from ..session import materialize
+    subj = materialize(nc["subjects"].drop("first_ts"))
     labels = op.label_events(subj)
     train, test = op.split_hash(subj.select("pid"), 0.7, SEED)
-    return StudyInputs(subj, nc["first"], nc["tokens"], t.scores(), t.flags(), labels, train, test), t
+    return StudyInputs(subj, materialize(nc["first"]), materialize(nc["tokens"]), t.scores(), t.flags(),
+                       labels, train, test), t
 
 
 def _cfg():
@@ -756,7 +758,8 @@ def q_svm_scores(spark, d):
     from .models import fit_svm
     inp, t = _study_inputs(spark, d)
     feats = op.derived_features(inp.cohort, inp.scores, inp.flags)
-    pts = op.labeled_points_dense(feats, inp.labels).persist()
+    from .study import fit_ready
+    pts = fit_ready(op.labeled_points_dense(feats, inp.labels))
     model = fit_svm(pts, SMALL["svm_iterations"], 100.0, True)
     return model.score(pts).select("pid", "label", "score")
 
@@ -767,7 +770,8 @@ def q_cv_grid(spark, d):
     inp, _ = _study_inputs(spark, d)
     pts = op.labeled_points_dense(op.derived_features(inp.cohort, inp.scores, inp.flags), inp.labels)
     grid = {"intercept": [True], "iterations": [5, 10], "reg": [10.0]}
-    train = pts.join(inp.train, "pid", "left_semi").persist()
+    from .study import fit_ready
+    train = fit_ready(pts.join(inp.train, "pid", "left_semi"))
     out, _ = cv_grid(train, grid, 2, seed=SEED)
     return out
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..constants import BASELINE_GRID, LDA_ITERATIONS, LDA_K, N_FOLDS, SVM_ITERATIONS
 from ..operators.features import mean_vector_by_key
 from ..operators.sampling import fold_assignment
+from ..session import materialize
 
 
 @dataclass
@@ -96,7 +97,7 @@ def fit_topics(tok: DataFrame, k: int = LDA_K, iterations: int = LDA_ITERATIONS,
                min_df: float = 1.0) -> TopicModel:
     """Term counts (full vocabulary) and LDA. Documents without tokens carry
     no topic information and are left out."""
-    docs = tok.filter(F.size(tokens) > 0)
+    docs = materialize(tok.select(tokens).filter(F.size(tokens) > 0))
     counter = CountVectorizer(inputCol=tokens, outputCol="_tf", minDF=min_df, vocabSize=1 << 30).fit(docs)
     lda = LDA(k=int(k), maxIter=int(iterations), optimizer=optimizer, seed=int(seed),
               featuresCol="_tf", topicDistributionCol="topic_mix").fit(counter.transform(docs))

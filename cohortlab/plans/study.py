@@ -23,6 +23,7 @@ from .. import operators as op
 from ..constants import (HOURS_START, HOURS_STEP, HOURS_STOP, LDA_ITERATIONS, LDA_K, MS_HOUR,
                          SVM_ITERATIONS, TOPIC_HOURS_START)
 from ..functions.timecols import millis
+from ..session import materialize
 from .models import LinearModel, fit_svm, fit_topics, linear_score, topic_features
 
 
@@ -93,9 +94,11 @@ ROWS_PER_FIT_PARTITION = 1_000_000
 
 
 def fit_ready(points: DataFrame) -> DataFrame:
-    """Persist labelled points once (solvers iterate over them) and pack
-    them into ceil(rows / ROWS_PER_FIT_PARTITION) partitions."""
-    p = points.persist()
+    """Checkpoint labelled points once (solvers iterate over them; the
+    checkpoint also replaces the long lineage, which Spark ML would otherwise
+    re-analyse at every step) and pack them into
+    ceil(rows / ROWS_PER_FIT_PARTITION) partitions."""
+    p = materialize(points)
     n = p.count()
     parts = max(1, -(-n // ROWS_PER_FIT_PARTITION))
     return p.coalesce(parts) if parts < p.rdd.getNumPartitions() else p
@@ -190,17 +193,21 @@ def build_inputs(spark: SparkSession, subjects: DataFrame, episodes: DataFrame,
     rebalanced train set, inputs with the full train set)."""
     cohort = op.build_cohort(subjects, episodes)
     nc = op.note_cohort(cohort, notes, stopwords)
-    subjects_nc = nc["subjects"].drop("first_ts")
+    # Every experiment starts from these three sets: write them once to the
+    # shared checkpoint folder instead of recomputing notes and tokens.
+    subjects_nc = materialize(nc["subjects"].drop("first_ts"))
+    first = materialize(nc["first"])
+    tokens = materialize(nc["tokens"])
     labels = op.label_events(subjects_nc, label_kind)
     train, test = op.split_subjects(subjects_nc.select("pid"), train_proportion, seed,
                                     exact_max=exact_max)
-    full = StudyInputs(subjects_nc, nc["first"], nc["tokens"], scores, flags, labels, train, test)
+    full = StudyInputs(subjects_nc, first, tokens, scores, flags, labels, train, test)
     if not rebalance:
         return full, full
     tl = labels.join(train, "pid", "left_semi")
     exact = subjects_nc.count() <= exact_max
     sub = op.rebalance_negatives(tl, "label", exact=exact, seed=seed).select("pid")
-    return StudyInputs(subjects_nc, nc["first"], nc["tokens"], scores, flags, labels, sub, test), full
+    return StudyInputs(subjects_nc, first, tokens, scores, flags, labels, sub, test), full
 
 
 def run_study(inputs: tuple[StudyInputs, StudyInputs], cfg: StudyConfig = StudyConfig(), *,
