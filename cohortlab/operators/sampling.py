@@ -36,31 +36,37 @@ def split_hash(df: DataFrame, p: float = TRAIN_PROPORTION, seed: int = 0, *,
     return df.filter(h < F.lit(t)), df.filter(h >= F.lit(t))
 
 
-def _kth_smallest(hashed: DataFrame, key: str, m: int, h: str = "_h"):
-    """(hash, key) of the m-th smallest row (1-based) by (hash, key)."""
-    lo, width_bits, need = 0, HASH_BITS, m
+def _histogram(keys: DataFrame, lo: int, width_bits: int, h: str = "_h"):
+    """Counts of ``h`` in [lo, lo + 2^width_bits) by its top HIST_BITS bits:
+    at most HIST_BUCKETS rows reach the driver."""
+    shift = max(width_bits - HIST_BITS, 0)
+    band = keys.filter((F.col(h) >= F.lit(lo)) & (F.col(h) < F.lit(lo + (1 << width_bits))))
+    rows = (band.groupBy(F.shiftright(F.col(h) - F.lit(lo), shift).alias("b"))
+            .agg(F.count(F.lit(1)).alias("n")).collect())
+    return shift, sorted((r["b"], r["n"]) for r in rows)
+
+
+def _kth_smallest(keys: DataFrame, key: str, m: int, hist, h: str = "_h"):
+    """(hash, key) of the m-th smallest row (1-based) by (hash, key), given
+    the first-round histogram over the whole hash range."""
+    lo, need = 0, m
+    shift, buckets = hist
     while True:
-        shift = max(width_bits - HIST_BITS, 0)
-        band = hashed.filter((F.col(h) >= F.lit(lo)) & (F.col(h) < F.lit(lo + (1 << width_bits))))
-        hist = (band.groupBy(F.shiftright(F.col(h) - F.lit(lo), shift).alias("b"))
-                .agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect())
         acc = 0
-        for row in hist:
-            if acc + row["n"] >= need:
-                b, n_b = row["b"], row["n"]
+        for b, n_b in buckets:
+            if acc + n_b >= need:
                 break
-            acc += row["n"]
-        else:  # pragma: no cover - m is at most the row count
-            raise ValueError("fewer rows than requested")
+            acc += n_b
         need -= acc
         lo += b << shift
         width_bits = shift
         if n_b <= DIRECT_RANK_MAX or shift == 0:
-            cand = hashed.filter((F.col(h) >= F.lit(lo)) & (F.col(h) < F.lit(lo + (1 << width_bits))))
+            cand = keys.filter((F.col(h) >= F.lit(lo)) & (F.col(h) < F.lit(lo + (1 << width_bits))))
             w = Window.orderBy(F.col(h), F.col(key))
             row = (cand.select(h, key).withColumn("_r", F.row_number().over(w))
                    .filter(F.col("_r") == need).first())
             return row[h], row[key]
+        shift, buckets = _histogram(keys, lo, width_bits, h)
 
 
 def take_smallest(df: DataFrame, m: int | None = None, seed: int = 0, *, key: str = "pid",
@@ -68,13 +74,15 @@ def take_smallest(df: DataFrame, m: int | None = None, seed: int = 0, *, key: st
     """(the m rows with the smallest (hash, key), the rest); with ``p``
     instead of ``m``, m = int(count * p). ``key`` must be unique.
 
-    The search runs on a persisted (key, hash) projection (a few small
-    actions), which is released before returning; the two parts are lazy
-    filters on ``df`` itself.
+    The search runs on a persisted (key, hash) projection: one histogram
+    over the whole hash range (which also gives the row count), usually one
+    rank inside a single bucket; the projection is released before
+    returning and the two parts are lazy filters on ``df`` itself.
     """
     keys = df.select(key).withColumn("_h", unit_hash(key, seed)).persist()
     try:
-        n = keys.count()
+        hist = _histogram(keys, 0, HASH_BITS)
+        n = sum(c for _, c in hist[1])
         if m is None:
             m = int(n * p)
         m = max(0, min(int(m), n))
@@ -82,7 +90,7 @@ def take_smallest(df: DataFrame, m: int | None = None, seed: int = 0, *, key: st
             return df.limit(0), df
         if m == n:
             return df, df.limit(0)
-        hk, kk = _kth_smallest(keys, key, m)
+        hk, kk = _kth_smallest(keys, key, m, hist)
     finally:
         keys.unpersist()
     h = unit_hash(key, seed)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_STOP_WORDS, MIN_WORDS
 from ..functions.textcols import word_tokens
-from .cohort import first_event, notes_in_episode, with_first_event
+from .cohort import notes_in_episode, with_first_event
 
 # A stop-word list is a parameter, not data: when one is given as a
 # DataFrame it is brought to the driver only below this size.
@@ -124,21 +124,27 @@ def note_cohort(cohort: DataFrame, notes: DataFrame | None = None,
                 notes_in_ep: DataFrame | None = None, pid: str = "pid", text: str = "text",
                 ts: str = "ts") -> dict[str, DataFrame]:
     """Notes inside the episode -> tokens -> subjects with >= ``min_words``
-    kept words -> first note time. Returns the five sets of the study:
+    kept words -> first note time. Returns the sets of the study:
 
       subjects  cohort rows of the kept subjects, with ``first_ts``
       notes     in-episode notes of the kept subjects
       first     (pid, first_ts)
       tokens    tokenized in-episode notes of *all* cohort subjects
       words     (pid, n_words) of the kept subjects
+      stats     (pid, n_words, first_ts, n_notes) of the kept subjects
 
-    Pass ``notes_in_ep`` when the in-episode notes were already computed
-    (e.g. with texts attached after the cohort join).
+    A kept subject keeps all its in-episode notes, so word count, first note
+    time and note count come from one aggregate over the tokenized notes
+    (partial aggregation, one shuffle by subject). Pass ``notes_in_ep`` when
+    the in-episode notes were already computed (e.g. texts attached after
+    the cohort join).
     """
     inep = notes_in_ep if notes_in_ep is not None else notes_in_episode(cohort, notes, ts=ts)
     tok = tokenize(inep, text, stopwords)
-    words = min_word_subjects(tok, min_words, pid=pid)
-    kept = inep.join(words.select(pid), pid, "left_semi")
-    first = first_event(kept, pid=pid, ts=ts)
+    stats = (tok.groupBy(pid).agg(F.sum(F.size("tokens")).cast("bigint").alias("n_words"),
+                                  F.min(ts).alias("first_ts"), F.count(F.lit(1)).alias("n_notes"))
+             .filter(F.col("n_words") >= min_words))
+    first = stats.select(pid, "first_ts")
+    kept = inep.join(stats.select(pid), pid, "left_semi")
     return {"subjects": with_first_event(cohort, first, pid=pid), "notes": kept,
-            "first": first, "tokens": tok, "words": words}
+            "first": first, "tokens": tok, "words": stats.select(pid, "n_words"), "stats": stats}

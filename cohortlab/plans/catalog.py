@@ -222,10 +222,10 @@ def q_first_event(spark, d):
     "FROM cohort c JOIN first f ON c.pid = f.pid JOIN kept_words k ON c.pid = k.pid",
     "cohort", "first", "kept_words", "kept_notes"))
 def q_note_cohort(spark, d):
-    nc = Tables(spark, d).note_cohort()
-    n_notes = nc["notes"].groupBy("pid").agg(F.count(F.lit(1)).alias("n_notes"))
-    out = (nc["subjects"].select("pid", "stay", "first_ts").join(nc["words"], "pid")
-           .join(n_notes, "pid"))
+    t = Tables(spark, d)
+    c = t.cohort()
+    nc = t.note_cohort(c)
+    out = c.select("pid", "stay").join(nc["stats"], "pid")
     return normalise(out)
 
 
