@@ -85,6 +85,13 @@ def notes_in_episode(cohort: DataFrame, notes: DataFrame, *, keys: Sequence[str]
     return notes.join(c, cond, "inner").select(*[notes[x] for x in notes.columns])
 
 
+def restrict_to_subjects(df: DataFrame, subjects: DataFrame, *, pid: str = "pid") -> DataFrame:
+    """Rows of ``df`` whose subject is in ``subjects`` (left semi-join: the
+    right side's columns are not carried and duplicated subject rows on the
+    right cannot multiply ``df``)."""
+    return df.join(subjects.select(pid), pid, "left_semi")
+
+
 def first_event(events: DataFrame, *, pid: str = "pid", ts: str = "ts",
                 out: str = "first_ts") -> DataFrame:
     """Earliest event time per subject (partial min before the shuffle)."""

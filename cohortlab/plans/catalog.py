@@ -213,7 +213,7 @@ def q_min_word_subjects(spark, d):
 
 @query("first_event", O.sql(f"SELECT pid, {O.ts_text('first_ts')} AS first_ts FROM first", "first"))
 def q_first_event(spark, d):
-    return normalise(Tables(spark, d).note_cohort()["first"])
+    return normalise(op.first_event(Tables(spark, d).note_cohort()["notes"]))
 
 
 @query("note_cohort", O.sql(
@@ -596,6 +596,20 @@ def _linear(x: str) -> str:
             f"+ {x}.sc * CAST({w2!r} AS DOUBLE)) + CAST({FIXED_INTERCEPT!r} AS DOUBLE)")
 
 
+O.cte("train_subjects", f"SELECT pid FROM cohort WHERE {O.unit_hash_sql('pid', SEED)} < {hash_threshold(0.7)}",
+      "cohort")
+
+
+@query("restrict_to_split", O.sql(
+    "SELECT x.pid, x.feature, x.value FROM (" + _LONG.format(t="bl") + ") x "
+    "WHERE x.pid IN (SELECT pid FROM train_subjects)", "bl", "train_subjects"))
+def q_restrict_to_split(spark, d):
+    t = Tables(spark, d)
+    c = t.cohort()
+    train, _ = op.split_hash(c.select("pid"), 0.7, SEED)
+    return op.restrict_to_subjects(op.baseline_features_long(c, t.scores()), train)
+
+
 @query("linear_score", O.sql(f"SELECT b.pid, {_linear('b')} AS score FROM bl b", "bl"))
 def q_linear_score(spark, d):
     from .models import linear_score

@@ -84,7 +84,7 @@ class StudyConfig:
 
 
 def _restrict(df: DataFrame, subjects: DataFrame, pid: str = "pid") -> DataFrame:
-    return df.join(subjects.select(pid), pid, "left_semi")
+    return op.restrict_to_subjects(df, subjects, pid=pid)
 
 
 # Training rows per partition for iterative fits: every solver iteration is

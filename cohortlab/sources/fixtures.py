@@ -33,8 +33,12 @@ def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Large inputs arrive as many splits and are returned untouched, so this
     never adds a shuffle at scale. Only call it on a plain scan: counting the
     partitions of a scan plans it without running a job."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. a remote session)
+        return df
+    return df if have >= n else df.repartition(n)
 
 
 def _days(n) -> F.Column:
