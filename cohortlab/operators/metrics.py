@@ -9,15 +9,16 @@ which equals the trapezoid area under the ROC curve with ties (what
 report). neg_below is a prefix sum over the score order; computing it with
 one window over all scores would put every distinct score in one task. So
 rows are first collapsed per distinct score (map-side combine), the scores
-are cut into quantile buckets (``percentile_approx`` per group, one row of
-cut points each), bucket totals give each bucket's offset, and the prefix sum
-runs per (group, bucket) in parallel. Nothing is collected to the driver.
+are cut into quantile buckets (``percentile_approx`` per group; at most
+``AUC_BUCKETS - 1`` cut points), bucket totals give each bucket's offset,
+and the prefix sum runs per (group, bucket) in parallel.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,62 +89,77 @@ def confusion_counts(df: DataFrame, score: str = "score", label: str = "label",
     return ps.groupBy(*g).agg(*aggs) if g else ps.agg(*aggs)
 
 
+def _ranked(ps: DataFrame, score: str, g: list[str], buckets: int) -> DataFrame:
+    """Per-score rows with ``_below`` = negatives with a smaller score in the
+    same group, computed per (group, quantile bucket) in parallel."""
+    s = ps.withColumn("_sd", F.col(score).cast("double"))
+    probs = [i / buckets for i in range(1, buckets)]
+    cut_agg = F.percentile_approx("_sd", probs, 4 * buckets)
+    if g:
+        # one row of cut points per group, joined on the group keys;
+        # bucket = number of cut points strictly below the score
+        cuts = s.groupBy(*g).agg(cut_agg.alias("_cuts"))
+        s = (s.join(cuts, g, "inner")
+             .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_sd")))).drop("_cuts"))
+    else:
+        # a single group: its buckets - 1 cut points (a fixed bound) are read
+        # from the (checkpointed) per-score table and bucketed by binary search
+        row = s.agg(cut_agg.alias("_cuts")).first()
+        cut_points = sorted({float(v) for v in (row["_cuts"] or []) if v == v})
+        splits = [float("-inf")] + (cut_points or [0.0]) + [float("inf")]
+        s = Bucketizer(splits=splits, inputCol="_sd", outputCol="_bd", handleInvalid="keep").transform(s)
+        s = s.withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
+    totals = s.groupBy(*g, "_b").agg(F.sum("_neg").alias("_bneg"))
+    w_b = (Window.partitionBy(*g) if g else Window).orderBy("_b").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bneg").over(w_b), F.lit(0)).alias("_off"))
+    w_s = Window.partitionBy(*g, "_b").orderBy("_sd").rowsBetween(Window.unboundedPreceding, -1)
+    return s.join(offsets, [*g, "_b"], "inner").withColumn(
+        "_below", F.col("_off") + F.coalesce(F.sum("_neg").over(w_s), F.lit(0)))
+
+
+def _auc_aggs() -> list[Column]:
+    contrib = F.col("_pos").cast("double") * (F.col("_below").cast("double") + F.col("_neg") / 2.0)
+    return [F.sum(contrib).alias("_c"), F.sum("_pos").cast("bigint").alias("n_pos"),
+            F.sum("_neg").cast("bigint").alias("n_neg")]
+
+
+def _auc_col() -> Column:
+    return _safe_div(F.col("_c"), F.col("n_pos") * F.col("n_neg"))
+
+
 def auc_by_rank(df: DataFrame, score: str = "score", label: str = "label", *,
                 by: str | Sequence[str] | None = None, buckets: int = AUC_BUCKETS,
                 out: str = "auc", per_score: DataFrame | None = None) -> DataFrame:
     """Exact AUC (ties averaged) per ``by`` group; NULL without positives or
-    negatives. Also returns ``n_pos`` and ``n_neg``. Lazy: no action runs
-    until the result is used."""
+    negatives. Also returns ``n_pos`` and ``n_neg``."""
     g = _by(by)
-    # The per-score table feeds four branches below (cut points, bucket
-    # totals, offsets, prefix sums): checkpoint it so the input runs once.
+    # The per-score table feeds several branches (cut points, bucket totals,
+    # prefix sums): checkpoint it so the input runs once.
     ps = per_score if per_score is not None else per_score_counts(df, score, label, by=g or None,
                                                                   checkpoint=True)
-    s = ps.withColumn("_sd", F.col(score).cast("double"))
-    probs = [i / buckets for i in range(1, buckets)]
-    cut_agg = F.percentile_approx("_sd", probs, 4 * buckets).alias("_cuts")
-    key = g if g else ["_one"]
-    if not g:
-        s = s.withColumn("_one", F.lit(0))
-        cuts = s.agg(cut_agg).withColumn("_one", F.lit(0))
-    else:
-        cuts = s.groupBy(*g).agg(cut_agg)
-    # bucket = number of cut points strictly below the score (0..buckets-1);
-    # one row of cut points per group, so the join below stays small.
-    s = s.join(cuts, key, "inner").withColumn(
-        "_b", F.size(F.filter("_cuts", lambda c: c < F.col("_sd")))).drop("_cuts")
-    totals = s.groupBy(*key, "_b").agg(F.sum("_neg").alias("_bneg"))
-    w_b = Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*key, "_b", F.coalesce(F.sum("_bneg").over(w_b), F.lit(0)).alias("_off"))
-    w_s = Window.partitionBy(*key, "_b").orderBy("_sd").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = s.join(offsets, [*key, "_b"], "inner").withColumn(
-        "_below", F.col("_off") + F.coalesce(F.sum("_neg").over(w_s), F.lit(0)))
-    contrib = F.col("_pos").cast("double") * (F.col("_below").cast("double") + F.col("_neg") / 2.0)
-    aggs = [F.sum(contrib).alias("_c"), F.sum("_pos").cast("bigint").alias("n_pos"),
-            F.sum("_neg").cast("bigint").alias("n_neg")]
-    res = ranked.groupBy(*g).agg(*aggs) if g else ranked.agg(*aggs)
-    return res.select(*g, _safe_div(F.col("_c"), F.col("n_pos") * F.col("n_neg")).alias(out),
-                      "n_pos", "n_neg")
+    ranked = _ranked(ps, score, g, buckets)
+    res = ranked.groupBy(*g).agg(*_auc_aggs()) if g else ranked.agg(*_auc_aggs())
+    return res.select(*g, _auc_col().alias(out), "n_pos", "n_neg")
 
 
 def binary_metrics(df: DataFrame, score: str = "score", label: str = "label", *,
                    by: str | Sequence[str] | None = None, threshold: float | None = 0.0,
                    buckets: int = AUC_BUCKETS) -> DataFrame:
-    """total, positives, auc, accuracy, sensitivity, specificity per group,
-    all from one per-score aggregate of the input."""
+    """total, positives, auc, accuracy, sensitivity, specificity per group.
+
+    Confusion counts and the AUC sum come out of the same final aggregate
+    over the ranked per-score rows, so there is no join of results."""
     g = _by(by)
     ps = per_score_counts(df, score, label, by=g or None, checkpoint=True)
-    cm = confusion_counts(df, score, label, threshold=threshold, by=g or None, per_score=ps)
-    auc = auc_by_rank(df, score, label, by=g or None, buckets=buckets, per_score=ps).select(*g, "auc")
-    if g:
-        j = cm.join(auc, g, "left")
-    else:  # two one-row aggregates, joined on a constant key
-        j = cm.withColumn("_one", F.lit(0)).join(auc.withColumn("_one", F.lit(0)), "_one", "left")
+    ranked = _ranked(ps, score, g, buckets)
+    aggs = _auc_aggs() + _confusion_aggs(score, threshold)
+    j = ranked.groupBy(*g).agg(*aggs) if g else ranked.agg(*aggs)
     total = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
     positives = F.col("tp") + F.col("fn")
     negatives = F.col("fp") + F.col("tn")
     return j.select(
-        *g, total.alias("total"), positives.alias("positives"), F.col("auc"),
+        *g, total.alias("total"), positives.alias("positives"), _auc_col().alias("auc"),
         _safe_div(F.col("tp") + F.col("tn"), total).alias("accuracy"),
         _safe_div(F.col("tp"), positives).alias("sensitivity"),
         _safe_div(F.col("tn"), negatives).alias("specificity"))

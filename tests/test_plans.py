@@ -24,7 +24,8 @@ def test_latest_episode_aggregates_before_shuffle(spark, sf_dir):
 
 def test_no_cartesian_products(spark, sf_dir):
     for name in ("notes_in_episode", "note_cohort", "hourly_auc_baseline", "present_after_hours",
-                 "subtract_rows", "derived_features"):
+                 "subtract_rows", "derived_features", "auc_by_rank", "binary_metrics", "confusion_counts",
+                 "labeled_points_sparse", "split_exact", "rebalance_negatives", "mean_vector_by_key"):
         p = plan(E.queries()[name](spark, sf_dir))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
