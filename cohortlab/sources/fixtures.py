@@ -101,7 +101,8 @@ def note(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
 
 def attach_text(spark: SparkSession, sf_dir: str, notes: DataFrame,
                 key: str = "doc_id", out: str = "text") -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias(key), F.col("text").alias(out))
+    docs = spread_scan(table(spark, sf_dir, "documents")).select(F.col("doc_id").alias(key),
+                                                                 F.col("text").alias(out))
     return notes.join(docs, key, "inner")
 
 
