@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 
 def ts(s: str) -> dt.datetime:
     return dt.datetime.strptime(s, "%Y-%m-%d %H:%M:%S") if len(s) > 10 else dt.datetime.strptime(s, "%Y-%m-%d")

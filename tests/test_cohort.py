@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from cohortlab import operators as op
 from helpers import collect_sorted, episodes, notes, subjects
 

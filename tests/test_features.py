@@ -1,6 +1,4 @@
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
-
 from cohortlab import operators as op
 
 

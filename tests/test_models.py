@@ -1,8 +1,6 @@
 import random
 
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
-
 from cohortlab import operators as op
 from cohortlab.plans import models as M
 

@@ -2,8 +2,6 @@
 import contextlib
 import io
 
-from pyspark.sql import functions as F
-
 import __spark_entry__ as E
 from cohortlab import operators as op
 

@@ -1,8 +1,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
-
 from cohortlab.sources import (load_episodes, load_flags, load_notes, load_scores, load_subjects,
                                normalize_quoted_text, normalize_quoted_text_light, read_csv_table,
                                read_word_list, table_counts, table_name_from_path, write_text)
