@@ -413,7 +413,7 @@ def q_baseline_features_at_hours(spark, d):
 @query("baseline_features_wide", O.sql(_WIDE.format(t="bl"), "bl"))
 def q_baseline_features_wide(spark, d):
     t = Tables(spark, d)
-    return op.array_to_long(op.baseline_features_wide(t.cohort(), t.scores()), ["pid"], "features")
+    return normalise(op.array_to_long(op.baseline_features_wide(t.cohort(), t.scores()), ["pid"], "features"))
 
 
 @query("baseline_wide_at_hours", O.sql(_WIDE.format(t=f"bl_{HOURS_PROBE}"), f"bl_{HOURS_PROBE}"))
@@ -421,7 +421,7 @@ def q_baseline_wide_at_hours(spark, d):
     t = Tables(spark, d)
     c = t.cohort()
     w = op.baseline_features_wide(c, t.scores(), t.note_cohort(c)["first"], HOURS_PROBE)
-    return op.array_to_long(w, ["pid"], "features")
+    return normalise(op.array_to_long(w, ["pid"], "features"))
 
 
 O.cte("fv", "SELECT f.pid, f.flag_str, f.flags FROM flg f JOIN cohort c ON f.pid = c.pid AND f.hadm = c.hadm",
@@ -449,7 +449,7 @@ def _derived(t: Tables) -> DataFrame:
 
 @query("derived_features", O.sql("SELECT pid, idx, value FROM derived", "derived"))
 def q_derived_features(spark, d):
-    return op.array_to_long(_derived(Tables(spark, d)), ["pid"], "features")
+    return normalise(op.array_to_long(_derived(Tables(spark, d)), ["pid"], "features"))
 
 
 @query("labeled_points_dense", O.sql(
@@ -459,8 +459,8 @@ def q_labeled_points_dense(spark, d):
     from pyspark.ml.functions import vector_to_array
     t = Tables(spark, d)
     pts = op.labeled_points_dense(_derived(t), t.labels())
-    return op.array_to_long(pts.select("pid", "label", vector_to_array("features").alias("f")),
-                            ["pid", "label"], "f")
+    return normalise(op.array_to_long(pts.select("pid", "label", vector_to_array("features").alias("f")),
+                                      ["pid", "label"], "f"))
 
 
 O.cte("fdict", "SELECT name, CAST(row_number() OVER (ORDER BY name) - 1 AS BIGINT) AS \"index\" FROM "
@@ -488,7 +488,7 @@ def q_labeled_points_sparse(spark, d):
 
 
 @query("mean_vector_by_key", O.sql(
-    "SELECT label, CAST(i - 1 AS BIGINT) AS idx, round(avg(CAST(embedding[i] AS DOUBLE)), 6) AS mean "
+    "SELECT CAST(label AS BIGINT) AS label, CAST(i - 1 AS BIGINT) AS idx, round(avg(CAST(embedding[i] AS DOUBLE)), 6) AS mean "
     "FROM embeddings, range(1, 1 + (SELECT max(len(embedding)) FROM embeddings)) r(i) "
     "WHERE i <= len(embedding) GROUP BY label, i"))
 def q_mean_vector_by_key(spark, d):

@@ -31,3 +31,15 @@ def test_contract_keys(spark, sf_dir):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["pid", "stay", "is_male", "age", "label_in_episode", "label_30d", "label_1y"]
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "float": "FLOAT", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, con, sf_dir, name):
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in E.queries()[name](spark, sf_dir).schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert spark_types == duck_types
