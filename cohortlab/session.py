@@ -58,7 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     scratch folder is made and registered.
     """
     global _LOCAL_CKPT
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (no SparkContext, e.g. a remote session)
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         if _LOCAL_CKPT is None:

@@ -87,3 +87,17 @@ def test_events_within_hours_and_survivors(spark):
     surv = spark.createDataFrame([(2,)], "pid long")
     assert collect_sorted(op.events_within_hours(ev, first, 6, survivors=surv), "text") == [("c",)]
     assert len(op.events_within_hours(ev, first, 0).collect()) == 4
+
+
+def test_label_millisecond_and_year_boundaries(spark):
+    import datetime as dt
+    out = dt.datetime(2000, 1, 1)
+    cases = {1: out + dt.timedelta(milliseconds=1),     # 30d and 1y
+             2: out + dt.timedelta(days=365),           # 1y only (365 whole days)
+             3: out + dt.timedelta(days=366),           # neither
+             4: out + dt.timedelta(days=30, hours=23),  # still 30 whole days
+             5: out}                                     # in episode only
+    rows = [(p, dt.datetime(1999, 12, 1), out, d) for p, d in cases.items()]
+    c = spark.createDataFrame(rows, "pid long, in_ts timestamp, out_ts timestamp, dod timestamp")
+    got = {r["pid"]: (r["label_in_episode"], r["label_30d"], r["label_1y"]) for r in op.label_all(c).collect()}
+    assert got == {1: (0, 1, 1), 2: (0, 0, 1), 3: (0, 0, 0), 4: (0, 1, 1), 5: (1, 0, 0)}
