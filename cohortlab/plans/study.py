@@ -239,3 +239,47 @@ def study_summary(results: dict[str, DataFrame]) -> DataFrame:
 __all__ = ["StudyConfig", "StudyInputs", "baseline_model", "build_inputs", "derived_model",
            "hourly_auc", "hourly_topic_model", "linear_score", "retrospective_topic_model",
            "run_study", "study_summary", "fit_topics"]
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Run the whole study from a folder of raw CSV exports.
+
+        python -m cohortlab.plans.study --data DIR --out DIR [--stopwords FILE]
+
+    Uses the active Spark session (e.g. under spark-submit); ``--master``
+    builds a local one instead. Writes the summary table (experiment, split,
+    hour, total, positives, auc) as CSV to ``--out``.
+    """
+    import argparse
+
+    from ..sources.csv_io import read_word_list
+    from ..sources.raw import load_raw_tables
+    ap = argparse.ArgumentParser(prog="python -m cohortlab.plans.study")
+    ap.add_argument("--data", required=True, help="folder with the five CSV exports")
+    ap.add_argument("--out", required=True, help="output folder for the summary CSV")
+    ap.add_argument("--stopwords", help="text file, one stop word per line")
+    ap.add_argument("--label", default="in_episode", choices=["in_episode", "30d", "1y"])
+    ap.add_argument("--seed", type=int, default=0)
+    ap.add_argument("--svm-iterations", type=int, default=SVM_ITERATIONS)
+    ap.add_argument("--lda-k", type=int, default=LDA_K)
+    ap.add_argument("--lda-iterations", type=int, default=LDA_ITERATIONS)
+    ap.add_argument("--no-topic-sweep", action="store_true", help="skip the hourly topic models")
+    ap.add_argument("--master", help="build a local session with this master instead")
+    a = ap.parse_args(argv)
+    if a.master:
+        from ..session import build_session
+        spark = build_session(master=a.master)
+    else:
+        spark = SparkSession.builder.getOrCreate()
+    t = load_raw_tables(spark, a.data)
+    stop = read_word_list(spark, a.stopwords) if a.stopwords else None
+    inputs = build_inputs(spark, t["subjects"], t["episodes"], t["notes"], t["scores"], t["flags"],
+                          stopwords=stop, label_kind=a.label, seed=a.seed)
+    cfg = StudyConfig(svm_iterations=a.svm_iterations, lda_k=a.lda_k, lda_iterations=a.lda_iterations,
+                      seed=a.seed)
+    summary = study_summary(run_study(inputs, cfg, topic_sweep=not a.no_topic_sweep))
+    summary.write.mode("overwrite").option("header", True).csv(a.out)
+
+
+if __name__ == "__main__":
+    main()

@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from cohortlab.sources import (load_episodes, load_flags, load_notes, load_scores, load_subjects,
                                normalize_quoted_text, normalize_quoted_text_light, read_csv_table,
                                read_word_list, table_counts, table_name_from_path, write_text)
@@ -87,3 +89,22 @@ def test_flags_from_long_matches_wide_fixture(spark, sf_dir):
     a = load_flags(flags_from_long(fx.flags(spark, sf_dir)), pid="pid", hadm="hadm", flag_cols=cols)
     b = load_flags(fx.flags_wide(spark, sf_dir), pid="pid", hadm="hadm", flag_cols=cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_raw_csv_export_and_load(spark, sf_dir):
+    from cohortlab.plans.catalog import Tables
+    from cohortlab.sources.raw import export_raw_csv, load_raw_tables, raw_counts
+    d = tempfile.mkdtemp(prefix="cohortlab-raw-")
+    export_raw_csv(spark, sf_dir, d)
+    raw = load_raw_tables(spark, d)
+    t = Tables(spark, sf_dir)
+    counts = {r["table"]: r["n"] for r in raw_counts(raw).collect()}
+    assert counts == {"subjects": t.subjects().count(), "episodes": t.episodes().count(),
+                      "scores": t.scores().count()}
+    assert raw["notes"].count() == t.notes().count()
+    a = raw["notes"].select(F.col("pid").cast("bigint"), F.col("ts"), F.length("text").alias("n"))
+    b = t.notes(with_text=True).select("pid", "ts", F.length("text").alias("n"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    f1 = raw["flags"].select(F.col("pid").cast("bigint"), "flags")
+    f2 = t.flags().select("pid", "flags")
+    assert f1.exceptAll(f2).count() == 0
