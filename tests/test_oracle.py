@@ -43,3 +43,23 @@ def test_query_types_match_oracle(spark, con, sf_dir, name):
                    for f in E.queries()[name](spark, sf_dir).schema.fields}
     duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
     assert spark_types == duck_types
+
+
+@pytest.mark.parametrize("name", ["notes_in_episode", "note_cohort", "derived_features", "subtract_rows",
+                                  "hourly_auc_baseline", "labeled_points_sparse", "with_first_event"])
+def test_sort_merge_plans_match_oracle(spark, con, sf_dir, name):
+    """The same results when no side may be broadcast (the plan shape at scale)."""
+    from compare import compare
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], sf_dir)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert r["spark_rows"] == r["oracle_rows"] and r["cols"] and r["rounded"], r
