@@ -92,13 +92,23 @@ class TopicModel:
         return self.lda.transform(tf)
 
 
+# No cap on the vocabulary unless the caller sets one (the study used every term).
+FULL_VOCABULARY = 1 << 30
+
+
 def fit_topics(tok: DataFrame, k: int = LDA_K, iterations: int = LDA_ITERATIONS, *,
                seed: int = 0, tokens: str = "tokens", optimizer: str = "em",
-               min_df: float = 1.0) -> TopicModel:
-    """Term counts (full vocabulary) and LDA. Documents without tokens carry
-    no topic information and are left out."""
+               min_df: float = 1.0, vocab_size: int = FULL_VOCABULARY) -> TopicModel:
+    """Term counts and LDA. Documents without tokens carry no topic
+    information and are left out.
+
+    Spark ML keeps the vocabulary and the k x V topic matrix on the driver;
+    for very large corpora ``vocab_size`` / ``min_df`` bound V, and
+    ``optimizer="online"`` avoids EM's per-iteration graph (the study used
+    EM, the default here)."""
     docs = materialize(tok.select(tokens).filter(F.size(tokens) > 0))
-    counter = CountVectorizer(inputCol=tokens, outputCol="_tf", minDF=min_df, vocabSize=1 << 30).fit(docs)
+    counter = CountVectorizer(inputCol=tokens, outputCol="_tf", minDF=min_df,
+                              vocabSize=int(vocab_size)).fit(docs)
     lda = LDA(k=int(k), maxIter=int(iterations), optimizer=optimizer, seed=int(seed),
               featuresCol="_tf", topicDistributionCol="topic_mix").fit(counter.transform(docs))
     return TopicModel(list(counter.vocabulary), lda, counter)
@@ -106,9 +116,11 @@ def fit_topics(tok: DataFrame, k: int = LDA_K, iterations: int = LDA_ITERATIONS,
 
 def topic_features(tok: DataFrame, k: int = LDA_K, iterations: int = LDA_ITERATIONS, *,
                    seed: int = 0, pid: str = "pid", tokens: str = "tokens", optimizer: str = "em",
+                   vocab_size: int = FULL_VOCABULARY,
                    model: TopicModel | None = None) -> tuple[DataFrame, TopicModel]:
     """(pid, features = mean topic mixture over the subject's notes)."""
-    model = model or fit_topics(tok, k, iterations, seed=seed, tokens=tokens, optimizer=optimizer)
+    model = model or fit_topics(tok, k, iterations, seed=seed, tokens=tokens, optimizer=optimizer,
+                                vocab_size=vocab_size)
     mixed = model.transform(tok.select(pid, tokens), tokens=tokens)
     return mean_vector_by_key(mixed, pid, "topic_mix", out="features"), model
 

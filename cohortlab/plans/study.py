@@ -81,6 +81,7 @@ class StudyConfig:
     refit_test_topics: bool = False
     threshold: float | None = 0.0
     solver: str = "linear_svc"
+    lda_optimizer: str = "em"
 
 
 def _restrict(df: DataFrame, subjects: DataFrame, pid: str = "pid") -> DataFrame:
@@ -127,7 +128,8 @@ def baseline_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()) -> tuple[
 
 
 def _topic_points(tok: DataFrame, labels: DataFrame, cfg: StudyConfig, model=None):
-    feats, model = topic_features(tok, cfg.lda_k, cfg.lda_iterations, seed=cfg.seed, model=model)
+    feats, model = topic_features(tok, cfg.lda_k, cfg.lda_iterations, seed=cfg.seed,
+                                  optimizer=cfg.lda_optimizer, model=model)
     return _points_with_ids(feats, labels), model
 
 
@@ -263,6 +265,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--svm-iterations", type=int, default=SVM_ITERATIONS)
     ap.add_argument("--lda-k", type=int, default=LDA_K)
     ap.add_argument("--lda-iterations", type=int, default=LDA_ITERATIONS)
+    ap.add_argument("--lda-optimizer", default="em", choices=["em", "online"])
     ap.add_argument("--no-topic-sweep", action="store_true", help="skip the hourly topic models")
     ap.add_argument("--master", help="build a local session with this master instead")
     a = ap.parse_args(argv)
@@ -276,7 +279,7 @@ def main(argv: list[str] | None = None) -> None:
     inputs = build_inputs(spark, t["subjects"], t["episodes"], t["notes"], t["scores"], t["flags"],
                           stopwords=stop, label_kind=a.label, seed=a.seed)
     cfg = StudyConfig(svm_iterations=a.svm_iterations, lda_k=a.lda_k, lda_iterations=a.lda_iterations,
-                      seed=a.seed)
+                      seed=a.seed, lda_optimizer=a.lda_optimizer)
     summary = study_summary(run_study(inputs, cfg, topic_sweep=not a.no_topic_sweep))
     summary.write.mode("overwrite").option("header", True).csv(a.out)
 

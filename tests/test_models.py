@@ -48,3 +48,11 @@ def test_cv_grid_rows_and_best(spark):
     top = max(r["mean_auc"] for r in rows)
     first_top = next(r for r in rows if r["mean_auc"] == top)
     assert first_top["best"] and best["iterations"] == first_top["iterations"]
+
+
+def test_online_topic_optimizer(spark):
+    rows = [(p, ["heart", "lung", "renal"] if p % 2 else ["sepsis", "fever", "renal"]) for p in range(12)]
+    tok = spark.createDataFrame(rows, "pid long, tokens array<string>")
+    feats, model = M.topic_features(tok, k=2, iterations=5, seed=2, optimizer="online", vocab_size=4)
+    assert len(model.vocabulary) == 4
+    assert all(abs(sum(r["features"]) - 1.0) < 1e-6 for r in feats.collect())
