@@ -136,6 +136,15 @@ def q_load_flags(spark, d):
                                                 "").alias("flag_str"))
 
 
+@query("load_flags_long", O.sql("SELECT pid, hadm, flag_str FROM flg", "flg"))
+def q_load_flags_long(spark, d):
+    """The long (one row per flag) layout pivoted to flag columns, then loaded."""
+    wide = ld.flags_from_long(fx.flags(spark, d))
+    f = ld.load_flags(wide, pid="pid", hadm="hadm", flag_cols=[f"f{i}" for i in range(30)])
+    return f.select("pid", "hadm", F.array_join(F.transform("flags", lambda x: x.cast("int").cast("string")),
+                                                "").alias("flag_str"))
+
+
 @query("load_notes", O.sql(
     f"SELECT n.pid, n.hadm, {O.ts_text('n.ts')} AS ts, n.category, n.note_id, "
     "CAST(length(d.text) AS BIGINT) AS text_chars FROM notes n JOIN documents d ON n.doc_id = d.doc_id",

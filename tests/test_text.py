@@ -58,3 +58,15 @@ def test_dense_index_is_consecutive(spark):
     idx = sorted((r["k"], r["idx"]) for r in op.dense_index(df, ["k"]).collect())
     assert [i for _, i in idx] == list(range(500))
     assert all(k == i for k, i in idx)
+
+
+def test_stop_words_from_word_file(spark):
+    import os
+    import tempfile
+    from cohortlab.sources import read_word_list
+    d = tempfile.mkdtemp(prefix="cohortlab-stop-")
+    with open(os.path.join(d, "stop.txt"), "w") as f:
+        f.write("alpha\nbeta\nalpha\ndoesn't\n")
+    stop = read_word_list(spark, os.path.join(d, "stop.txt"))
+    toks = _tokens(spark, "alpha beta gamma delta doesn't", stop)
+    assert toks == ["gamma", "delta", "doesn"]   # the apostrophe entry can never match
