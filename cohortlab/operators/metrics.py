@@ -9,9 +9,10 @@ which equals the trapezoid area under the ROC curve with ties (what
 report). neg_below is a prefix sum over the score order; computing it with
 one window over all scores would put every distinct score in one task. So
 rows are first collapsed per distinct score (map-side combine), the scores
-are cut into quantile buckets (``percentile_approx`` per group; at most
-``AUC_BUCKETS - 1`` cut points), bucket totals give each bucket's offset,
-and the prefix sum runs per (group, bucket) in parallel.
+are cut into quantile buckets (``percentile_approx`` over all groups; the
+bucket count grows with the number of distinct scores, up to
+``MAX_BUCKETS``), bucket totals give each bucket's offset per group, and the
+prefix sum runs per (group, bucket) in parallel.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from ..session import materialize
 from ..sources.loaders import table_counts
 from .sampling import label_balance  # noqa: F401  (re-exported)
 
-AUC_BUCKETS = 256
+AUC_BUCKETS = 256             # minimum number of quantile buckets
+ROWS_PER_BUCKET = 1_000_000   # target per-score rows in one bucket window
+MAX_BUCKETS = 1 << 16         # bound on cut points brought to the driver
 
 
 def _by(by: str | Sequence[str] | None) -> list[str]:
@@ -89,27 +92,31 @@ def confusion_counts(df: DataFrame, score: str = "score", label: str = "label",
     return ps.groupBy(*g).agg(*aggs) if g else ps.agg(*aggs)
 
 
+def _bucket_count(n_rows: int, buckets: int) -> int:
+    """Quantile buckets for ``n_rows`` per-score rows: at least ``buckets``,
+    about ROWS_PER_BUCKET rows each, at most MAX_BUCKETS."""
+    return int(min(max(buckets, -(-n_rows // ROWS_PER_BUCKET)), MAX_BUCKETS))
+
+
 def _ranked(ps: DataFrame, score: str, g: list[str], buckets: int) -> DataFrame:
     """Per-score rows with ``_below`` = negatives with a smaller score in the
-    same group, computed per (group, quantile bucket) in parallel."""
+    same group, computed per (group, quantile bucket) in parallel.
+
+    One set of cut points is drawn from all per-score rows (pooled over the
+    groups), so a (group, bucket) cell never holds more rows than the pooled
+    bucket: about ROWS_PER_BUCKET. The cut points (fewer than MAX_BUCKETS) are
+    the only values that reach the driver; rows are bucketed by binary search.
+    """
     s = ps.withColumn("_sd", F.col(score).cast("double"))
-    probs = [i / buckets for i in range(1, buckets)]
-    cut_agg = F.percentile_approx("_sd", probs, 4 * buckets)
-    if g:
-        # one row of cut points per group, joined on the group keys;
-        # bucket = number of cut points strictly below the score
-        cuts = s.groupBy(*g).agg(cut_agg.alias("_cuts"))
-        s = (s.join(cuts, g, "inner")
-             .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_sd")))).drop("_cuts"))
-    else:
-        # a single group: its buckets - 1 cut points (a fixed bound) are read
-        # from the (checkpointed) per-score table and bucketed by binary search
-        row = s.agg(cut_agg.alias("_cuts")).first()
-        cut_points = sorted({float(v) for v in (row["_cuts"] or []) if v == v})
-        splits = [float("-inf")] + (cut_points or [0.0]) + [float("inf")]
-        s = Bucketizer(splits=splits, inputCol="_sd", outputCol="_bd", handleInvalid="keep").transform(s)
-        s = s.withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
+    n_buckets = _bucket_count(s.count(), buckets)
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    row = s.agg(F.percentile_approx("_sd", probs, max(10_000, 4 * n_buckets)).alias("_cuts")).first()
+    cut_points = sorted({float(v) for v in (row["_cuts"] or []) if v == v})
+    splits = [float("-inf")] + (cut_points or [0.0]) + [float("inf")]
+    s = Bucketizer(splits=splits, inputCol="_sd", outputCol="_bd", handleInvalid="keep").transform(s)
+    s = s.withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
     totals = s.groupBy(*g, "_b").agg(F.sum("_neg").alias("_bneg"))
+    # offsets: one row per (group, bucket), at most MAX_BUCKETS per group
     w_b = (Window.partitionBy(*g) if g else Window).orderBy("_b").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bneg").over(w_b), F.lit(0)).alias("_off"))

@@ -63,3 +63,16 @@ def test_confusion_and_metrics(spark):
     assert abs(m["accuracy"] - 0.6) < 1e-12 and abs(m["sensitivity"] - 0.5) < 1e-12
     raw = op.confusion_counts(df, threshold=None).first()   # study's raw-margin equality
     assert raw["tp"] == 0
+
+
+def test_auc_with_many_small_buckets(spark, monkeypatch):
+    from cohortlab.operators import metrics
+    monkeypatch.setattr(metrics, "ROWS_PER_BUCKET", 3)
+    monkeypatch.setattr(metrics, "MAX_BUCKETS", 40)
+    assert metrics._bucket_count(1000, 8) == 40 and metrics._bucket_count(30, 8) == 10
+    df = _scored(spark, n=300, ties=False).withColumn("g", F.col("pid") % 2)
+    rows = [(r["score"], r["label"], r["g"]) for r in df.collect()]
+    assert abs(op.auc_by_rank(df, buckets=2).first()["auc"] - _brute_auc([(s, y) for s, y, _ in rows])) < 1e-12
+    by = {r["g"]: r["auc"] for r in op.auc_by_rank(df, by="g", buckets=2).collect()}
+    for g in (0, 1):
+        assert abs(by[g] - _brute_auc([(s, y) for s, y, k in rows if k == g])) < 1e-12
