@@ -108,9 +108,17 @@ def _ranked(ps: DataFrame, score: str, g: list[str], buckets: int) -> DataFrame:
     the only values that reach the driver; rows are bucketed by binary search.
     """
     s = ps.withColumn("_sd", F.col(score).cast("double"))
-    n_buckets = _bucket_count(s.count(), buckets)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = s.agg(F.percentile_approx("_sd", probs, max(10_000, 4 * n_buckets)).alias("_cuts")).first()
+
+    def cuts_for(n_b: int) -> list:
+        probs = [i / n_b for i in range(1, n_b)]
+        return [F.percentile_approx("_sd", probs, max(10_000, 4 * n_b)).alias("_cuts")]
+
+    # one pass gives the row count and the cut points at the minimum bucket
+    # count; a second pass only when the data needs more buckets
+    row = s.agg(F.count(F.lit(1)).alias("_n"), *cuts_for(buckets)).first()
+    n_buckets = _bucket_count(row["_n"], buckets)
+    if n_buckets > buckets:
+        row = s.agg(*cuts_for(n_buckets)).first()
     cut_points = sorted({float(v) for v in (row["_cuts"] or []) if v == v})
     splits = [float("-inf")] + (cut_points or [0.0]) + [float("inf")]
     s = Bucketizer(splits=splits, inputCol="_sd", outputCol="_bd", handleInvalid="keep").transform(s)
