@@ -63,3 +63,10 @@ def test_sort_merge_plans_match_oracle(spark, con, sf_dir, name):
             else:
                 spark.conf.set(k, v)
     assert r["spark_rows"] == r["oracle_rows"] and r["cols"] and r["rounded"], r
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema
+    assert [f.dataType.simpleString() for f in a.schema.fields] == \
+        ["bigint", "bigint", "bigint", "double", "bigint", "bigint", "bigint"]
