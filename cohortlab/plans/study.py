@@ -41,12 +41,13 @@ def hourly_auc(scored: DataFrame, cohort: DataFrame, first: DataFrame, hours: It
     f = first.select(pid, millis("first_ts").alias("_f"))
     x = scored.select(pid, score, label).join(c, pid, "inner").join(f, pid, "left")
 
-    def present(h):
-        b = F.col("_f") + h.cast("bigint") * F.lit(MS_HOUR)
-        return (h <= 0) | (F.col("_f").isNotNull() & (F.col("_o") > b) & (F.col("_d") > b))
-
-    marks = F.filter(F.array(*[F.lit(h) for h in hrs]), present)
-    ex = x.select(pid, score, label, F.explode(marks).alias("hour"))
+    # each subject meets every mark once (a fixed number of rows per subject),
+    # then keeps the marks at which it is still present
+    ex = x.select(pid, score, label, "_f", "_o", "_d",
+                  F.explode(F.array(*[F.lit(h) for h in hrs])).alias("hour"))
+    b = F.col("_f") + F.col("hour").cast("bigint") * F.lit(MS_HOUR)
+    present = (F.col("hour") <= 0) | (F.col("_f").isNotNull() & (F.col("_o") > b) & (F.col("_d") > b))
+    ex = ex.filter(present).select(pid, score, label, "hour")
     return op.binary_metrics(ex, score, label, by="hour", threshold=threshold)
 
 
