@@ -70,3 +70,18 @@ def test_stop_words_from_word_file(spark):
     stop = read_word_list(spark, os.path.join(d, "stop.txt"))
     toks = _tokens(spark, "alpha beta gamma delta doesn't", stop)
     assert toks == ["gamma", "delta", "doesn"]   # the apostrophe entry can never match
+
+
+def test_dense_index_across_many_partitions(spark):
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("k"), (F.col("id") % 3).alias("g"))
+        out = op.dense_index(df, ["g", "k"], out="i").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    got = sorted((r["g"], r["k"], r["i"]) for r in out)
+    assert [i for _, _, i in got] == list(range(5000))
