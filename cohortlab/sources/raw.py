@@ -40,10 +40,12 @@ def raw_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return table_counts({k: tables[k] for k in ("subjects", "episodes", "scores")})
 
 
-def export_raw_csv(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
+def export_raw_csv(spark: SparkSession, sf_dir: str, out_dir: str,
+                   only: tuple[str, ...] | None = None) -> dict[str, str]:
     """Write the fixture tables of ``sf_dir`` in the raw export layout (text
     columns, empty for missing values) under ``out_dir``; returns the paths.
-    Used to run the whole study from CSV files in tests and demos."""
+    ``only`` limits the export to some of the five tables. Used to run the
+    whole study from CSV files in tests and demos."""
     from ..constants import FLAG_NAMES, SCORE_FIELDS
     o = out_dir.rstrip("/")
     txt = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -70,6 +72,8 @@ def export_raw_csv(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str,
     }
     paths = {}
     for key, df in tables.items():
+        if only is not None and key not in only:
+            continue
         paths[key] = f"{o}/{RAW_FILES[key]}"
         write_csv_table(df, paths[key])
     return paths
