@@ -7,7 +7,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .decontaminate import decontaminate
+from .language_id import language_id
+from .line_dedup import SQL as LINE_DEDUP_SQL
+from .line_dedup import line_dedup_report
+from .packing import best_fit_pack
 from .secrets import secret_scan
 from .token_counts import token_counts
 
@@ -16,18 +22,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                         public_tokenizers.path("byte_bpe_50k.tiktoken"), limit=512)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes in UTF-8 bytes; copies of one text are a duplicate cluster."""
+    return best_fit_pack(table(spark, sf_dir, "documents"), size=F.octet_length("text"), source=F.col("source"),
+                         cluster=F.xxhash64("text"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_token_counts": op2_token_counts,
+    "op3_language_id": op3_language_id,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op9_secret_scan": op9_secret_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": LINE_DEDUP_SQL,
+}
