@@ -4,10 +4,10 @@ Base kinds, leftmost and non-overlapping per kind: ``assign`` (a key word, an
 assignment and a value of 6 or more characters), ``access`` (AKIA..., 20 or
 more characters), ``hex`` (24 or more lower-case hex digits).
 
-The method adds the kind ``token``: every maximal run of 20 or more
-characters of A-Za-z0-9+/_=.- is a candidate. Known shapes are excluded: hex
+The method adds the kind ``token``: every maximal run of 16 or more
+characters of A-Za-z0-9+/_.- is a candidate. Known shapes are excluded: hex
 strings as long as a digest (32, 40, 56, 64, 96 or 128), UUIDs, numbers, and
-identifiers (letters only, or parts joined by / _ . - = + that are each a word
+identifiers (letters only, or parts joined by / _ . - + that are each a word
 in one case style or a number). Of the rest, a run with few characters per
 token under a byte-level BPE vocabulary is a random string: words that a
 vocabulary knows take few tokens, random characters take many.
@@ -33,7 +33,8 @@ from pyspark.sql import types as T
 from . import kernels as K
 from .token_counts import read_bytes
 
-MIN_RUN = 20
+MIN_RUN = 16
+MIN_HEX = 24
 MAX_CHARS_PER_TOKEN = 2.2
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 KINDS = ("assign", "access", "hex", "token")
@@ -41,14 +42,14 @@ KINDS = ("assign", "access", "hex", "token")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
-_HEX = re.compile(r"[0-9a-f]{24,}")
+_HEX = re.compile(rf"[0-9a-f]{{{MIN_HEX},}}")
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ANY_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _PART = re.compile(r"[a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]+|[a-z]+(?:[A-Z][a-z]+)+|(?:[A-Z][a-z]+)+|")
-_JOIN = re.compile(r"[/_.=+-]")
+_JOIN = re.compile(r"[/_.+-]")
 _RUN_BYTES = np.zeros(256, dtype=bool)
-_RUN_BYTES[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-"]] = True
+_RUN_BYTES[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.-"]] = True
 _ENCODINGS: dict[int, object] = {}
 
 
@@ -108,7 +109,7 @@ def scan(col, enc, min_run: int = MIN_RUN, ratio: float = MAX_CHARS_PER_TOKEN) -
     order = {k: i for i, k in enumerate(KINDS)}
     out: list[list[tuple[int, int, str]]] = []
     for lo, hi in K.slices(offsets):
-        rows, starts, ends = runs(raw, offsets[lo: hi + 1], min_run)
+        rows, starts, ends = runs(raw, offsets[lo: hi + 1], min(min_run, MIN_HEX))
         by_row: dict[int, list[tuple[int, int]]] = {}
         for r, s, e in zip(rows.tolist(), starts.tolist(), ends.tolist(), strict=True):
             by_row.setdefault(r, []).append((s, e))
@@ -121,7 +122,7 @@ def scan(col, enc, min_run: int = MIN_RUN, ratio: float = MAX_CHARS_PER_TOKEN) -
                 chars = None if t.isascii() else K.char_positions(own)
                 for s, e in cand:
                     piece = own[s:e].tobytes().decode("ascii")
-                    if known_shape(piece) or len(piece) >= ratio * len(enc.encode_ordinary(piece)):
+                    if len(piece) < min_run or known_shape(piece) or len(piece) >= ratio * len(enc.encode_ordinary(piece)):
                         continue
                     a = s if chars is None else int(chars[s])
                     spans.append((a, a + len(piece), "token"))
