@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .jaccard_join import jaccard_report
 from .language_id import language_id
 from .line_dedup import SQL as LINE_DEDUP_SQL
 from .line_dedup import line_dedup_report
@@ -49,6 +50,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_counts": op2_token_counts,
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_secret_scan": op9_secret_scan,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
