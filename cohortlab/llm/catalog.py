@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
+from .embedding_dedup import embedding_dedup
 from .jaccard_join import jaccard_report
 from .language_id import language_id
 from .line_dedup import SQL as LINE_DEDUP_SQL
 from .line_dedup import line_dedup_report
 from .packing import best_fit_pack
 from .secrets import secret_scan
+from .substring_dedup import passage_report
 from .token_counts import token_counts
+from .transcripts import format_conversations
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +39,17 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_report(table(spark, sf_dir, "documents"))
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles are learned on four fifths of the conversations (by a hash of
+    the id) and recovered for all."""
+    return format_conversations(table(spark, sf_dir, "conversations"),
+                                training=F.coalesce(F.crc32(F.col("conv").cast("binary")) % 5 != 0, F.lit(False)))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,6 +60,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          cluster=F.xxhash64("text"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -54,14 +72,23 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_report(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_decontaminate": op6_decontaminate,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
