@@ -11,12 +11,12 @@ stands, an insertion moves only the cuts beside it, and chunks have at least
 Chunks are compared by a 64-bit digest of their words. The occurrence with the
 smallest (document id, position) is the first; every other one is a duplicate
 if the digest is found in another document. A run of neighbouring duplicates
-is a passage if it has ``min_words`` words. The common text can go on into the
-next chunk on either side (and a few words on, where cuts depend on what stands
-outside it); a shorter run that could reach
-``min_words`` that way is verified: one whole window of that many words must
-also stand in an earlier document (around a first occurrence that the run
-follows, or in such a run of its own). Other runs (a licence line, a common sentence) are left alone.
+is a passage if it follows the chunks of one other document for ``min_words``
+words. The common text can go on into the next chunk on either side (and a few
+words on, where cuts depend on what stands outside it); any other run that
+could reach ``min_words`` that way is verified: one whole window of that many
+words must also stand in an earlier document (around a first occurrence that
+the run follows, or in such a run of its own). Other runs (a licence line, a common sentence) are left alone.
 
 Shuffles hold digests and positions, never texts. Digests are counted once per
 map slice before they are shuffled, so that a frequent passage costs one row
@@ -134,26 +134,30 @@ def _chunk_rows(src: DataFrame) -> DataFrame:
                                "before int, after int")
 
 
-def passages_of(chunks: list[dict], min_words: int) -> list[dict]:
+def passages_of(own: tuple, chunks: list[dict], min_words: int) -> list[dict]:
     """The runs of one document's duplicate chunks that can hold
     ``min_words`` words: bytes, words, how many more words the common text may
     have on either side, and the places of first occurrences that the run
-    follows, each with the words the run has before and from there."""
+    follows, each with the words the run has before and from there. A run is
+    proven if it follows one other document for ``min_words`` words."""
     out, run = [], []
 
     def close() -> None:
         if run:
             n, before, after = sum(c["n"] for c in run), run[0]["before"], run[-1]["after"]
             if n + before + after >= min_words:
-                partners, done, was = [], 0, None
+                partners, done, was, stretch, longest = [], 0, None, 0, 0
                 for c in run:
                     f = c["f"]
                     if was is None or (f["id"], f["tkey"], f["chunk"]) != (was["id"], was["tkey"], was["chunk"] + 1):
                         partners.append({"id": f["id"], "tkey": f["tkey"], "chunk": f["chunk"], "back": before + done,
                                          "ahead": n - done + after})
-                    done, was = done + c["n"], f
+                        stretch = 0
+                    done, was, stretch = done + c["n"], f, stretch + c["n"]
+                    if (f["id"], f["tkey"]) != own:
+                        longest = max(longest, stretch)
                 out.append({"start": run[0]["start"], "end": run[-1]["end"], "n": n, "before": before, "after": after,
-                            "partners": partners})
+                            "proven": longest >= min_words, "partners": partners})
 
     for c in sorted({c["chunk"]: c for c in chunks}.values(), key=lambda c: c["chunk"]):
         if run and c["chunk"] != run[-1]["chunk"] + 1:
@@ -165,7 +169,7 @@ def passages_of(chunks: list[dict], min_words: int) -> list[dict]:
 
 
 def _runs(again: DataFrame, min_words: int) -> DataFrame:
-    """(id, tkey, start, end, n, before, after, partners)."""
+    """(id, tkey, start, end, n, before, after, proven, partners)."""
     kind = again.schema["id"].dataType.simpleString()
     rows = again.select("id", "tkey", F.struct("chunk", "start", "end", "n", "before", "after", "f").alias("c"))
     docs = rows.groupBy("id", "tkey").agg(F.collect_list("c").alias("chunks"))
@@ -177,17 +181,17 @@ def _runs(again: DataFrame, min_words: int) -> DataFrame:
                                         ("back", pa.int64()), ("ahead", pa.int64())]))
             for lo in range(0, b.num_rows, 256):
                 p = b.slice(lo, 256)
-                found = [passages_of(c, min_words) for c in p.column(2).to_pylist()]
+                found = [passages_of((i, t), c, min_words) for i, t, c in zip(*(x.to_pylist() for x in p.columns), strict=True)]
                 rows = pa.array(np.repeat(np.arange(p.num_rows), [len(f) for f in found]))
                 flat = [x for f in found for x in f]
                 ints = ("start", "end", "n", "before", "after")
                 yield pa.RecordBatch.from_arrays(
                     [p.column(0).take(rows), p.column(1).take(rows), *(pa.array([x[k] for x in flat], pa.int64()) for k in ints),
-                     pa.array([x["partners"] for x in flat], place)],
-                    names=["id", "tkey", *ints, "partners"])
+                     pa.array([x["proven"] for x in flat], pa.bool_()), pa.array([x["partners"] for x in flat], place)],
+                    names=["id", "tkey", *ints, "proven", "partners"])
 
     return docs.mapInArrow(run, f"id {kind}, tkey bigint, start bigint, end bigint, n bigint, before bigint, after bigint, "
-                                f"partners {at}")
+                                f"proven boolean, partners {at}")
 
 
 def _window_rows(texts: DataFrame, min_words: int) -> DataFrame:
@@ -231,8 +235,8 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     runs = written(_runs(again, min_words).withColumn(
         "run", F.xxhash64("id", F.col("id").isNull(), "tkey", "start")), "runs")
 
-    # runs that are shorter than a passage: is a whole window, with what stands beside them, in an earlier document?
-    open_ = runs.filter(F.col("n") < min_words)
+    # runs that are not proven: is a whole window of them, with what stands beside them, in an earlier document?
+    open_ = runs.filter("NOT proven")
     own = open_.select("id", "tkey", F.struct("run", F.col("start").alias("place"), F.col("before").alias("back"),
                                               (F.col("n") + F.col("after")).alias("ahead")).alias("ask"))
     other = (open_.select(F.explode("partners").alias("p"))
@@ -246,7 +250,7 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     earliest = windows.groupBy("window").agg(F.min(document).alias("e"), F.max(document).alias("m")).filter("e != m")
     whole = (windows.filter("run IS NOT NULL").join(earliest, "window").filter(document > F.col("e"))
              .select("run").distinct())
-    kept = runs.filter(F.col("n") >= min_words).unionByName(open_.join(whole, "run", "left_semi").select(*runs.columns))
+    kept = runs.filter("proven").unionByName(open_.join(whole, "run", "left_semi").select(*runs.columns))
     return kept.select("id", "tkey", "start", "end", F.col("n").alias("n_words"),
                        F.col("partners")[0]["id"].alias("first_id"))
 
