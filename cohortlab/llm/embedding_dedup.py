@@ -94,9 +94,9 @@ class Graph:
             v = self.vecs[np.maximum(ids, 0)]
             chosen = diverse(sims, np.einsum("bcd,bed->bce", v, v), NEIGHBOURS)
             for i, x in enumerate(new.tolist()):
-                own = ids[i][chosen[i]]
-                table[x, : len(own)] = own
-                for y in own.tolist():
+                table[x, : chosen[i].sum()] = ids[i][chosen[i]]
+            for i, x in enumerate(new.tolist()):
+                for y in ids[i][chosen[i]].tolist():
                     self._link(table, y, x)
             done += len(new)
             size = max(size, done)
