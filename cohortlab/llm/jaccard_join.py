@@ -20,8 +20,9 @@ percent * |A | B|. The result is exact: components of all links.
    ``group_size`` are the groups.
 5. Matrix. (shingle, group) for the prefix shingles of the members. A class
    queries the groups of components after its own: those that hold one of its
-   prefix shingles. A group is opened only if the union of its members'
-   shingles holds enough of the query's and if the sizes allow a link; inside,
+   prefix shingles, unless the sizes and the place of that shingle among the
+   class's, by rarity, rule a link out. A group is opened only if the union of its members'
+   shingles holds enough of the query's; inside,
    members are compared exactly up to the first link (a group is connected
    already). Groups with many queries are split by salt.
 
@@ -256,9 +257,10 @@ def _linked_pairs(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _ranked(sets: DataFrame, percent: int) -> DataFrame:
-    """(cls, n, central, m1, m2, prefix): the classes whose prefix holds a
-    shingle of another class; ``prefix`` those shingles; ``central`` the mean
-    log frequency; m1, m2 two min-hashes."""
+    """(cls, n, common, central, m1, m2, prefix): the classes whose prefix
+    holds a shingle of another class; ``prefix`` those shingles; ``common``
+    how many of its shingles another class has; ``central`` the mean log
+    frequency; m1, m2 two min-hashes."""
     tokens = sets.select("cls", F.explode("toks").alias("tok"))
     freq = tokens.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
     known = (tokens.join(freq, "tok").groupBy("cls")
@@ -268,7 +270,7 @@ def _ranked(sets: DataFrame, percent: int) -> DataFrame:
     prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
     left = prefix - (F.col("n") - F.size("known"))
     return (rows.filter(left > 0)
-            .select("cls", "n", (F.col("logs") / F.col("n")).alias("central"), "m1", "m2",
+            .select("cls", "n", F.size("known").alias("common"), (F.col("logs") / F.col("n")).alias("central"), "m1", "m2",
                     F.transform(F.slice("known", F.lit(1), left.cast("int")), lambda x: x["tok"]).alias("prefix")))
 
 
@@ -312,13 +314,18 @@ def _class_roots(sets: DataFrame, percent: int, group_size: int) -> DataFrame:
     blocks = comp.groupBy("root").agg(F.ceil(F.count("*") / F.lit(group_size)).alias("blocks"))
     blocked = comp.join(blocks, "root")
     placed = written(ranked.join(blocked.withColumnRenamed("node", "cls"), "cls", "left")
-                     .select("cls", "n", "prefix", F.coalesce("root", "cls").alias("comp"),
+                     .select("cls", "n", "common", "prefix", F.coalesce("root", "cls").alias("comp"),
                              F.pmod(F.xxhash64("cls"), F.coalesce("blocks", F.lit(1))).alias("block")), "groups")
-    entries = placed.select("cls", "n", "comp", "block", F.explode("prefix").alias("tok"))
+    # ``rest``: how many shingles of the class are not rarer than this one and held by another class
+    entries = (placed.select("cls", "n", "common", "comp", "block", F.posexplode("prefix").alias("at", "tok"))
+               .withColumn("rest", F.col("common") - F.col("at")))
     matrix = entries.groupBy("tok", F.col("comp").alias("gcomp"), F.col("block").alias("gblock")) \
-        .agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    query = entries.select("tok", "cls", "n", "comp")
-    asked = (query.join(matrix, "tok").filter("comp < gcomp")
+        .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("reach"))
+    query = entries.select("tok", "cls", "n", "rest", "comp")
+    # if this is the rarest shingle that the two share, they share ``both`` at most and unite ``union`` at least
+    both = F.least("rest", "reach")
+    union = F.col("n") + F.greatest(F.col("least"), both) - both
+    asked = (query.join(matrix, "tok").filter("comp < gcomp").filter(both * 100 >= union * percent)
              .filter((F.col("most") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("least") * percent))
              .select(F.col("cls").alias("q"), "gcomp", "gblock").distinct())
     asked = written(asked, "asked")
