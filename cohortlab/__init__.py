@@ -1,11 +1,11 @@
-"""cohortlab: longitudinal cohort analytics as lazy Spark DataFrame operators.
+"""cohortlab: longitudinal cohort analytics as Spark DataFrame operators.
 
 Sub-packages:
   sources    readers, typed loaders, text normalisers and sinks
   functions  column expressions (time, text, hashing)
   operators  cohort, text, sampling, feature and metric operators
   plans      model fitting, the study experiments and the query catalog
-  streaming  (the study is batch only; see its docstring)
+  llm        operators of a training-data pipeline (stands alone)
 """
 
 __version__ = "0.1.0"

@@ -88,16 +88,17 @@ DEFAULT_STOP_WORDS = (
 ).split(" ")
 
 # Study defaults: split proportion, target positive share after rebalancing,
-# exact-split threshold on the subject count, hour sweep, model settings.
+# hour sweep, model settings (EXP-3 has an L2 parameter of its own).
 TRAIN_PROPORTION = 0.7
 TARGET_POSITIVE_SHARE = 0.3
-EXACT_SPLIT_MAX_SUBJECTS = 2000
 HOURS_START, HOURS_STOP, HOURS_STEP = 0, 240, 12
 TOPIC_HOURS_START = 12
 N_FOLDS = 5
 LDA_K = 50
 LDA_ITERATIONS = 50
 SVM_ITERATIONS = 300
+SVM_REG = 100.0
+RETROSPECTIVE_TOPIC_REG = 0.1
 BASELINE_GRID = {"intercept": [True], "iterations": [200, 300, 400],
                  "reg": [0.1, 1.0, 10.0, 50.0, 100.0]}
 DERIVED_GRID = {"intercept": [False, True], "iterations": [200, 300, 400],

@@ -2,7 +2,7 @@
 
 from .hashing import hash_threshold, unit_hash
 from .textcols import clean_text, raw_tokens, word_tokens
-from .timecols import as_ts, blank_to_null, millis, parse_ts, plus_hours, sentinel, ts_text
+from .timecols import as_ts, blank_to_null, millis, parse_ts, sentinel, ts_text
 
 __all__ = ["as_ts", "blank_to_null", "clean_text", "hash_threshold", "millis", "parse_ts",
-           "plus_hours", "raw_tokens", "sentinel", "ts_text", "unit_hash", "word_tokens"]
+           "raw_tokens", "sentinel", "ts_text", "unit_hash", "word_tokens"]

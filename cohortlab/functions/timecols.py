@@ -45,10 +45,6 @@ def millis(c: str | Column) -> Column:
     return F.unix_millis(col_of(c))
 
 
-def plus_hours(c: str | Column, hours: int) -> Column:
-    return col_of(c) + F.make_dt_interval(F.lit(0), F.lit(int(hours)))
-
-
 def ts_text(c: str | Column) -> Column:
     """Canonical text form used in query outputs (both engines agree on it)."""
     return F.date_format(col_of(c), TS_FORMAT)

@@ -1,7 +1,11 @@
 """Cohort, text, sampling, feature and metric operators.
 
-Every operator is ``fn(DataFrame, ..., *, column names) -> DataFrame``,
-lazy, and built from Spark SQL expressions (no Python UDF)."""
+Every operator is ``fn(DataFrame, ..., *, column names) -> DataFrame``, built
+from Spark SQL expressions. They are lazy, but for those that need a number or
+a written table to build the plan: ``split_exact``, ``take_smallest`` and
+``rebalance_negatives`` count, ``auc_by_rank``, ``binary_metrics``,
+``dense_index`` and ``labeled_points_sparse`` write a checkpoint. The one
+Python UDF makes the sparse vectors of ``labeled_points_sparse``."""
 
 from .cohort import (build_cohort, cohort_episodes, cohort_subjects, events_within_hours,
                      first_event, join_subject_episode, label_all, label_events, latest_episode,
@@ -12,7 +16,7 @@ from .features import (array_to_long, baseline_features_long, baseline_features_
                        labeled_points_dense, labeled_points_sparse, mean_vector_by_key)
 from .metrics import auc_by_rank, binary_metrics, confusion_counts, stage_counts
 from .sampling import (fold_assignment, label_balance, rebalance_negatives, split_exact,
-                       split_hash, split_subjects, subtract_rows, take_smallest)
+                       smallest, split_hash, split_subjects, subtract_rows, take_smallest)
 from .text import (dense_index, min_word_subjects, note_cohort, term_counts, tokenize, vocabulary,
                    words_per_subject)
 

@@ -73,16 +73,19 @@ def join_subject_episode(subjects: DataFrame, episodes: DataFrame, *, pid: str =
 
 
 def notes_in_episode(cohort: DataFrame, notes: DataFrame, *, keys: Sequence[str] = ("pid", "hadm"),
-                     ts: str = "ts") -> DataFrame:
+                     ts: str = "ts", carry: str | None = None) -> DataFrame:
     """Notes of the cohort admission written inside the episode:
-    in <= t < out and t < death. Returns the note columns."""
+    in <= t < out and t < death. Returns the note columns; with ``carry``
+    also the cohort row as a struct of that name, so that what follows does
+    not need to join the cohort again."""
     c = cohort.select(*[F.col(k).alias(f"_c_{k}") for k in keys],
                       F.col("in_ts").alias("_c_in"), F.col("out_ts").alias("_c_out"),
-                      F.col("dod").alias("_c_dod"))
+                      F.col("dod").alias("_c_dod"),
+                      *([F.struct(*cohort.columns).alias(carry)] if carry else []))
     cond = [notes[k] == c[f"_c_{k}"] for k in keys]
     t = notes[ts]
     cond += [c["_c_in"] <= t, t < c["_c_out"], t < c["_c_dod"]]
-    return notes.join(c, cond, "inner").select(*[notes[x] for x in notes.columns])
+    return notes.join(c, cond, "inner").select(*[notes[x] for x in notes.columns], *([c[carry]] if carry else []))
 
 
 def restrict_to_subjects(df: DataFrame, subjects: DataFrame, *, pid: str = "pid") -> DataFrame:

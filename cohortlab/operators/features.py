@@ -5,9 +5,9 @@ Labelled points: (pid, label double, features vector) for Spark ML.
 
 Baseline features are age / 89, sex and severity score / 163 of the cohort
 episode; derived features append the 30 comorbidity flags of the cohort
-admission. ``stack`` builds the long form in one pass (no union of three
-scans), and the sparse path keeps patients' (index, value) pairs grouped per
-patient only (a patient's own features, bounded by the dictionary).
+admission. The long form is built in one pass (no union of three scans), and
+the sparse path groups a patient's own (index, value) pairs only, so a point
+costs its number of features, not the size of the dictionary.
 """
 
 from __future__ import annotations
@@ -15,23 +15,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MAX_AGE, MAX_SCORE
+from ..session import materialize
 from .cohort import present_after_hours
 
 BASELINE_NAMES = ("patient_age", "patient_sex", "saps_score")
+# Entries of a dictionary that may be broadcast (a name and a number each).
+BROADCAST_NAMES = 1_000_000
 
 
 def _baseline_values(cohort: DataFrame, scores: DataFrame, first: DataFrame | None,
-                     hours: int, keys: Sequence[str]) -> DataFrame:
+                     hours: int, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     c = present_after_hours(cohort, first, hours) if (first is not None and hours > 0) else cohort
     s = scores.select(*keys, F.col("score"))
-    j = c.select(*keys, "age", "is_male").join(s, list(keys), "inner")
+    j = c.select(*keys, "age", "is_male", *keep).join(s, list(keys), "inner")
     return j.select(
-        "pid",
+        "pid", *keep,
         (F.col("age") / F.lit(MAX_AGE)).alias("_age"),
         F.col("is_male").cast("double").alias("_sex"),
         (F.col("score") / F.lit(MAX_SCORE)).alias("_score"),
@@ -51,9 +55,11 @@ def baseline_features_long(cohort: DataFrame, scores: DataFrame, first: DataFram
 
 def baseline_features_wide(cohort: DataFrame, scores: DataFrame, first: DataFrame | None = None,
                            hours: int = 0, *, keys: Sequence[str] = ("pid", "hadm", "stay"),
-                           out: str = "features") -> DataFrame:
-    v = _baseline_values(cohort, scores, first, hours, keys)
-    return v.select("pid", F.array("_age", "_sex", "_score").alias(out))
+                           out: str = "features", keep: Sequence[str] = ()) -> DataFrame:
+    """(pid, array of age, sex and score); ``keep`` names cohort columns to
+    carry along."""
+    v = _baseline_values(cohort, scores, first, hours, keys, keep)
+    return v.select("pid", F.array("_age", "_sex", "_score").alias(out), *keep)
 
 
 def flag_vector(flags: DataFrame, cohort: DataFrame, *, keys: Sequence[str] = ("pid", "hadm"),
@@ -93,11 +99,9 @@ def labeled_points_dense(features: DataFrame, labels: DataFrame, *, pid: str = "
     return j.select(pid, "label", array_to_vector(F.col(features_col)).alias("features"))
 
 
-def _scatter(indices: Column, values: Column, size: Column) -> Column:
-    """Dense array of ``size`` zeros with values placed at indices."""
-    m = F.map_from_arrays(indices, values)
-    return F.transform(F.sequence(F.lit(0), size - 1),
-                       lambda i: F.coalesce(F.element_at(m, i), F.lit(0.0)))
+# Spark ML has no expression that makes a sparse vector of two arrays; this
+# is the library's one Python UDF, and it sees a subject's own features only.
+sparse_vector = F.udf(lambda size, indices, values: SparseVector(size, indices, values), VectorUDT())
 
 
 def labeled_points_sparse(long: DataFrame, labels: DataFrame, dictionary: DataFrame | None = None,
@@ -106,19 +110,26 @@ def labeled_points_sparse(long: DataFrame, labels: DataFrame, dictionary: DataFr
     """Sparse labelled points from long-form features.
 
     Output: pid, label, size, indices, values (sorted by index) and
-    ``features`` (the ML vector). The dictionary size is a scalar subquery,
-    never a driver-side map.
+    ``features`` (an ML ``SparseVector``). The dictionary has one row per
+    name; it is written once, its size is checked, and it is broadcast up to
+    ``BROADCAST_NAMES`` names (the join shuffles beyond). Names the dictionary
+    does not have are left out; a subject with none that it has keeps an empty
+    vector.
     """
-    d = dictionary if dictionary is not None else feature_dictionary(long, feature=feature)
-    size = d.select(F.count(F.lit(1)).cast("int")).scalar()
-    pairs = long.select(pid, F.lower(F.col(feature)).alias("name"), F.col(value).alias("_v")).join(
-        d.select("name", "index"), "name", "inner")
-    per = pairs.groupBy(pid).agg(F.sort_array(F.collect_list(F.struct("index", "_v"))).alias("_p"))
+    if dictionary is None:
+        long = materialize(long)
+        dictionary = feature_dictionary(long, feature=feature)
+    d = materialize(dictionary.select("name", "index"))
+    size = d.count()
+    side = F.broadcast(d) if size <= BROADCAST_NAMES else d
+    pairs = long.select(pid, F.lower(F.col(feature)).alias("name"), F.col(value).alias("_v")).join(side, "name", "left")
+    # collect_list leaves nulls out: names without an index
+    known = F.when(F.col("index").isNotNull(), F.struct("index", "_v"))
+    per = pairs.groupBy(pid).agg(F.sort_array(F.collect_list(known)).alias("_p"))
     per = per.select(pid, F.col("_p.index").alias("indices"), F.col("_p._v").alias("values"))
     j = per.join(labels.select(pid, F.col(label).cast("double").alias("label")), pid, "inner")
-    j = j.select(pid, "label", size.alias("size"), "indices", "values")
-    return j.withColumn("features", array_to_vector(
-        _scatter(F.col("indices"), F.col("values"), F.col("size"))))
+    j = j.select(pid, "label", F.lit(size).alias("size"), "indices", "values")
+    return j.withColumn("features", sparse_vector("size", "indices", "values"))
 
 
 def mean_vector_by_key(df: DataFrame, key: str | Sequence[str], vec: str, *,
@@ -128,7 +139,6 @@ def mean_vector_by_key(df: DataFrame, key: str | Sequence[str], vec: str, *,
     ``Summarizer`` aggregates vectors with partial aggregation (no explode,
     no row per element in the shuffle)."""
     keys = [key] if isinstance(key, str) else list(key)
-    from pyspark.ml.linalg import VectorUDT
     v = F.col(vec) if isinstance(df.schema[vec].dataType, VectorUDT) else array_to_vector(F.col(vec))
     agg = df.select(*keys, v.alias("_v")).groupBy(*keys).agg(Summarizer.mean(F.col("_v")).alias("_m"))
     return agg.select(*keys, vector_to_array("_m").alias(out))

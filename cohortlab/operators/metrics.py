@@ -8,18 +8,19 @@ which equals the trapezoid area under the ROC curve with ties (what
 ``BinaryClassificationMetrics`` / ``BinaryClassificationEvaluator(numBins=0)``
 report). neg_below is a prefix sum over the score order; computing it with
 one window over all scores would put every distinct score in one task. So
-rows are first collapsed per distinct score (map-side combine), the scores
-are cut into quantile buckets (``percentile_approx`` over all groups; the
-bucket count grows with the number of distinct scores, up to
-``MAX_BUCKETS``), bucket totals give each bucket's offset per group, and the
-prefix sum runs per (group, bucket) in parallel.
+rows are first collapsed per distinct score (map-side combine), the result is
+range-partitioned by (group, score) and checkpointed, one total per
+(partition, group) gives the partition's offset, and the prefix sum runs
+inside each partition. Infinite scores are ordinary scores; NaN is above all.
+
+``auc_by_rank`` and ``binary_metrics`` write that checkpoint when they are
+called; everything after it is lazy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +28,6 @@ from ..session import materialize
 from ..sources.loaders import table_counts
 from .sampling import label_balance  # noqa: F401  (re-exported)
 
-AUC_BUCKETS = 256             # minimum number of quantile buckets
-ROWS_PER_BUCKET = 1_000_000   # target per-score rows in one bucket window
-MAX_BUCKETS = 1 << 16         # bound on cut points brought to the driver
-
 
 def _by(by: str | Sequence[str] | None) -> list[str]:
     if by is None:
@@ -51,7 +48,7 @@ def prediction(score: str, threshold: float | None) -> Column:
 
 
 def per_score_counts(df: DataFrame, score: str = "score", label: str = "label", *,
-                     by: str | Sequence[str] | None = None, checkpoint: bool = False) -> DataFrame:
+                     by: str | Sequence[str] | None = None) -> DataFrame:
     """(by..., score, _pos, _neg): rows collapsed per distinct score.
 
     Every metric below is computed from this one aggregate (partial
@@ -61,9 +58,8 @@ def per_score_counts(df: DataFrame, score: str = "score", label: str = "label",
     """
     g = _by(by)
     pos = F.when(F.col(label) > 0, 1).otherwise(0)
-    ps = (df.filter(F.col(score).isNotNull()).groupBy(*g, score)
-          .agg(F.sum(pos).cast("bigint").alias("_pos"), F.sum(1 - pos).cast("bigint").alias("_neg")))
-    return materialize(ps) if checkpoint else ps
+    return (df.filter(F.col(score).isNotNull()).groupBy(*g, score)
+            .agg(F.sum(pos).cast("bigint").alias("_pos"), F.sum(1 - pos).cast("bigint").alias("_neg")))
 
 
 def _confusion_aggs(score: str, threshold: float | None) -> list[Column]:
@@ -92,45 +88,25 @@ def confusion_counts(df: DataFrame, score: str = "score", label: str = "label",
     return ps.groupBy(*g).agg(*aggs) if g else ps.agg(*aggs)
 
 
-def _bucket_count(n_rows: int, buckets: int) -> int:
-    """Quantile buckets for ``n_rows`` per-score rows: at least ``buckets``,
-    about ROWS_PER_BUCKET rows each, at most MAX_BUCKETS."""
-    return int(min(max(buckets, -(-n_rows // ROWS_PER_BUCKET)), MAX_BUCKETS))
-
-
-def _ranked(ps: DataFrame, score: str, g: list[str], buckets: int) -> DataFrame:
+def _ranked(ps: DataFrame, score: str, g: list[str]) -> DataFrame:
     """Per-score rows with ``_below`` = negatives with a smaller score in the
-    same group, computed per (group, quantile bucket) in parallel.
+    same group.
 
-    One set of cut points is drawn from all per-score rows (pooled over the
-    groups), so a (group, bucket) cell never holds more rows than the pooled
-    bucket: about ROWS_PER_BUCKET. The cut points (fewer than MAX_BUCKETS) are
-    the only values that reach the driver; rows are bucketed by binary search.
+    The rows are range-partitioned by (group, score); a partition is as large
+    as the session's shuffle partitions are. Totals are one row per
+    (partition, group): as many as there are partitions and groups.
     """
-    s = ps.withColumn("_sd", F.col(score).cast("double"))
-
-    def cuts_for(n_b: int) -> list:
-        probs = [i / n_b for i in range(1, n_b)]
-        return [F.percentile_approx("_sd", probs, max(10_000, 4 * n_b)).alias("_cuts")]
-
-    # one pass gives the row count and the cut points at the minimum bucket
-    # count; a second pass only when the data needs more buckets
-    row = s.agg(F.count(F.lit(1)).alias("_n"), *cuts_for(buckets)).first()
-    n_buckets = _bucket_count(row["_n"], buckets)
-    if n_buckets > buckets:
-        row = s.agg(*cuts_for(n_buckets)).first()
-    cut_points = sorted({float(v) for v in (row["_cuts"] or []) if v == v})
-    splits = [float("-inf")] + (cut_points or [0.0]) + [float("inf")]
-    s = Bucketizer(splits=splits, inputCol="_sd", outputCol="_bd", handleInvalid="keep").transform(s)
-    s = s.withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
-    totals = s.groupBy(*g, "_b").agg(F.sum("_neg").alias("_bneg"))
-    # offsets: one row per (group, bucket), at most MAX_BUCKETS per group
-    w_b = (Window.partitionBy(*g) if g else Window).orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = totals.select(*g, "_b", F.coalesce(F.sum("_bneg").over(w_b), F.lit(0)).alias("_off"))
-    w_s = Window.partitionBy(*g, "_b").orderBy("_sd").rowsBetween(Window.unboundedPreceding, -1)
-    return s.join(offsets, [*g, "_b"], "inner").withColumn(
-        "_below", F.col("_off") + F.coalesce(F.sum("_neg").over(w_s), F.lit(0)))
+    s = materialize(ps.repartitionByRange(*g, score).withColumn("_part", F.spark_partition_id()))
+    totals = s.groupBy(*g, "_part").agg(F.sum("_neg").alias("_pneg"))
+    before = Window.partitionBy(*g).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(c).alias(f"_g_{c}") for c in g], F.col("_part").alias("_p"),
+                            F.coalesce(F.sum("_pneg").over(before), F.lit(0)).alias("_off"))
+    cond = (F.col("_part") == F.col("_p"))
+    for c in g:
+        cond = cond & s[c].eqNullSafe(F.col(f"_g_{c}"))
+    inside = Window.partitionBy(*g, "_part").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    return (s.join(offsets, cond, "inner")
+            .withColumn("_below", F.col("_off") + F.coalesce(F.sum("_neg").over(inside), F.lit(0))))
 
 
 def _auc_aggs() -> list[Column]:
@@ -144,30 +120,25 @@ def _auc_col() -> Column:
 
 
 def auc_by_rank(df: DataFrame, score: str = "score", label: str = "label", *,
-                by: str | Sequence[str] | None = None, buckets: int = AUC_BUCKETS,
-                out: str = "auc", per_score: DataFrame | None = None) -> DataFrame:
+                by: str | Sequence[str] | None = None, out: str = "auc",
+                per_score: DataFrame | None = None) -> DataFrame:
     """Exact AUC (ties averaged) per ``by`` group; NULL without positives or
     negatives. Also returns ``n_pos`` and ``n_neg``."""
     g = _by(by)
-    # The per-score table feeds several branches (cut points, bucket totals,
-    # prefix sums): checkpoint it so the input runs once.
-    ps = per_score if per_score is not None else per_score_counts(df, score, label, by=g or None,
-                                                                  checkpoint=True)
-    ranked = _ranked(ps, score, g, buckets)
+    ps = per_score if per_score is not None else per_score_counts(df, score, label, by=g or None)
+    ranked = _ranked(ps, score, g)
     res = ranked.groupBy(*g).agg(*_auc_aggs()) if g else ranked.agg(*_auc_aggs())
     return res.select(*g, _auc_col().alias(out), "n_pos", "n_neg")
 
 
 def binary_metrics(df: DataFrame, score: str = "score", label: str = "label", *,
-                   by: str | Sequence[str] | None = None, threshold: float | None = 0.0,
-                   buckets: int = AUC_BUCKETS) -> DataFrame:
+                   by: str | Sequence[str] | None = None, threshold: float | None = 0.0) -> DataFrame:
     """total, positives, auc, accuracy, sensitivity, specificity per group.
 
     Confusion counts and the AUC sum come out of the same final aggregate
     over the ranked per-score rows, so there is no join of results."""
     g = _by(by)
-    ps = per_score_counts(df, score, label, by=g or None, checkpoint=True)
-    ranked = _ranked(ps, score, g, buckets)
+    ranked = _ranked(per_score_counts(df, score, label, by=g or None), score, g)
     aggs = _auc_aggs() + _confusion_aggs(score, threshold)
     j = ranked.groupBy(*g).agg(*aggs) if g else ranked.agg(*aggs)
     total = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")

@@ -3,7 +3,8 @@ dense document index and the note cohort.
 
 Tokenization is one JVM expression tree per document over the whole text
 (regex passes, lower case, split, higher-order token filter) followed by
-Spark ML's ``StopWordsRemover`` (a hash-set lookup in the JVM). Counting
+Spark ML's ``StopWordsRemover`` (a hash-set lookup in the JVM). Stop words
+given as a DataFrame are not collected: tokens are joined with them. Counting
 explodes tokens and aggregates with map-side combine, so a very frequent
 term or a very long document never becomes a single hot reduce task.
 """
@@ -18,40 +19,43 @@ from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_STOP_WORDS, MIN_WORDS
 from ..functions.textcols import word_tokens
-from .cohort import notes_in_episode, with_first_event
+from .cohort import notes_in_episode
 
-# A stop-word list is a parameter, not data: when one is given as a
-# DataFrame it is brought to the driver only below this size.
-MAX_STOP_WORDS = 1_000_000
+#: Column of the cohort row that in-episode notes carry.
+COHORT = "_cohort"
 
 
-def stop_word_list(stopwords: Iterable[str] | DataFrame | None) -> list[str]:
-    if stopwords is None:
-        return list(DEFAULT_STOP_WORDS)
-    if isinstance(stopwords, DataFrame):
-        col = stopwords.columns[0]
-        words = stopwords.select(col).distinct().limit(MAX_STOP_WORDS + 1).collect()
-        if len(words) > MAX_STOP_WORDS:
-            raise ValueError(f"stop-word list larger than {MAX_STOP_WORDS} entries")
-        return sorted(r[0] for r in words if r[0] is not None)
-    return sorted(set(stopwords))
+def _without_words(df: DataFrame, raw: str, out: str, words: DataFrame) -> DataFrame:
+    """``raw`` without the tokens in the first column of ``words``, by a join
+    of the exploded tokens (any size of list; order and repeats are kept)."""
+    stop = words.select(F.col(words.columns[0]).alias("_stop")).filter("_stop IS NOT NULL").distinct()
+    rest = [c for c in df.columns if c != raw]
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.struct(*rest).alias("_rest"), raw)
+    terms = rows.select("_row", "_rest", F.posexplode_outer(raw).alias("_at", "_term"))
+    marked = terms.join(stop, F.col("_term") == F.col("_stop"), "left")
+    kept = F.when(F.col("_term").isNotNull() & F.col("_stop").isNull(), F.struct("_at", "_term"))
+    # the row's own columns come along once, from its first position
+    head = F.min_by("_rest", F.coalesce("_at", F.lit(0)))
+    return (marked.groupBy("_row").agg(head.alias("_rest"), F.sort_array(F.collect_list(kept)).alias("_kept"))
+            .select("_rest.*", F.col("_kept._term").alias(out)))
 
 
 def tokenize(df: DataFrame, col: str = "text", stopwords: Iterable[str] | DataFrame | None = None,
              *, out: str = "tokens", drop_text: bool = True) -> DataFrame:
     """Add ``out``: cleaned, lower-cased tokens longer than three characters,
-    all letters, not stop words (exact match; order and repeats kept)."""
-    words = stop_word_list(stopwords)
+    all letters, not stop words (exact match; order and repeats kept). A null
+    text has no tokens."""
     tmp = f"_{out}_raw"
-    with_raw = df.withColumn(tmp, word_tokens(col))
+    with_raw = df.withColumn(tmp, F.coalesce(word_tokens(col), F.array().cast("array<string>")))
     if drop_text:
         with_raw = with_raw.drop(col)
-    if words:
-        remover = StopWordsRemover(inputCol=tmp, outputCol=out, stopWords=words, caseSensitive=True)
-        res = remover.transform(with_raw).drop(tmp)
-    else:
-        res = with_raw.withColumnRenamed(tmp, out)
-    return res
+    if isinstance(stopwords, DataFrame):
+        return _without_words(with_raw, tmp, out, stopwords)
+    words = sorted(set(DEFAULT_STOP_WORDS if stopwords is None else stopwords))
+    if not words:
+        return with_raw.withColumnRenamed(tmp, out)
+    remover = StopWordsRemover(inputCol=tmp, outputCol=out, stopWords=words, caseSensitive=True)
+    return remover.transform(with_raw).drop(tmp)
 
 
 def words_per_subject(tok: DataFrame, *, pid: str = "pid", tokens: str = "tokens",
@@ -121,8 +125,8 @@ def dense_index(df: DataFrame, order: Sequence[str], *, out: str = "idx",
 
 def note_cohort(cohort: DataFrame, notes: DataFrame | None = None,
                 stopwords: Iterable[str] | DataFrame | None = None, min_words: int = MIN_WORDS, *,
-                notes_in_ep: DataFrame | None = None, pid: str = "pid", text: str = "text",
-                ts: str = "ts") -> dict[str, DataFrame]:
+                notes_in_ep: DataFrame | None = None, tokens: DataFrame | None = None, pid: str = "pid",
+                text: str = "text", ts: str = "ts") -> dict[str, DataFrame]:
     """Notes inside the episode -> tokens -> subjects with >= ``min_words``
     kept words -> first note time. Returns the sets of the study:
 
@@ -132,19 +136,25 @@ def note_cohort(cohort: DataFrame, notes: DataFrame | None = None,
       tokens    tokenized in-episode notes of *all* cohort subjects
       words     (pid, n_words) of the kept subjects
       stats     (pid, n_words, first_ts, n_notes) of the kept subjects
-
-    A kept subject keeps all its in-episode notes, so word count, first note
-    time and note count come from one aggregate over the tokenized notes
-    (partial aggregation, one shuffle by subject). Pass ``notes_in_ep`` when
-    the in-episode notes were already computed (e.g. texts attached after
-    the cohort join).
+      wide      ``subjects`` with n_words and n_notes
+
+    The in-episode notes carry their cohort row, so word count, first note
+    time, note count and the cohort columns come from one aggregate over the
+    tokenized notes (partial aggregation, one shuffle by subject) and the
+    cohort is computed once. Pass ``notes_in_ep`` (made with
+    ``carry=COHORT``) when the in-episode notes were already computed, and
+    ``tokens`` when they were already tokenized (e.g. written once).
     """
-    inep = notes_in_ep if notes_in_ep is not None else notes_in_episode(cohort, notes, ts=ts)
-    tok = tokenize(inep, text, stopwords)
-    stats = (tok.groupBy(pid).agg(F.sum(F.size("tokens")).cast("bigint").alias("n_words"),
-                                  F.min(ts).alias("first_ts"), F.count(F.lit(1)).alias("n_notes"))
-             .filter(F.col("n_words") >= min_words))
-    first = stats.select(pid, "first_ts")
-    kept = inep.join(stats.select(pid), pid, "left_semi")
-    return {"subjects": with_first_event(cohort, first, pid=pid), "notes": kept,
-            "first": first, "tokens": tok, "words": stats.select(pid, "n_words"), "stats": stats}
+    inep = notes_in_ep
+    if inep is None and notes is not None:
+        inep = notes_in_episode(cohort, notes, ts=ts, carry=COHORT)
+    tok = tokens if tokens is not None else tokenize(inep, text, stopwords)
+    agg = (tok.groupBy(pid).agg(F.sum(F.size("tokens")).cast("bigint").alias("n_words"),
+                                F.min(ts).alias("first_ts"), F.count(F.lit(1)).alias("n_notes"),
+                                F.first(COHORT).alias(COHORT))
+           .filter(F.col("n_words") >= min_words))
+    wide = agg.select(f"{COHORT}.*", "first_ts", "n_words", "n_notes")
+    kept = (tok if inep is None else inep).join(agg.select(pid), pid, "left_semi").drop(COHORT)
+    return {"subjects": wide.drop("n_words", "n_notes"), "notes": kept, "first": agg.select(pid, "first_ts"),
+            "tokens": tok.drop(COHORT), "words": agg.select(pid, "n_words"),
+            "stats": agg.select(pid, "n_words", "first_ts", "n_notes"), "wide": wide}

@@ -3,10 +3,13 @@
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and, where the result is
 expressible in SQL, ``ORACLE[name]`` holds the DuckDB string that must give
 the same rows. Outputs are normalised for comparison: timestamps as text,
-integers as bigint, arrays as text or one row per element.
+integers as bigint, arrays as text or one row per element. Queries that fit a
+model return what no solver decides (who is in, how many, which settings) and
+whether the fitted numbers are in their range.
 
 Every query reads whole tables; nothing is sampled, capped or filtered to
-make the check cheaper.
+make the check cheaper. Model queries use few topics and iterations (``SMALL``),
+on all subjects and at all hour marks.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import operators as op
-from ..constants import MIN_WORDS
+from ..constants import BASELINE_GRID, MIN_WORDS
 from ..functions.hashing import hash_threshold
 from ..functions.timecols import ts_text
 from ..sources import fixtures as fx
@@ -31,6 +34,7 @@ ORACLE: dict[str, str] = {}
 
 # Fixed query parameters (the library defaults stay as in the study).
 SEED = 42
+SPLIT, REBALANCE, FOLD = (f"{SEED}|{x}" for x in ("split", "rebalance", "fold"))   # as in operators.sampling
 HOURS_PROBE = 2400          # episodes here last 200-599 days
 SWEEP = (0, 4800, 240)      # hour sweep for this data
 FIXED_WEIGHTS = (1.5, -0.4, 2.0)   # age, sex, score
@@ -94,7 +98,7 @@ class Tables:
     def notes_in_episode(self, cohort: DataFrame | None = None) -> DataFrame:
         """In-episode notes, texts attached only after the cohort join."""
         c = cohort if cohort is not None else self.cohort()
-        inep = op.notes_in_episode(c, self.notes(with_text=False))
+        inep = op.notes_in_episode(c, self.notes(with_text=False), carry=op.text.COHORT)
         return fx.attach_text(self.spark, self.dir, inep)
 
     def note_cohort(self, cohort: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -129,6 +133,17 @@ def q_load_scores(spark, d):
     return normalise(Tables(spark, d).scores())
 
 
+_REST = ld.SCORE_FIELDS[1:]
+
+
+@query("load_scores_all", O.sql("SELECT pid, hadm, stay, score, " + ", ".join(
+    f"CASE WHEN stay % {11 + i} = 0 THEN 0.0 ELSE CAST((stay * {7 + i}) % {20 + i} AS DOUBLE) END AS {c}"
+    for i, c in enumerate(_REST)) + " FROM scr", "scr"))
+def q_load_scores_all(spark, d):
+    """All score fields of the export."""
+    return normalise(ld.load_scores(fx.score_wide(spark, d), pid="pid", hadm="hadm", stay="stay"))
+
+
 @query("load_flags", O.sql("SELECT pid, hadm, flag_str FROM flg", "flg"))
 def q_load_flags(spark, d):
     f = Tables(spark, d).flags()
@@ -231,11 +246,8 @@ def q_first_event(spark, d):
     "FROM cohort c JOIN first f ON c.pid = f.pid JOIN kept_words k ON c.pid = k.pid",
     "cohort", "first", "kept_words", "kept_notes"))
 def q_note_cohort(spark, d):
-    t = Tables(spark, d)
-    c = t.cohort()
-    nc = t.note_cohort(c)
-    out = c.select("pid", "stay").join(nc["stats"], "pid")
-    return normalise(out)
+    out = Tables(spark, d).note_cohort()["wide"]
+    return normalise(out.select("pid", "stay", "n_words", "first_ts", "n_notes"))
 
 
 @query("with_first_event", O.sql(
@@ -401,6 +413,33 @@ def q_csv_roundtrip_notes(spark, d):
                               "ts", "category", F.length("text").cast("bigint").alias("text_chars")))
 
 
+@query("csv_table_name", O.sql(
+    "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM nation"))
+def q_csv_table_name(spark, d):
+    """A CSV read without a name: the view is called after the path."""
+    from ..session import scratch_path
+    from ..sources.csv_io import read_csv_table, write_csv_table
+    path = scratch_path(spark, "csv_table_name") + "/NATIONS.csv"
+    write_csv_table(fx.table(spark, d, "nation").select("n_nationkey", "n_name"), path)
+    read_csv_table(spark, path)
+    return spark.table("NATIONS").select("n_nationkey", "n_name")
+
+
+@query("tokenize_word_file", O.sql(
+    "SELECT doc_id, array_to_string(list_filter(tokens, lambda t: length(t) > 5), ' ') AS tokens FROM ("
+    f"SELECT doc_id, {O.tokens_sql('text', stop=False)} AS tokens FROM documents)"))
+def q_tokenize_word_file(spark, d):
+    """Stop words from a file of words (here all terms of up to five
+    letters, one per line), applied by a join."""
+    from ..session import scratch_path
+    from ..sources.csv_io import read_word_list, write_text
+    docs = Tables(spark, d).documents().select("doc_id", "text")
+    path = scratch_path(spark, "stop_words")
+    write_text(op.vocabulary(op.tokenize(docs, stopwords=[])).select("term").filter(F.length("term") <= 5), path)
+    t = op.tokenize(docs, stopwords=read_word_list(spark, path))
+    return t.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
+
+
 @query("text_sink_roundtrip", O.sql(
     "SELECT CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || c_mktsegment AS value FROM customer"))
 def q_text_sink_roundtrip(spark, d):
@@ -624,7 +663,7 @@ def _linear(x: str) -> str:
             f"+ {x}.sc * CAST({w2!r} AS DOUBLE)) + CAST({FIXED_INTERCEPT!r} AS DOUBLE)")
 
 
-O.cte("train_subjects", f"SELECT pid FROM cohort WHERE {O.unit_hash_sql('pid', SEED)} < {hash_threshold(0.7)}",
+O.cte("train_subjects", f"SELECT pid FROM cohort WHERE {O.unit_hash_sql('pid', SPLIT)} < {hash_threshold(0.7)}",
       "cohort")
 
 
@@ -646,7 +685,7 @@ def q_linear_score(spark, d):
     return linear_score(w, list(FIXED_WEIGHTS), FIXED_INTERCEPT).select("pid", "score")
 
 
-O.cte("test_subjects", f"SELECT pid FROM cohort WHERE {O.unit_hash_sql('pid', SEED)} >= "
+O.cte("test_subjects", f"SELECT pid FROM cohort WHERE {O.unit_hash_sql('pid', SPLIT)} >= "
       f"{hash_threshold(0.7)}", "cohort")
 O.cte("sweep", f"""SELECT h.hour, b.pid, {_linear('b')} AS score, l.label_in_episode AS label
 FROM bl b JOIN labels l ON b.pid = l.pid JOIN test_subjects t ON b.pid = t.pid
@@ -663,26 +702,26 @@ WHERE h.hour <= 0 OR (f.first_ts IS NOT NULL
     "(SELECT hour, count(*) AS total, CAST(sum(label) AS BIGINT) AS positives FROM sweep GROUP BY hour) t "
     "ON a.hour = t.hour", "sweep"))
 def q_hourly_auc_baseline(spark, d):
+    from ..session import materialize
+    from .models import linear_score
     from .study import hourly_auc
     t = Tables(spark, d)
-    c = t.cohort()
-    first = t.note_cohort(c)["first"]
-    _, test = op.split_hash(c.select("pid"), 0.7, SEED)
-    from .models import linear_score
-    feats = linear_score(op.baseline_features_wide(c, t.scores()), list(FIXED_WEIGHTS), FIXED_INTERCEPT)
-    scored = feats.join(test, "pid", "left_semi").join(t.labels(c), "pid")
-    res = hourly_auc(scored, c, first, hours=range(SWEEP[0], SWEEP[1] + 1, SWEEP[2]))
+    c = materialize(t.cohort())  # one wide row per subject, read by the scores and by the notes
+    wide = op.baseline_features_wide(c, t.scores(), keep=("in_ts", "out_ts", "dod"))
+    _, test = op.split_hash(wide, 0.7, SEED)
+    scored = linear_score(test, list(FIXED_WEIGHTS), FIXED_INTERCEPT).withColumn("label", op.cohort.label_expr("in_episode"))
+    res = hourly_auc(scored, None, t.note_cohort(c)["first"], hours=range(SWEEP[0], SWEEP[1] + 1, SWEEP[2]))
     return res.select(F.col("hour").cast("bigint"), "total", "positives", "auc")
 
 
 # =================================================================== sampling
-def _split_sql(m_expr: str, seed: int) -> str:
+def _split_sql(m_expr: str, seed: str) -> str:
     return (f"SELECT pid, CASE WHEN rn <= ({m_expr}) THEN 'train' ELSE 'test' END AS part FROM ("
             f"SELECT pid, row_number() OVER (ORDER BY {O.unit_hash_sql('pid', seed)}, pid) AS rn FROM cohort)")
 
 
 @query("split_exact", O.sql(_split_sql(
-    "SELECT CAST(floor(count(*) * CAST(0.7 AS DOUBLE)) AS BIGINT) FROM cohort", SEED), "cohort"))
+    "SELECT CAST(floor(count(*) * CAST(0.7 AS DOUBLE)) AS BIGINT) FROM cohort", SPLIT), "cohort"))
 def q_split_exact(spark, d):
     c = Tables(spark, d).cohort().select("pid")
     tr, te = op.split_exact(c, 0.7, SEED)
@@ -690,7 +729,7 @@ def q_split_exact(spark, d):
 
 
 @query("split_hash", O.sql(
-    f"SELECT pid, CASE WHEN {O.unit_hash_sql('pid', SEED)} < "
+    f"SELECT pid, CASE WHEN {O.unit_hash_sql('pid', SPLIT)} < "
     f"{hash_threshold(0.7)} "
     "THEN 'train' ELSE 'test' END AS part FROM cohort", "cohort"))
 def q_split_hash(spark, d):
@@ -707,7 +746,7 @@ O.cte("bal", """SELECT count(*) AS n, sum(label_in_episode) AS pos,
 @query("rebalance_negatives", O.sql(
     f"""SELECT pid, label FROM (
   SELECT l.pid, CAST(l.label_in_episode AS BIGINT) AS label,
-    row_number() OVER (PARTITION BY l.label_in_episode ORDER BY {O.unit_hash_sql('l.pid', SEED)}, l.pid) AS rn
+    row_number() OVER (PARTITION BY l.label_in_episode ORDER BY {O.unit_hash_sql('l.pid', REBALANCE)}, l.pid) AS rn
   FROM labels l) x, bal
 WHERE CAST(bal.pos AS DOUBLE) / CAST(bal.n AS DOUBLE) >= 0.3 OR x.label = 1 OR x.rn <= CAST(floor(bal.wanted) AS BIGINT)""",
     "labels", "bal"))
@@ -718,7 +757,7 @@ def q_rebalance_negatives(spark, d):
 
 @query("rebalance_negatives_hash", O.sql(
     f"""SELECT pid, label FROM (
-  SELECT l.pid, CAST(l.label_in_episode AS BIGINT) AS label, {O.unit_hash_sql('l.pid', SEED)} AS h FROM labels l) x, bal
+  SELECT l.pid, CAST(l.label_in_episode AS BIGINT) AS label, {O.unit_hash_sql('l.pid', REBALANCE)} AS h FROM labels l) x, bal
 WHERE CAST(bal.pos AS DOUBLE) / CAST(bal.n AS DOUBLE) >= 0.3 OR x.label = 1
    OR x.h < CAST(floor(bal.wanted / CAST(bal.n - bal.pos AS DOUBLE) * 1152921504606846976.0) AS BIGINT)""",
     "labels", "bal"))
@@ -727,8 +766,24 @@ def q_rebalance_negatives_hash(spark, d):
     return normalise(op.rebalance_negatives(lab, "label", exact=False, seed=SEED))
 
 
+O.cte("train_labels", "SELECT l.pid, l.label_in_episode AS label FROM labels l "
+      "JOIN train_subjects t ON l.pid = t.pid", "labels", "train_subjects")
+
+
+@query("rebalance_train_hash", O.sql(
+    f"""SELECT l.pid, CAST(l.label AS BIGINT) AS label FROM train_labels l,
+  (SELECT count(*) AS n, sum(label) AS pos, CAST(sum(label) AS DOUBLE) / CAST(0.3 AS DOUBLE) * CAST(0.7 AS DOUBLE) AS wanted
+   FROM train_labels) b
+WHERE CAST(b.pos AS DOUBLE) / CAST(b.n AS DOUBLE) >= 0.3 OR l.label = 1 OR {O.unit_hash_sql('l.pid', REBALANCE)}
+  < CAST(floor(b.wanted / CAST(b.n - b.pos AS DOUBLE) * 1152921504606846976.0) AS BIGINT)""", "train_labels"))
+def q_rebalance_train_hash(spark, d):
+    """The study's large-cohort path: rebalancing after the hash split."""
+    train, _ = op.split_hash(Tables(spark, d).labels(), 0.7, SEED)
+    return normalise(op.rebalance_negatives(train, "label", exact=False, seed=SEED))
+
+
 @query("fold_assignment", O.sql(
-    f"SELECT pid, CAST({O.unit_hash_sql('pid', SEED)} % 5 AS BIGINT) AS fold FROM cohort", "cohort"))
+    f"SELECT pid, CAST({O.unit_hash_sql('pid', FOLD)} % 5 AS BIGINT) AS fold FROM cohort", "cohort"))
 def q_fold_assignment(spark, d):
     c = Tables(spark, d).cohort().select("pid")
     return normalise(op.fold_assignment(c, 5, SEED))
@@ -753,23 +808,19 @@ def q_subtract_rows(spark, d):
     return normalise(op.subtract_rows(left, right))
 
 
-# =================================================================== models (rows-only)
-# Fits depend on solver internals and seeds, so these have no oracle. They run
-# on the whole cohort with small iteration counts and topic numbers.
+# =================================================================== models
+# Fits depend on solver internals, so the queries return what no solver
+# decides. They run on all subjects with few iterations and topics.
 SMALL = dict(lda_k=5, lda_iterations=5, svm_iterations=10)
+CV_GRID = {"intercept": [True], "iterations": [SMALL["svm_iterations"]], "reg": BASELINE_GRID["reg"]}
 
 
 def _study_inputs(spark, d):
-    from .study import StudyInputs
+    """The study's sets with a hash split and no rebalancing."""
+    from .study import inputs_from_tokens, note_tokens
     t = Tables(spark, d)
-    c = t.cohort()
-    nc = t.note_cohort(c)
-    from ..session import materialize
-    subj = materialize(nc["subjects"].drop("first_ts"))
-    labels = op.label_events(subj)
-    train, test = op.split_hash(subj.select("pid"), 0.7, SEED)
-    return StudyInputs(subj, materialize(nc["first"]), materialize(nc["tokens"]), t.scores(), t.flags(),
-                       labels, train, test), t
+    tokens = note_tokens(None, None, notes_in_ep=t.notes_in_episode())
+    return inputs_from_tokens(tokens, t.scores(), t.flags(), seed=SEED, exact=False, rebalance=False)[0], t
 
 
 def _cfg():
@@ -777,80 +828,153 @@ def _cfg():
     return StudyConfig(svm_iterations=SMALL["svm_iterations"], lda_k=SMALL["lda_k"],
                        lda_iterations=SMALL["lda_iterations"], seed=SEED,
                        hours=range(SWEEP[0], SWEEP[1] + 1, SWEEP[2]),
-                       topic_hours=range(SWEEP[2], SWEEP[1] + 1, SWEEP[1] // 2))
+                       topic_hours=range(SWEEP[2], SWEEP[1] + 1, SWEEP[2]))
+
+
+def _in_range(c: str, low: float = 0.0, high: float = 1.0):
+    return F.when(F.col(c).isNull() | F.col(c).between(low, high), 1).otherwise(0).cast("bigint")
+
+
+def _counts(metrics: DataFrame, *keys: str) -> DataFrame:
+    """Keys, total, positives and whether the AUC is one."""
+    return normalise(metrics.select(*keys, "total", "positives", _in_range("auc").alias("auc_ok")))
+
+
+# subjects of the note cohort with their label; its two splits
+O.cte("ks", f"SELECT l.pid, l.label_in_episode AS label, {O.unit_hash_sql('l.pid', SPLIT)} AS h, "
+      f"{O.unit_hash_sql('l.pid', REBALANCE)} AS rh FROM labels l WHERE l.pid IN (SELECT pid FROM kept_words)",
+      "labels", "kept_words")
+O.cte("hash_part", f"SELECT pid, label, CASE WHEN h < {hash_threshold(0.7)} THEN 'train' ELSE 'test' END AS split FROM ks", "ks")
+O.cte("exact_part", "SELECT pid, label, rh, CASE WHEN row_number() OVER (ORDER BY h, pid) <= "
+      "CAST(floor(count(*) OVER () * CAST(0.7 AS DOUBLE)) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM ks", "ks")
+O.cte("exact_balanced", """SELECT pid, label, split FROM (
+  SELECT *, row_number() OVER (PARTITION BY split, label ORDER BY rh, pid) AS rn, sum(label) OVER (PARTITION BY split) AS pos,
+    count(*) OVER (PARTITION BY split) AS n FROM exact_part)
+WHERE split = 'test' OR label = 1 OR CAST(pos AS DOUBLE) / CAST(n AS DOUBLE) >= 0.3
+  OR rn <= CAST(floor(CAST(pos AS DOUBLE) / CAST(0.3 AS DOUBLE) * CAST(0.7 AS DOUBLE)) AS BIGINT)""", "exact_part")
+_N = "count(*) AS total, CAST(sum(label) AS BIGINT) AS positives, CAST(1 AS BIGINT) AS auc_ok"
+
+
+def _by_split(part: str, among: str | None = None) -> str:
+    where = f" WHERE pid IN (SELECT pid FROM {among})" if among else ""
+    return f"SELECT split, {_N} FROM {part}{where} GROUP BY split"
 
 
-@query("topic_features")
+def _baseline_counts(part: str) -> str:
+    present = "epoch_ms(c.{}) > epoch_ms(f.first_ts) + h.hour * 3600000"
+    return (f"SELECT 'train' AS split, CAST(NULL AS BIGINT) AS hour, {_N} FROM {part} "
+            f"WHERE split = 'train' AND pid IN (SELECT pid FROM bl) UNION ALL "
+            f"SELECT 'test', h.hour, {_N} FROM {part} p JOIN cohort c ON p.pid = c.pid JOIN first f ON p.pid = f.pid, "
+            f"range({SWEEP[0]}, {SWEEP[1] + 1}, {SWEEP[2]}) h(hour) WHERE p.split = 'test' "
+            f"AND p.pid IN (SELECT pid FROM bl) AND (h.hour <= 0 OR ({present.format('out_ts')} "
+            f"AND {present.format('dod')})) GROUP BY h.hour")
+
+
+def _topic_counts(part: str) -> str:
+    """A subject counts from the hour at which it has a term that the train
+    subjects' notes have by then."""
+    return (f"SELECT v.split, h.hour, {_N} FROM (SELECT t.pid, p.split, any_value(p.label) AS label, "
+            f"min(greatest(t.dt, m.dt)) AS since FROM terms t JOIN {part} p ON t.pid = p.pid JOIN ("
+            f"SELECT term, min(dt) AS dt FROM terms WHERE pid IN (SELECT pid FROM {part} WHERE split = 'train') GROUP BY term) m "
+            f"ON t.term = m.term GROUP BY t.pid, p.split) v, range({SWEEP[2]}, {SWEEP[1] + 1}, {SWEEP[2]}) h(hour) "
+            f"WHERE v.since < h.hour * 3600000 GROUP BY v.split, h.hour")
+
+
+O.cte("terms", "SELECT t.pid, epoch_ms(t.ts) - epoch_ms(f.first_ts) AS dt, unnest(t.tokens) AS term "
+      "FROM tok t JOIN first f ON t.pid = f.pid", "tok", "first")
+
+
+@query("topic_features", O.sql(
+    f"SELECT DISTINCT pid, CAST({SMALL['lda_k']} AS BIGINT) AS topics, 1.0::DOUBLE AS mixture FROM tok WHERE len(tokens) > 0",
+    "tok"))
 def q_topic_features(spark, d):
     from .models import topic_features
     inp, _ = _study_inputs(spark, d)
     feats, _ = topic_features(inp.tokens, SMALL["lda_k"], SMALL["lda_iterations"], seed=SEED)
-    return op.array_to_long(feats, ["pid"], "features")
+    total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
+    return feats.select("pid", F.size("features").cast("bigint").alias("topics"), F.round(total, 6).alias("mixture"))
 
 
-@query("topic_top_terms")
+@query("topic_top_terms", O.sql(
+    f"SELECT t.topic, r.rank, CAST(1 AS BIGINT) AS known FROM range({SMALL['lda_k']}) t(topic), range(10) r(rank)"))
 def q_topic_top_terms(spark, d):
     from .models import fit_topics, topic_top_terms
     inp, _ = _study_inputs(spark, d)
-    return topic_top_terms(fit_topics(inp.tokens, SMALL["lda_k"], SMALL["lda_iterations"], seed=SEED), 10)
+    top = topic_top_terms(fit_topics(inp.tokens, SMALL["lda_k"], SMALL["lda_iterations"], seed=SEED), 10)
+    words = op.vocabulary(inp.tokens).select("term", F.lit(1).alias("known"))
+    return normalise(top.join(words, "term", "left").select("topic", "rank", F.coalesce("known", F.lit(0)).alias("known")))
 
 
-@query("svm_scores")
+@query("svm_scores", O.sql(
+    "SELECT pid, CAST(label AS DOUBLE) AS label, CAST(1 AS BIGINT) AS scored FROM ks "
+    "WHERE pid IN (SELECT pid FROM derived)", "ks", "derived"))
 def q_svm_scores(spark, d):
     from .models import fit_svm
+    from .study import fit_ready
     inp, t = _study_inputs(spark, d)
     feats = op.derived_features(inp.cohort, inp.scores, inp.flags)
-    from .study import fit_ready
     pts = fit_ready(op.labeled_points_dense(feats, inp.labels))
     model = fit_svm(pts, SMALL["svm_iterations"], 100.0, True)
-    return model.score(pts).select("pid", "label", "score")
+    fine = F.when(F.abs("score") < float("inf"), 1).otherwise(0).cast("bigint")
+    return model.score(pts).select("pid", "label", fine.alias("scored"))
 
 
-@query("cv_grid")
+@query("cv_grid", O.sql(
+    "SELECT CAST(i AS BIGINT) AS grid_point, CAST(1 AS BIGINT) AS intercept, "
+    f"CAST({CV_GRID['iterations'][0]} AS BIGINT) AS iterations, "
+    f"CAST([{', '.join(map(str, CV_GRID['reg']))}][i + 1] AS DOUBLE) AS reg, CAST(1 AS BIGINT) AS auc_ok, CAST(1 AS BIGINT) AS winners "
+    f"FROM range({len(CV_GRID['reg'])}) r(i)"))
 def q_cv_grid(spark, d):
+    """The reference's regularisation values, five folds."""
     from .models import cv_grid
+    from .study import fit_ready
     inp, _ = _study_inputs(spark, d)
     pts = op.labeled_points_dense(op.derived_features(inp.cohort, inp.scores, inp.flags), inp.labels)
-    grid = {"intercept": [True], "iterations": [5, 10], "reg": [10.0]}
-    from .study import fit_ready
     train = fit_ready(pts.join(inp.train, "pid", "left_semi"))
-    out, _ = cv_grid(train, grid, 2, seed=SEED)
-    return out
+    out, _ = cv_grid(train, CV_GRID, seed=SEED)
+    winners = out.filter("best").count()
+    return normalise(out.select("grid_point", "intercept", "iterations", "reg", _in_range("mean_auc").alias("auc_ok"),
+                                F.lit(winners).cast("bigint").alias("winners")))
 
 
-@query("hourly_auc_fitted")
+@query("hourly_auc_fitted", O.sql(_baseline_counts("hash_part"), "hash_part", "bl", "cohort", "first"))
 def q_hourly_auc_fitted(spark, d):
     from .study import baseline_model
     inp, _ = _study_inputs(spark, d)
-    out, _ = baseline_model(inp, _cfg())
-    return out
+    return _counts(baseline_model(inp, _cfg())[0], "split", "hour")
 
 
-@query("retrospective_topic_model")
+@query("retrospective_topic_model", O.sql(_by_split("hash_part"), "hash_part"))
 def q_retrospective_topic_model(spark, d):
     from .study import retrospective_topic_model
     inp, _ = _study_inputs(spark, d)
-    return retrospective_topic_model(inp, _cfg())
+    return _counts(retrospective_topic_model(inp, _cfg()), "split")
 
 
-@query("hourly_topic_model")
+@query("hourly_topic_model", O.sql(_topic_counts("hash_part"), "hash_part", "terms"))
 def q_hourly_topic_model(spark, d):
     from .study import hourly_topic_model
     inp, _ = _study_inputs(spark, d)
-    return hourly_topic_model(inp, _cfg())
+    return _counts(hourly_topic_model(inp, _cfg()), "split", "hour")
 
 
-@query("derived_model")
+@query("derived_model", O.sql(_by_split("hash_part", "derived"), "hash_part", "derived"))
 def q_derived_model(spark, d):
     from .study import derived_model
     inp, _ = _study_inputs(spark, d)
-    return derived_model(inp, _cfg())
+    return _counts(derived_model(inp, _cfg()), "split")
 
 
-@query("study_summary")
+@query("study_summary", O.sql(
+    f"SELECT 'baseline' AS experiment, * FROM ({_baseline_counts('exact_balanced')}) UNION ALL "
+    f"SELECT 'retrospective_topics', split, NULL, total, positives, auc_ok FROM ({_by_split('exact_balanced')}) UNION ALL "
+    f"SELECT 'derived', split, NULL, total, positives, auc_ok FROM ({_by_split('exact_part', 'derived')}) UNION ALL "
+    f"SELECT 'hourly_topics', * FROM ({_topic_counts('exact_part')})",
+    "exact_balanced", "exact_part", "bl", "cohort", "first", "derived", "terms"))
 def q_study_summary(spark, d):
+    """All experiments on an exact split, rebalanced as in the study."""
     from .study import build_inputs, run_study, study_summary
     t = Tables(spark, d)
     notes = fx.attach_text(spark, d, t.notes(with_text=False))
     inputs = build_inputs(spark, t.subjects(), t.episodes(), notes, t.scores(), t.flags(), seed=SEED)
-    return study_summary(run_study(inputs, _cfg(), topic_sweep=False))
+    return _counts(study_summary(run_study(inputs, _cfg())), "experiment", "split", "hour")

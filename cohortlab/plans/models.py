@@ -13,16 +13,16 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.clustering import LDA
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import BASELINE_GRID, LDA_ITERATIONS, LDA_K, N_FOLDS, SVM_ITERATIONS
-from ..operators.features import mean_vector_by_key
+from ..constants import BASELINE_GRID, LDA_ITERATIONS, LDA_K, N_FOLDS, SVM_ITERATIONS, SVM_REG
+from ..operators.features import BROADCAST_NAMES, mean_vector_by_key, sparse_vector
 from ..operators.sampling import fold_assignment
+from ..operators.text import dense_index, term_counts, vocabulary
 from ..session import materialize
 
 
@@ -33,7 +33,14 @@ class LinearModel:
     model: object = None
 
     def score(self, df: DataFrame, features: str = "features", out: str = "score") -> DataFrame:
-        return linear_score(df, self.weights, self.intercept, features=features, out=out)
+        """Raw margin. A fitted model scores vectors itself, so that sparse
+        ones stay sparse."""
+        if self.model is None or not isinstance(df.schema[features].dataType, VectorUDT):
+            return linear_score(df, self.weights, self.intercept, features=features, out=out)
+        m = self.model.copy()
+        m = m.setFeaturesCol(features).setRawPredictionCol("_raw").setPredictionCol("_prediction")
+        return (m.transform(df).withColumn(out, vector_to_array("_raw")[1])
+                .drop("_raw", "_prediction"))
 
 
 def _as_array(df: DataFrame, features: str):
@@ -51,72 +58,64 @@ def linear_score(df: DataFrame, weights: Sequence[float], intercept: float = 0.0
     return df.withColumn(out, dot + F.lit(float(intercept)))
 
 
-def fit_svm(points: DataFrame, iterations: int = SVM_ITERATIONS, reg: float = 100.0,
-            intercept: bool = True, *, solver: str = "linear_svc", features: str = "features",
-            label: str = "label", step: float = 1.0) -> LinearModel:
-    """Linear SVM on (label, features vector).
-
-    ``linear_svc`` (default) is Spark ML's OWL-QN hinge-loss solver;
-    ``sgd`` is the RDD-based ``SVMWithSGD`` (parity option; it moves rows
-    through Python, so keep it for small inputs)."""
-    if solver == "linear_svc":
-        m = LinearSVC(featuresCol=features, labelCol=label, maxIter=int(iterations), regParam=float(reg),
-                      fitIntercept=bool(intercept), standardization=False).fit(points)
-        return LinearModel([float(x) for x in m.coefficients.toArray()], float(m.intercept), m)
-    if solver == "sgd":
-        from pyspark.mllib.classification import SVMWithSGD
-        from pyspark.mllib.linalg import Vectors as OldVectors
-        from pyspark.mllib.regression import LabeledPoint
-        rdd = points.select(label, _as_array(points, features).alias("_f")).rdd.map(
-            lambda r: LabeledPoint(r[0], OldVectors.dense(r[1])))
-        m = SVMWithSGD.train(rdd, iterations=int(iterations), step=step, regParam=float(reg),
-                             intercept=bool(intercept))
-        return LinearModel([float(x) for x in m.weights.toArray()], float(m.intercept), m)
-    raise ValueError(f"unknown solver {solver!r}")
-
-
-def svm_scores(model: LinearModel, points: DataFrame, *, features: str = "features",
-               out: str = "score") -> DataFrame:
-    """Raw margins for labelled points (the study cleared the threshold)."""
-    return model.score(points, features=features, out=out)
+def fit_svm(points: DataFrame, iterations: int = SVM_ITERATIONS, reg: float = SVM_REG,
+            intercept: bool = True, *, features: str = "features", label: str = "label") -> LinearModel:
+    """Linear SVM on (label, features vector): Spark ML's hinge-loss solver."""
+    m = LinearSVC(featuresCol=features, labelCol=label, maxIter=int(iterations), regParam=float(reg),
+                  fitIntercept=bool(intercept), standardization=False).fit(points)
+    return LinearModel([float(x) for x in m.coefficients.toArray()], float(m.intercept), m)
 
 
 @dataclass
 class TopicModel:
-    vocabulary: list[str]
+    vocabulary: DataFrame          # (term, n, term_index), a written table
+    size: int                      # number of terms
     lda: object
-    counter: object
-
-    def transform(self, tok: DataFrame, *, tokens: str = "tokens") -> DataFrame:
-        tf = self.counter.transform(tok.filter(F.size(tokens) > 0))
-        return self.lda.transform(tf)
 
+    def vectors(self, tok: DataFrame, *, tokens: str = "tokens") -> DataFrame:
+        """``tok`` with ``_tf``, the sparse vector of its known terms' counts;
+        rows without a known term are left out."""
+        rest = [c for c in tok.columns if c != tokens]
+        docs = tok.filter(F.size(tokens) > 0).select(F.monotonically_increasing_id().alias("_doc"), *tok.columns)
+        counts = term_counts(docs.select("_doc", F.struct(*rest).alias("_rest"), tokens), doc=["_doc", "_rest"], tokens=tokens) \
+            if rest else term_counts(docs, doc=["_doc"], tokens=tokens)
+        known = F.broadcast(self.vocabulary) if self.size <= BROADCAST_NAMES else self.vocabulary
+        pairs = counts.join(known.select("term", "term_index"), "term")
+        keys = ["_doc", "_rest"] if rest else ["_doc"]
+        v = pairs.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("term_index", "n"))).alias("_p"))
+        tf = sparse_vector(F.lit(self.size), F.col("_p.term_index"), F.transform("_p.n", lambda x: x.cast("double")))
+        return v.select(*(["_rest.*"] if rest else []), tf.alias("_tf"))
 
-# No cap on the vocabulary unless the caller sets one (the study used every term).
-FULL_VOCABULARY = 1 << 30
+    def transform(self, tok: DataFrame, *, tokens: str = "tokens") -> DataFrame:
+        return self.lda.transform(self.vectors(tok, tokens=tokens))
 
 
 def fit_topics(tok: DataFrame, k: int = LDA_K, iterations: int = LDA_ITERATIONS, *,
-               seed: int = 0, tokens: str = "tokens", optimizer: str = "em",
-               min_df: float = 1.0, vocab_size: int = FULL_VOCABULARY) -> TopicModel:
+               seed: int = 0, tokens: str = "tokens", optimizer: str = "online",
+               vocab_size: int | None = None) -> TopicModel:
     """Term counts and LDA. Documents without tokens carry no topic
     information and are left out.
 
-    Spark ML keeps the vocabulary and the k x V topic matrix on the driver;
-    for very large corpora ``vocab_size`` / ``min_df`` bound V, and
-    ``optimizer="online"`` avoids EM's per-iteration graph (the study used
-    EM, the default here)."""
+    The vocabulary is a distributed count, numbered by (count descending,
+    term); ``vocab_size`` keeps the most frequent terms (all by default, as in
+    the study). Only LDA's k x V topic matrix is on the driver, which Spark ML
+    cannot avoid. ``optimizer="em"`` is the study's optimizer; the online one,
+    the default here, does not build a graph over all documents per iteration.
+    """
     docs = materialize(tok.select(tokens).filter(F.size(tokens) > 0))
-    counter = CountVectorizer(inputCol=tokens, outputCol="_tf", minDF=min_df,
-                              vocabSize=int(vocab_size)).fit(docs)
-    lda = LDA(k=int(k), maxIter=int(iterations), optimizer=optimizer, seed=int(seed),
-              featuresCol="_tf", topicDistributionCol="topic_mix").fit(counter.transform(docs))
-    return TopicModel(list(counter.vocabulary), lda, counter)
+    terms = dense_index(vocabulary(docs, tokens=tokens), [F.desc("n"), F.col("term")], out="term_index")
+    if vocab_size is not None:
+        terms = terms.filter(F.col("term_index") < int(vocab_size))
+    terms = materialize(terms.select("term", "n", F.col("term_index").cast("int").alias("term_index")))
+    model = TopicModel(terms, terms.count(), None)
+    model.lda = LDA(k=int(k), maxIter=int(iterations), optimizer=optimizer, seed=int(seed), featuresCol="_tf",
+                    topicDistributionCol="topic_mix").fit(materialize(model.vectors(docs, tokens=tokens)))
+    return model
 
 
 def topic_features(tok: DataFrame, k: int = LDA_K, iterations: int = LDA_ITERATIONS, *,
-                   seed: int = 0, pid: str = "pid", tokens: str = "tokens", optimizer: str = "em",
-                   vocab_size: int = FULL_VOCABULARY,
+                   seed: int = 0, pid: str = "pid", tokens: str = "tokens", optimizer: str = "online",
+                   vocab_size: int | None = None,
                    model: TopicModel | None = None) -> tuple[DataFrame, TopicModel]:
     """(pid, features = mean topic mixture over the subject's notes)."""
     model = model or fit_topics(tok, k, iterations, seed=seed, tokens=tokens, optimizer=optimizer,
@@ -126,17 +125,13 @@ def topic_features(tok: DataFrame, k: int = LDA_K, iterations: int = LDA_ITERATI
 
 
 def topic_top_terms(model: TopicModel, n: int = 10) -> DataFrame:
-    """(topic, rank, term, weight): the n heaviest terms of every topic."""
+    """(topic, rank, term, weight): the n heaviest terms of every topic. The
+    k x n rows of the topics are the small side of the join."""
     topics = model.lda.describeTopics(int(n))
-    sess = topics.sparkSession
-    vocab = sess.createDataFrame(list(enumerate(model.vocabulary)), "term_index int, term string")
     z = topics.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "z"))
     z = z.select("topic", "rank", F.col("z.termIndices").alias("term_index"),
                  F.col("z.termWeights").alias("weight"))
-    # The vocabulary is a model parameter already held by the driver; its
-    # size is known, so it is broadcast only below a fixed bound.
-    small = len(model.vocabulary) <= 1_000_000
-    return (z.join(F.broadcast(vocab) if small else vocab, "term_index")
+    return (model.vocabulary.join(F.broadcast(z), "term_index")
             .select("topic", "rank", "term", "weight"))
 
 

@@ -3,7 +3,7 @@
 EXP-1 ``baseline_model``     age/sex/score SVM, tested every 12 h after the first note
 EXP-2 ``hourly_topic_model`` LDA + SVM refit at every hour mark
 EXP-3 ``retrospective_topic_model`` LDA on all in-episode notes, SVM on train
-EXP-4 ``derived_model``      33 derived features (+ optional grid search)
+EXP-4 ``derived_model``      33 derived features
 EXP-5 ``run_study``          everything above on one set of inputs
 
 The hour sweep of EXP-1 is one job: every test subject is exploded to the
@@ -13,33 +13,36 @@ min(out, death) - first note), and the metrics are grouped by hour.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..constants import (HOURS_START, HOURS_STEP, HOURS_STOP, LDA_ITERATIONS, LDA_K, MS_HOUR,
-                         SVM_ITERATIONS, TOPIC_HOURS_START)
+from ..constants import (BASELINE_GRID, DERIVED_GRID, HOURS_START, HOURS_STEP, HOURS_STOP, LDA_ITERATIONS,
+                         LDA_K, MS_HOUR, N_FOLDS, RETROSPECTIVE_TOPIC_REG, SVM_ITERATIONS, SVM_REG,
+                         TOPIC_HOURS_START, TRAIN_PROPORTION)
 from ..functions.timecols import millis
-from ..session import materialize
-from .models import LinearModel, fit_svm, fit_topics, linear_score, topic_features
+from ..session import clear_scratch, materialize
+from .models import LinearModel, cv_grid, fit_svm, fit_topics, linear_score, topic_features
 
 
-def hourly_auc(scored: DataFrame, cohort: DataFrame, first: DataFrame, hours: Iterable[int], *,
+def hourly_auc(scored: DataFrame, cohort: DataFrame | None, first: DataFrame, hours: Iterable[int], *,
                pid: str = "pid", score: str = "score", label: str = "label",
                threshold: float | None = 0.0) -> DataFrame:
     """Binary metrics per hour mark over the subjects present at that hour.
 
     At h <= 0 every scored subject counts (also those without a first note);
     at h > 0 a subject counts when it has a first note and both its out time
-    and its death are strictly later than first + h.
+    and its death are strictly later than first + h. Pass ``cohort=None`` when
+    ``scored`` already has ``out_ts`` and ``dod``.
     """
     hrs = sorted({int(h) for h in hours})
-    c = cohort.select(pid, millis("out_ts").alias("_o"), millis("dod").alias("_d"))
     f = first.select(pid, millis("first_ts").alias("_f"))
-    x = scored.select(pid, score, label).join(c, pid, "inner").join(f, pid, "left")
+    x = scored if cohort is None else scored.select(pid, score, label).join(
+        cohort.select(pid, "out_ts", "dod"), pid, "inner")
+    x = x.select(pid, score, label, millis("out_ts").alias("_o"), millis("dod").alias("_d")).join(f, pid, "left")
 
     # each subject meets every mark once (a fixed number of rows per subject),
     # then keeps the marks at which it is still present
@@ -70,9 +73,10 @@ class StudyInputs:
 @dataclass
 class StudyConfig:
     svm_iterations: int = SVM_ITERATIONS
-    baseline_reg: float = 100.0
-    topic_reg: float = 100.0
-    derived_reg: float = 100.0
+    baseline_reg: float = SVM_REG
+    hourly_topic_reg: float = SVM_REG                          # EXP-2
+    retrospective_topic_reg: float = RETROSPECTIVE_TOPIC_REG   # EXP-3
+    derived_reg: float = SVM_REG
     intercept: bool = True
     lda_k: int = LDA_K
     lda_iterations: int = LDA_ITERATIONS
@@ -81,43 +85,46 @@ class StudyConfig:
     topic_hours: range = field(default_factory=lambda: _sweep(TOPIC_HOURS_START))
     refit_test_topics: bool = False
     threshold: float | None = 0.0
-    solver: str = "linear_svc"
-    lda_optimizer: str = "em"
+    lda_optimizer: str = "online"
+    folds: int = N_FOLDS
 
 
 def _restrict(df: DataFrame, subjects: DataFrame, pid: str = "pid") -> DataFrame:
     return op.restrict_to_subjects(df, subjects, pid=pid)
 
 
-# Training rows per partition for iterative fits: every solver iteration is
-# one Spark job over the points, so tiny inputs are packed into few tasks
-# while large ones keep one task per this many rows.
-ROWS_PER_FIT_PARTITION = 1_000_000
-
-
 def fit_ready(points: DataFrame) -> DataFrame:
-    """Checkpoint labelled points once (solvers iterate over them; the
+    """Checkpoint labelled points once: solvers iterate over them, and the
     checkpoint also replaces the long lineage, which Spark ML would otherwise
-    re-analyse at every step) and pack them into
-    ceil(rows / ROWS_PER_FIT_PARTITION) partitions."""
-    p = materialize(points)
-    n = p.count()
-    parts = max(1, -(-n // ROWS_PER_FIT_PARTITION))
-    return p.coalesce(parts) if parts < p.rdd.getNumPartitions() else p
+    re-analyse at every step. Small inputs come out in few partitions, as
+    adaptive execution merges them by bytes."""
+    return materialize(points)
 
 
 def _points_with_ids(features: DataFrame, labels: DataFrame) -> DataFrame:
     return fit_ready(op.labeled_points_dense(features, labels))
 
 
-def baseline_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()) -> tuple[DataFrame, LinearModel]:
+def _fit(train: DataFrame, iterations: int, reg: float, intercept: bool, cfg: StudyConfig,
+         grid: Mapping | None) -> LinearModel:
+    """SVM with the given settings, or with the best of ``grid`` by k-fold
+    mean AUC on the training points."""
+    if grid:
+        _, best = cv_grid(train, grid, cfg.folds, seed=cfg.seed)
+        iterations, reg, intercept = best["iterations"], best["reg"], best["intercept"]
+    return fit_svm(train, iterations, reg, intercept)
+
+
+def baseline_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig(), *,
+                   grid: Mapping | None = None) -> tuple[DataFrame, LinearModel]:
     """EXP-1: (split, hour, total, positives, auc, accuracy, sensitivity,
-    specificity); the train row has hour NULL."""
+    specificity); the train row has hour NULL. With ``grid`` the SVM settings
+    are chosen by k-fold mean AUC on the train subjects first."""
     train_c = _restrict(inp.cohort, inp.train)
     long_train = op.baseline_features_long(train_c, inp.scores)
-    dictionary = op.feature_dictionary(long_train)
+    dictionary = materialize(op.feature_dictionary(long_train))
     pts = fit_ready(op.labeled_points_sparse(long_train, inp.labels, dictionary))
-    model = fit_svm(pts, cfg.svm_iterations, cfg.baseline_reg, cfg.intercept, solver=cfg.solver)
+    model = _fit(pts, cfg.svm_iterations, cfg.baseline_reg, cfg.intercept, cfg, grid)
     train_m = op.binary_metrics(model.score(pts), threshold=cfg.threshold)
     test_c = _restrict(inp.cohort, inp.test)
     long_test = op.baseline_features_long(test_c, inp.scores)
@@ -139,88 +146,102 @@ def retrospective_topic_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()
     train and test."""
     pts, _ = _topic_points(inp.tokens, inp.labels, cfg)
     train, test = _restrict(pts, inp.train), _restrict(pts, inp.test)
-    model = fit_svm(train, cfg.svm_iterations, cfg.topic_reg, cfg.intercept, solver=cfg.solver)
-    return _train_test_metrics(model, train, test, cfg)
+    model = fit_svm(train, cfg.svm_iterations, cfg.retrospective_topic_reg, cfg.intercept)
+    return _split_metrics(_scored(model, train, test), cfg)
 
 
-def _train_test_metrics(model: LinearModel, train: DataFrame, test: DataFrame, cfg: StudyConfig,
-                        extra: dict | None = None) -> DataFrame:
-    parts = []
-    for name, pts in (("train", train), ("test", test)):
-        m = op.binary_metrics(model.score(pts), threshold=cfg.threshold)
-        cols = [F.lit(name).alias("split")] + [F.lit(v).alias(k) for k, v in (extra or {}).items()]
-        parts.append(m.select(*cols, "*"))
+def _scored(model: LinearModel, train: DataFrame, test: DataFrame, hour: int | None = None) -> DataFrame:
+    """(split[, hour], score, label) of both parts."""
+    extra = [] if hour is None else [F.lit(int(hour)).alias("hour")]
+    parts = [model.score(p).select(F.lit(name).alias("split"), *extra, "score", "label")
+             for name, p in (("train", train), ("test", test))]
     return parts[0].unionByName(parts[1])
 
 
+def _split_metrics(scored: DataFrame, cfg: StudyConfig) -> DataFrame:
+    """Binary metrics of each split (and hour): one grouped pass."""
+    by = ["split", "hour"] if "hour" in scored.columns else ["split"]
+    return op.binary_metrics(scored, by=by, threshold=cfg.threshold)
+
+
 def hourly_topic_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """EXP-2: at every hour mark keep notes before first + h, fit LDA on the
     train subjects' notes, SVM on their topic mixtures, evaluate on the test
     subjects (their notes transformed by the train topics unless
-    ``refit_test_topics``). One Spark ML fit per hour mark."""
+    ``refit_test_topics``). One Spark ML fit per hour mark, one metrics pass
+    over all marks."""
     tok_train, tok_test = _restrict(inp.tokens, inp.train), _restrict(inp.tokens, inp.test)
-    results = None
+    scored = None
     for h in cfg.topic_hours:
         tr_h = op.events_within_hours(tok_train, inp.first, h)
         te_h = op.events_within_hours(tok_test, inp.first, h)
         tr_pts, topic_model = _topic_points(tr_h, inp.labels, cfg)
         te_pts, _ = _topic_points(te_h, inp.labels, cfg,
                                   model=None if cfg.refit_test_topics else topic_model)
-        model = fit_svm(tr_pts, cfg.svm_iterations, cfg.topic_reg, cfg.intercept, solver=cfg.solver)
-        r = _train_test_metrics(model, tr_pts, te_pts, cfg, {"hour": int(h)})
-        results = r if results is None else results.unionByName(r)
-    return results
+        model = fit_svm(tr_pts, cfg.svm_iterations, cfg.hourly_topic_reg, cfg.intercept)
+        s = _scored(model, tr_pts, te_pts, h)
+        scored = s if scored is None else scored.unionByName(s)
+    return _split_metrics(scored, cfg)
 
 
 def derived_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig(), *,
-                  grid: dict | None = None, folds: int = 5) -> DataFrame:
+                  grid: Mapping | None = None) -> DataFrame:
     """EXP-4: 3 baseline + 30 flag features; with ``grid`` the SVM settings
     are chosen by k-fold mean AUC on the train subjects first."""
-    from .models import cv_grid
     feats = op.derived_features(inp.cohort, inp.scores, inp.flags)
     pts = _points_with_ids(feats, inp.labels)
     train, test = _restrict(pts, inp.train), _restrict(pts, inp.test)
-    iters, reg, icpt = cfg.svm_iterations, cfg.derived_reg, cfg.intercept
-    if grid:
-        _, best = cv_grid(train, grid, folds, seed=cfg.seed)
-        iters, reg, icpt = best["iterations"], best["reg"], best["intercept"]
-    model = fit_svm(train, iters, reg, icpt, solver=cfg.solver)
-    return _train_test_metrics(model, train, test, cfg)
+    model = _fit(train, cfg.svm_iterations, cfg.derived_reg, cfg.intercept, cfg, grid)
+    return _split_metrics(_scored(model, train, test), cfg)
 
 
 def build_inputs(spark: SparkSession, subjects: DataFrame, episodes: DataFrame, notes: DataFrame,
                  scores: DataFrame, flags: DataFrame, *, stopwords=None, label_kind: str = "in_episode",
-                 train_proportion: float = 0.7, seed: int = 0, exact_max: int = 2000,
+                 train_proportion: float = TRAIN_PROPORTION, seed: int = 0, exact: bool = True,
                  rebalance: bool = True) -> tuple[StudyInputs, StudyInputs]:
     """Cohort, note cohort, labels, split; returns (inputs with the
-    rebalanced train set, inputs with the full train set)."""
-    cohort = op.build_cohort(subjects, episodes)
-    nc = op.note_cohort(cohort, notes, stopwords)
-    # Every experiment starts from these three sets: write them once to the
-    # shared checkpoint folder instead of recomputing notes and tokens.
-    subjects_nc = materialize(nc["subjects"].drop("first_ts"))
-    first = materialize(nc["first"])
-    tokens = materialize(nc["tokens"])
-    labels = op.label_events(subjects_nc, label_kind)
-    train, test = op.split_subjects(subjects_nc.select("pid"), train_proportion, seed,
-                                    exact_max=exact_max)
-    full = StudyInputs(subjects_nc, first, tokens, scores, flags, labels, train, test)
+    rebalanced train set, inputs with the full train set). Split and
+    rebalancing are exact unless ``exact`` is False."""
+    return inputs_from_tokens(note_tokens(op.build_cohort(subjects, episodes), notes, stopwords), scores, flags,
+                              label_kind=label_kind, train_proportion=train_proportion, seed=seed, exact=exact,
+                              rebalance=rebalance)
+
+
+def note_tokens(cohort: DataFrame, notes: DataFrame | None, stopwords=None, *,
+                notes_in_ep: DataFrame | None = None) -> DataFrame:
+    """The tokenized in-episode notes with their cohort rows, written once:
+    every other set of the study is derived from this table, so the notes are
+    read and tokenized one time."""
+    inep = notes_in_ep if notes_in_ep is not None else op.notes_in_episode(cohort, notes, carry=op.text.COHORT)
+    return materialize(op.tokenize(inep, stopwords=stopwords))
+
+
+def inputs_from_tokens(tokens: DataFrame, scores: DataFrame, flags: DataFrame, *, label_kind: str = "in_episode",
+                       train_proportion: float = TRAIN_PROPORTION, seed: int = 0, exact: bool = True,
+                       rebalance: bool = True) -> tuple[StudyInputs, StudyInputs]:
+    """``build_inputs`` from the output of ``note_tokens``."""
+    nc = op.note_cohort(None, tokens=tokens)
+    kept = materialize(nc["subjects"])
+    cohort, first = kept.drop("first_ts"), kept.select("pid", "first_ts")
+    labels = materialize(op.label_events(cohort, label_kind))
+    train, test = op.split_subjects(labels, train_proportion, seed, exact=exact)
+    full = StudyInputs(cohort, first, nc["tokens"], scores, flags, labels, train.select("pid"), test.select("pid"))
     if not rebalance:
         return full, full
-    tl = labels.join(train, "pid", "left_semi")
-    exact = subjects_nc.count() <= exact_max
-    sub = op.rebalance_negatives(tl, "label", exact=exact, seed=seed).select("pid")
-    return StudyInputs(subjects_nc, first, tokens, scores, flags, labels, sub, test), full
+    sub = op.rebalance_negatives(train, "label", exact=exact, seed=seed).select("pid")
+    return replace(full, train=sub), full
 
 
 def run_study(inputs: tuple[StudyInputs, StudyInputs], cfg: StudyConfig = StudyConfig(), *,
-              topic_sweep: bool = True) -> dict[str, DataFrame]:
+              topic_sweep: bool = True, baseline_grid: Mapping | None = None,
+              derived_grid: Mapping | None = None) -> dict[str, DataFrame]:
     """All experiments; the rebalanced train set feeds EXP-1 and EXP-3, the
-    full one EXP-2 and EXP-4, as in the study."""
+    full one EXP-2 and EXP-4, as in the study. With grids, EXP-1 and EXP-4
+    choose their SVM settings by cross-validation."""
     sub, full = inputs
-    out = {"baseline": baseline_model(sub, cfg)[0],
+    out = {"baseline": baseline_model(sub, cfg, grid=baseline_grid)[0],
            "retrospective_topics": retrospective_topic_model(sub, cfg),
-           "derived": derived_model(full, cfg)}
+           "derived": derived_model(full, cfg, grid=derived_grid)}
     if topic_sweep:
         out["hourly_topics"] = hourly_topic_model(full, cfg)
     return out
@@ -240,8 +261,8 @@ def study_summary(results: dict[str, DataFrame]) -> DataFrame:
 
 
 __all__ = ["StudyConfig", "StudyInputs", "baseline_model", "build_inputs", "derived_model",
-           "hourly_auc", "hourly_topic_model", "linear_score", "retrospective_topic_model",
-           "run_study", "study_summary", "fit_topics"]
+           "hourly_auc", "hourly_topic_model", "inputs_from_tokens", "linear_score", "note_tokens",
+           "retrospective_topic_model", "run_study", "study_summary", "fit_topics"]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -266,7 +287,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--svm-iterations", type=int, default=SVM_ITERATIONS)
     ap.add_argument("--lda-k", type=int, default=LDA_K)
     ap.add_argument("--lda-iterations", type=int, default=LDA_ITERATIONS)
-    ap.add_argument("--lda-optimizer", default="em", choices=["em", "online"])
+    ap.add_argument("--lda-optimizer", default="online", choices=["em", "online"])
+    ap.add_argument("--cross-validate", action="store_true",
+                    help="choose the SVM settings of EXP-1 and EXP-4 on the study's grids")
+    ap.add_argument("--hash-split", action="store_true", help="approximate split and rebalancing")
     ap.add_argument("--no-topic-sweep", action="store_true", help="skip the hourly topic models")
     ap.add_argument("--master", help="build a local session with this master instead")
     a = ap.parse_args(argv)
@@ -278,11 +302,13 @@ def main(argv: list[str] | None = None) -> None:
     t = load_raw_tables(spark, a.data)
     stop = read_word_list(spark, a.stopwords) if a.stopwords else None
     inputs = build_inputs(spark, t["subjects"], t["episodes"], t["notes"], t["scores"], t["flags"],
-                          stopwords=stop, label_kind=a.label, seed=a.seed)
+                          stopwords=stop, label_kind=a.label, seed=a.seed, exact=not a.hash_split)
     cfg = StudyConfig(svm_iterations=a.svm_iterations, lda_k=a.lda_k, lda_iterations=a.lda_iterations,
                       seed=a.seed, lda_optimizer=a.lda_optimizer)
-    summary = study_summary(run_study(inputs, cfg, topic_sweep=not a.no_topic_sweep))
+    grids = {"baseline_grid": BASELINE_GRID, "derived_grid": DERIVED_GRID} if a.cross_validate else {}
+    summary = study_summary(run_study(inputs, cfg, topic_sweep=not a.no_topic_sweep, **grids))
     summary.write.mode("overwrite").option("header", True).csv(a.out)
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

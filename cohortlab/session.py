@@ -6,7 +6,9 @@ DataFrames. These helpers exist for tests, the bench and the query catalog.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -31,7 +33,9 @@ def build_session(master: str | None = None, app: str = "cohortlab",
          .config("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.cohortlab.spreadScans", str(master.startswith("local[")).lower())
          .config("spark.driver.memory", os.environ.get("COHORTLAB_DRIVER_MEMORY", "8g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (extra or {}).items():
@@ -52,38 +56,61 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for checkpoints and written tables: the one set with
+    ``setCheckpointDir``, else the one ``spark.checkpoint.dir`` names.
 
-    Read from the session; only when it is unset (local tests) a private
-    scratch folder is made and registered.
+    If there is neither, a local master gets a private temporary folder (gone
+    when the process ends). On a cluster that would be a folder of each
+    machine, so it is an error.
     """
-    global _LOCAL_CKPT
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (no SparkContext, e.g. a remote session)
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
-    d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
+    sc = spark.sparkContext
+    own = sc.getCheckpointDir()
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if own:
+        # Spark makes a folder of its own for the application below the one that is set
+        return named or own
+    if not named:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        global _LOCAL_CKPT
         if _LOCAL_CKPT is None:
             _LOCAL_CKPT = tempfile.mkdtemp(prefix="cohortlab-ckpt-")
-        d = _LOCAL_CKPT
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return d
+            atexit.register(shutil.rmtree, _LOCAL_CKPT, ignore_errors=True)
+        named = _LOCAL_CKPT
+    sc.setCheckpointDir(named)
+    return named
 
 
 _LOCAL_CKPT: str | None = None
+_SCRATCH: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the shared checkpoint folder for a written table."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the tables written below ``scratch_path`` by this process;
+    returns how many there were. Results that are not yet computed may need
+    them: call it when all of them have been written or collected."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def materialize(df):
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared
     checkpoint folder (survives executor loss; never a local checkpoint).
-    Used where one intermediate result feeds several branches of a plan."""
+    Used where one intermediate result feeds several branches of a plan.
+    Spark deletes it with its last reference when
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set, as
+    ``build_session`` does."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

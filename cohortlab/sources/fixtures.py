@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import SCORE_FIELDS
 from ..session import use_utc
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -27,18 +28,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Session setting that turns ``spread_scan`` on.
+SPREAD_SCANS = "spark.cohortlab.spreadScans"
+
+
 def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a scan that has fewer partitions than the session has
-    cores (e.g. one file with one row group) before CPU-heavy per-row work.
-    Large inputs arrive as many splits and are returned untouched, so this
-    never adds a shuffle at scale. Only call it on a plain scan: counting the
-    partitions of a scan plans it without running a job."""
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. a remote session)
+    cores, before CPU-heavy per-row work. For tests on one small file: off
+    unless the session sets ``spark.cohortlab.spreadScans`` to true, as it
+    shuffles the whole table."""
+    spark = df.sparkSession
+    if spark.conf.get(SPREAD_SCANS, "false") != "true":
         return df
-    return df if have >= n else df.repartition(n)
+    n = min_partitions or spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
 
 
 def _days(n) -> F.Column:
@@ -116,6 +119,16 @@ def score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def score_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All score fields of the export, with missing values in each."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    rest = [F.when(k % (11 + i) == 0, F.lit(None).cast("double"))
+             .otherwise(((k * (7 + i)) % (20 + i)).cast("double")).alias(c) for i, c in enumerate(SCORE_FIELDS[1:])]
+    return score(spark, sf_dir).select("pid", "hadm", "stay", F.col("score").alias(SCORE_FIELDS[0])).join(
+        o.select(k.alias("stay"), *rest), "stay")
+
+
 def _flag_rule(h: F.Column, i: F.Column) -> F.Column:
     return (F.when(h % 11 == 0, F.lit(None).cast("int"))
              .when((h * (i + 3) + i) % 7 == 0, 1).otherwise(0))

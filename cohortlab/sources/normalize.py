@@ -1,9 +1,9 @@
 """Column normalisers for quoted free text.
 
-The study repaired its raw CSV exports with line-oriented shell filters
-before loading. Spark's CSV reader handles quoted multi-line fields itself
-(``multiLine``, ``escape='"'``), so what remains is the effect of those
-filters on the text value, applied as JVM-side expressions:
+``sources.repair`` repairs a raw export. These expressions have the same
+steps for a text column that was read some other way (from a table, or by the
+CSV reader, after which the quotes around a field are gone and a doubled
+quote is a single one):
 
 full (note text):
   1. a doubled quote ``""`` becomes a space;

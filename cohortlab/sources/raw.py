@@ -1,8 +1,8 @@
 """The study's five raw CSV exports, loaded together.
 
 A data folder holds the tables under their export names. Each is read as
-text with a header (notes with quoted multi-line fields) and typed by its
-loader; ``raw_counts`` gives the row counts the study reported after loading.
+text with a header (notes after the repair of their quoted multi-line fields)
+and typed by its loader; ``raw_counts`` gives the row counts the study reported after loading.
 """
 
 from __future__ import annotations
@@ -15,21 +15,28 @@ from . import fixtures as fx
 from .csv_io import read_csv_table, write_csv_table
 from .loaders import (load_episodes, load_flags, load_notes, load_scores, load_subjects,
                       table_counts)
+from .repair import read_repaired_notes
 
 # Export file names of the five tables (fixed values).
 RAW_FILES = {"subjects": "PATIENTS.csv", "notes": "NOTEEVENTS.csv", "flags": "EHCOMORBIDITIES.csv",
              "episodes": "ICUSTAYS.csv", "scores": "SAPSII.csv"}
 
 
-def load_raw_tables(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
-    """subjects, notes, flags, episodes, scores as typed DataFrames."""
+def load_raw_tables(spark: SparkSession, data_dir: str, *, repair_notes: bool = True) -> dict[str, DataFrame]:
+    """subjects, notes, flags, episodes, scores as typed DataFrames.
+
+    Notes go through the repair of raw exports (see ``sources.repair``), which
+    reads a file in parallel. ``repair_notes=False`` reads them with the
+    multi-line CSV reader instead: texts as they are, one task per file."""
     d = data_dir.rstrip("/")
 
     def read(key: str, multi_line: bool = False) -> DataFrame:
         return read_csv_table(spark, f"{d}/{RAW_FILES[key]}", multi_line=multi_line)
 
+    notes = (read_repaired_notes(spark, f"{d}/{RAW_FILES['notes']}") if repair_notes
+             else read("notes", multi_line=True))
     return {"subjects": load_subjects(read("subjects")),
-            "notes": load_notes(read("notes", multi_line=True)),
+            "notes": load_notes(notes),
             "flags": load_flags(read("flags")),
             "episodes": load_episodes(read("episodes")),
             "scores": load_scores(read("scores"))}

@@ -1,4 +1,6 @@
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
 from cohortlab import operators as op
 
 
@@ -36,3 +38,18 @@ def test_linear_score(spark):
     from cohortlab.plans.models import linear_score
     df = spark.createDataFrame([(1, [1.0, 2.0])], "pid long, features array<double>")
     assert linear_score(df, [0.5, 2.0], 1.0).first()["score"] == 5.5
+
+
+def test_sparse_points_stay_sparse(spark):
+    from pyspark.ml.linalg import SparseVector
+    n = 100_000
+    names = spark.range(n).select(F.concat(F.lit("f"), "id").alias("name"), F.col("id").cast("int").alias("index"))
+    long = spark.createDataFrame([(1, "F7", 2.0), (1, "f99999", 3.0), (2, "unknown", 1.0), (3, "F0", 5.0)],
+                                 "pid long, feature string, value double")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "pid long, label int")
+    pts = op.labeled_points_sparse(long, labels, names)
+    got = {r["pid"]: r["features"] for r in pts.collect()}
+    assert got == {1: SparseVector(n, {7: 2.0, 99999: 3.0}), 2: SparseVector(n, {}), 3: SparseVector(n, {0: 5.0})}
+    assert all(isinstance(v, SparseVector) for v in got.values())
+    plan = pts._jdf.queryExecution().toString()
+    assert not any("SortMergeJoin" in line and "name" in line for line in plan.splitlines())

@@ -25,7 +25,7 @@ def _brute_auc(rows):
 def test_auc_matches_brute_force_with_ties(spark):
     df = _scored(spark)
     rows = [(r["score"], r["label"]) for r in df.collect()]
-    auc = op.auc_by_rank(df, buckets=8).first()["auc"]
+    auc = op.auc_by_rank(df).first()["auc"]
     assert abs(auc - _brute_auc(rows)) < 1e-12
 
 
@@ -46,7 +46,7 @@ def test_auc_equals_spark_evaluator(spark):
 
 def test_auc_by_group_and_degenerate(spark):
     df = _scored(spark).withColumn("g", F.col("pid") % 3)
-    by = {r["g"]: r["auc"] for r in op.auc_by_rank(df, by="g", buckets=4).collect()}
+    by = {r["g"]: r["auc"] for r in op.auc_by_rank(df, by="g").collect()}
     for g in range(3):
         rows = [(r["score"], r["label"]) for r in df.filter(F.col("g") == g).collect()]
         assert abs(by[g] - _brute_auc(rows)) < 1e-12
@@ -65,14 +65,37 @@ def test_confusion_and_metrics(spark):
     assert raw["tp"] == 0
 
 
-def test_auc_with_many_small_buckets(spark, monkeypatch):
-    from cohortlab.operators import metrics
-    monkeypatch.setattr(metrics, "ROWS_PER_BUCKET", 3)
-    monkeypatch.setattr(metrics, "MAX_BUCKETS", 40)
-    assert metrics._bucket_count(1000, 8) == 40 and metrics._bucket_count(30, 8) == 10
-    df = _scored(spark, n=300, ties=False).withColumn("g", F.col("pid") % 2)
-    rows = [(r["score"], r["label"], r["g"]) for r in df.collect()]
-    assert abs(op.auc_by_rank(df, buckets=2).first()["auc"] - _brute_auc([(s, y) for s, y, _ in rows])) < 1e-12
-    by = {r["g"]: r["auc"] for r in op.auc_by_rank(df, by="g", buckets=2).collect()}
+def _uncoalesced(spark, parts):
+    keys = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def test_auc_over_many_range_partitions(spark):
+    old = _uncoalesced(spark, 23)
+    try:
+        df = _scored(spark, n=300, ties=False).withColumn("g", F.col("pid") % 2)
+        rows = [(r["score"], r["label"], r["g"]) for r in df.collect()]
+        assert abs(op.auc_by_rank(df).first()["auc"] - _brute_auc([(s, y) for s, y, _ in rows])) < 1e-12
+        by = {r["g"]: r["auc"] for r in op.auc_by_rank(df, by="g").collect()}
+        null = op.auc_by_rank(df.withColumn("g", F.lit(None).cast("int")), by="g").first()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
     for g in (0, 1):
         assert abs(by[g] - _brute_auc([(s, y) for s, y, k in rows if k == g])) < 1e-12
+    assert null["g"] is None and abs(null["auc"] - _brute_auc([(s, y) for s, y, _ in rows])) < 1e-12
+
+
+def test_auc_of_infinite_nan_and_equal_scores(spark):
+    inf = float("inf")
+    rows = [(inf, 1), (-inf, 0), (1.0, 0), (2.0, 1), (inf, 0), (-inf, 1)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    assert abs(op.auc_by_rank(df).first()["auc"] - _brute_auc(rows)) < 1e-12
+    assert abs(op.binary_metrics(df).first()["auc"] - _brute_auc(rows)) < 1e-12
+    nan = spark.createDataFrame([(float("nan"), 1), (inf, 0), (None, 0)], "score double, label int")
+    assert op.auc_by_rank(nan).first()["auc"] == 1.0     # NaN is above all, a null score is no row
+    equal = spark.createDataFrame([(3.0, 1), (3.0, 0), (3.0, 0)], "score double, label int")
+    assert op.auc_by_rank(equal).first()["auc"] == 0.5

@@ -18,13 +18,13 @@ def _points(spark, n=120, seed=3):
     return spark.createDataFrame(rows, schema).coalesce(1)
 
 
-def test_svm_solvers_separate_toy_data(spark):
+def test_svm_separates_toy_data(spark):
     pts = _points(spark)
-    for solver in ("linear_svc", "sgd"):
-        m = M.fit_svm(pts, 20, 0.01, True, solver=solver)
-        auc = op.auc_by_rank(m.score(pts)).first()["auc"]
-        assert auc > 0.95, solver
-        assert len(m.weights) == 2
+    m = M.fit_svm(pts, 20, 0.01, True)
+    assert op.auc_by_rank(m.score(pts)).first()["auc"] > 0.95 and len(m.weights) == 2
+    by_model = {r["pid"]: r["score"] for r in m.score(pts).collect()}
+    by_hand = {r["pid"]: r["score"] for r in M.linear_score(pts, m.weights, m.intercept).collect()}
+    assert all(abs(by_model[p] - by_hand[p]) < 1e-9 for p in by_hand)
 
 
 def test_topic_mixtures_sum_to_one(spark):
@@ -50,9 +50,19 @@ def test_cv_grid_rows_and_best(spark):
     assert first_top["best"] and best["iterations"] == first_top["iterations"]
 
 
-def test_online_topic_optimizer(spark):
+def test_em_topic_optimizer(spark):
     rows = [(p, ["heart", "lung", "renal"] if p % 2 else ["sepsis", "fever", "renal"]) for p in range(12)]
     tok = spark.createDataFrame(rows, "pid long, tokens array<string>")
-    feats, model = M.topic_features(tok, k=2, iterations=5, seed=2, optimizer="online", vocab_size=4)
-    assert len(model.vocabulary) == 4
+    feats, model = M.topic_features(tok, k=2, iterations=5, seed=2, optimizer="em", vocab_size=4)
+    assert model.size == model.vocabulary.count() == 4
     assert all(abs(sum(r["features"]) - 1.0) < 1e-6 for r in feats.collect())
+
+
+def test_topic_vectors_count_known_terms(spark):
+    tok = spark.createDataFrame([(1, ["b", "a", "b"]), (1, ["c"]), (2, []), (3, ["z"])], "pid long, tokens array<string>")
+    model = M.fit_topics(tok.filter("pid < 3"), k=2, iterations=2)
+    index = {r["term"]: r["term_index"] for r in model.vocabulary.collect()}
+    assert index == {"b": 0, "a": 1, "c": 2}     # by count, then by term
+    got = sorted((r["pid"], tuple(r["_tf"].indices.tolist()), tuple(r["_tf"].values.tolist()), r["_tf"].size)
+                 for r in model.vectors(tok).collect())
+    assert got == [(1, (0, 1), (2.0, 1.0), 3), (1, (2,), (1.0,), 3)]

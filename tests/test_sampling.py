@@ -21,12 +21,36 @@ def test_split_exact_counts_disjoint_complete(spark):
 
 def test_split_exact_multi_round(spark, monkeypatch):
     from cohortlab.operators import sampling
-    monkeypatch.setattr(sampling, "DIRECT_RANK_MAX", 3)
+    monkeypatch.setattr(sampling, "CANDIDATE_ROWS", 1)
+    monkeypatch.setattr(sampling, "HIST_BITS", 4)
     df = _ids(spark, 400)
     tr, te = sampling.split_exact(df, 0.25, seed=1)
     assert tr.count() == 100 and te.count() == 300
 
 
+def test_split_of_a_key_that_is_not_unique_is_refused(spark):
+    import pytest
+    with pytest.raises(ValueError, match="not unique"):
+        op.split_exact(spark.range(0, 4000).select(F.lit(7).alias("pid")), 0.5)
+
+
+def test_draws_are_independent_after_a_split(spark):
+    """50,000 subjects, 10 % positive: the positive share of the rebalanced
+    training set is the target, whatever the split kept."""
+    df = _ids(spark, 50_000).withColumn("label", F.when(F.col("pid") % 10 == 0, 1).otherwise(0))
+    for exact in (True, False):
+        train, _ = op.split_subjects(df, 0.7, seed=42, exact=exact)
+        r = op.label_balance(op.rebalance_negatives(train, exact=exact, seed=42)).first()
+        assert 0.29 <= r["positives"] / r["n"] <= 0.31
+        folds = op.fold_assignment(train, 5, seed=42).groupBy("fold").count().collect()
+        assert all(abs(f["count"] - 7000) < 350 for f in folds)
+
+
+def test_exact_split_by_default_at_every_size(spark):
+    train, test = op.split_subjects(_ids(spark, 5003), 0.7, seed=1)
+    assert (train.count(), test.count()) == (3502, 1501)
+
+
 def test_split_hash_reproducible(spark):
     df = _ids(spark)
     tr, te = op.split_hash(df, 0.7, seed=1)

@@ -108,3 +108,59 @@ def test_raw_csv_export_and_load(spark, sf_dir):
     f1 = raw["flags"].select(F.col("pid").cast("bigint"), "flags")
     f2 = t.flags().select("pid", "flags")
     assert f1.exceptAll(f2).count() == 0
+
+
+def _awk_notes(text):
+    """The note filter, line by line."""
+    import re
+    out, buf = [], None
+    for line in text.split("\n")[:-1] if text.endswith("\n") else text.split("\n"):
+        line = line.replace('""', " ").replace("  ", " ")
+        if re.fullmatch(r"[ \t\x0b\f\r]*", line):
+            continue
+        odd = line.count('"') % 2
+        if buf is None and not odd:
+            out.append(line)
+        elif buf is not None and odd:
+            out.append(" ".join([*buf, line]))
+            buf = None
+        else:
+            buf = [*(buf or []), line[:-1] if line.endswith("\r") else line]
+    return [_awk_commas(x) for x in out]
+
+
+def _awk_commas(line):
+    return '"'.join(x.replace(",", ";") if i % 2 else x for i, x in enumerate(line.split('"')))
+
+
+def test_raw_notes_are_repaired_in_parallel(spark, tmp_path):
+    import random
+    from cohortlab.sources import repair
+    rnd = random.Random(5)
+    for n in range(2):
+        text = "".join(rnd.choice(['"', '""', ",", "a", "b c", "  ", "    ", "\n", "\n", "\r\n", "\t", "é"]) for _ in range(4000))
+        (tmp_path / f"f{n}.csv").write_bytes((text + "\n").encode())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert repair.read_lines(spark, str(tmp_path / "f0.csv")).rdd.getNumPartitions() > 8
+        rows = repair.repaired_notes(spark, str(tmp_path)).collect()
+        lab = repair.repaired_lab_lines(spark, str(tmp_path / "f0.csv")).orderBy("block", "at").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    for n in range(2):
+        text = (tmp_path / f"f{n}.csv").read_bytes().decode()
+        got = [r["value"] for r in sorted((r for r in rows if r["file"].endswith(f"f{n}.csv")), key=lambda r: r["record"])]
+        assert got == _awk_notes(text) and len(got) > 50
+    text = (tmp_path / "f0.csv").read_bytes().decode()
+    assert [r["value"] for r in lab] == [_awk_commas(x.replace('""', " ")) for x in text.split("\n")[:-1]]
+
+
+def test_doubled_quotes_of_a_raw_field(spark, tmp_path):
+    from cohortlab.sources import repair
+    (tmp_path / "n.csv").write_text('ID,TEXT,EMPTY\n1,"he said ""stop"" now, please\nnext",""\n2,plain,x\n3,"lost\n')
+    df = repair.read_repaired_notes(spark, str(tmp_path / "n.csv"))
+    assert sorted(map(tuple, df.collect())) == [("1", "he said stop now; please next", None), ("2", "plain", "x")]

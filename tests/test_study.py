@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 import __spark_entry__ as E
 from cohortlab.plans.study import hourly_auc
 
@@ -44,6 +46,84 @@ def test_hourly_auc_matches_brute_force(spark):
         assert (a is None and auc is None) or abs(a - auc) < 1e-12, h
 
 
+def _inputs(spark, sf_dir, **kw):
+    from cohortlab.plans.catalog import Tables
+    from cohortlab.plans.study import build_inputs
+    from cohortlab.sources import fixtures as fx
+    t = Tables(spark, sf_dir)
+    notes = fx.attach_text(spark, sf_dir, t.notes(with_text=False))
+    return build_inputs(spark, t.subjects(), t.episodes(), notes, t.scores(), t.flags(), seed=3, **kw)
+
+
+@pytest.fixture
+def fits(monkeypatch):
+    """Settings of every SVM and LDA fit; grid searches only note the grid."""
+    from cohortlab.plans import study
+    seen = {"svm": [], "lda": [], "grid": []}
+    real_svm, real_topics = study.fit_svm, study.topic_features
+
+    def svm(points, iterations, reg, intercept):
+        seen["svm"].append((iterations, reg, intercept))
+        return real_svm(points, 2, reg, intercept)
+
+    def topics(tok, k, iterations, **kw):
+        if kw.get("model") is None:
+            seen["lda"].append((k, iterations, kw["optimizer"]))
+        return real_topics(tok, 2, 2, **kw)
+
+    def grid(points, grid, folds, seed):
+        assert points.count() and "pid" in points.columns
+        seen["grid"].append((grid, folds))
+        return None, {"iterations": 7, "reg": 0.5, "intercept": False}
+
+    monkeypatch.setattr(study, "fit_svm", svm)
+    monkeypatch.setattr(study, "topic_features", topics)
+    monkeypatch.setattr(study, "cv_grid", grid)
+    return seen
+
+
+def test_build_inputs(spark, sf_dir):
+    sub, full = _inputs(spark, sf_dir)
+    subjects = {r["pid"] for r in full.cohort.collect()}
+    train, test = ({r["pid"] for r in x.collect()} for x in (full.train, full.test))
+    assert train | test == subjects and not train & test and len(train) == int(len(subjects) * 0.7)
+    labels = {r["pid"]: r["label"] for r in full.labels.collect()}
+    assert set(labels) == subjects == {r["pid"] for r in full.first.collect()}
+    balanced = {r["pid"] for r in sub.train.collect()}
+    pos = {p for p in train if labels[p]}
+    assert pos <= balanced <= train
+    if len(pos) / len(train) < 0.3:
+        assert len(balanced) == len(pos) + int(len(pos) / 0.3 * 0.7)
+    plan = full.tokens._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan          # read from the one written token table
+    hashed = _inputs(spark, sf_dir, exact=False, rebalance=False)
+    assert hashed[0] is hashed[1]
+
+
+def test_each_experiment_uses_its_settings(spark, sf_dir, fits):
+    from cohortlab.constants import BASELINE_GRID, DERIVED_GRID
+    from cohortlab.plans.study import StudyConfig, run_study, study_summary
+    cfg = StudyConfig(topic_hours=range(240, 481, 240), hours=range(0, 481, 240))
+    out = run_study(_inputs(spark, sf_dir), cfg)
+    assert fits["svm"] == [(300, 100.0, True), (300, 0.1, True), (300, 100.0, True), (300, 100.0, True), (300, 100.0, True)]
+    assert fits["lda"] == [(50, 50, "online")] * 3 and not fits["grid"]
+    rows = study_summary(out).collect()
+    assert {(r["experiment"], r["split"], r["hour"]) for r in rows} == {
+        ("baseline", "train", None), ("baseline", "test", 0), ("baseline", "test", 240), ("baseline", "test", 480),
+        ("retrospective_topics", "train", None), ("retrospective_topics", "test", None), ("derived", "train", None),
+        ("derived", "test", None), *(("hourly_topics", s, h) for s in ("train", "test") for h in (240, 480))}
+    fits["svm"].clear()
+    run_study(_inputs(spark, sf_dir), cfg, topic_sweep=False, baseline_grid=BASELINE_GRID, derived_grid=DERIVED_GRID)
+    assert fits["grid"] == [(BASELINE_GRID, 5), (DERIVED_GRID, 5)]
+    assert fits["svm"] == [(7, 0.5, False), (300, 0.1, True), (7, 0.5, False)]
+
+
+def test_default_hours():
+    from cohortlab.plans.study import StudyConfig
+    cfg = StudyConfig()
+    assert list(cfg.hours) == list(range(0, 241, 12)) and list(cfg.topic_hours) == list(range(12, 241, 12))
+
+
 def test_fitted_experiments_run(spark, sf_dir):
     q = E.queries()
     hourly = q["hourly_auc_fitted"](spark, sf_dir).collect()

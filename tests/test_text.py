@@ -85,3 +85,12 @@ def test_dense_index_across_many_partitions(spark):
             spark.conf.set(k, v)
     got = sorted((r["g"], r["k"], r["i"]) for r in out)
     assert [i for _, _, i in got] == list(range(5000))
+
+
+def test_stop_words_by_join_keep_rows_order_and_repeats(spark):
+    rows = [(1, "gamma beta gamma alpha"), (2, "alpha alpha"), (3, ""), (4, None), (1, "gamma beta gamma alpha")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    stop = spark.createDataFrame([("alpha",), ("alpha",), (None,), ("xx",)], "w string")
+    got = sorted((r["doc_id"], r["tokens"]) for r in op.tokenize(df, "text", stop).collect())
+    plain = sorted((r["doc_id"], r["tokens"] or []) for r in op.tokenize(df, "text", ["alpha", "xx"]).collect())
+    assert got == plain and got[0] == (1, ["gamma", "beta", "gamma"]) and len(got) == 5
