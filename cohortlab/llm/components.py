@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from .scratch import written
 
+#: Edges (two numbers each) that one task may unite.
+LOCAL_EDGES = 200_000
+
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning stars of the edges of one partition: at most one row per node."""
@@ -38,14 +41,19 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     """(node, root) for every node of an edge; ``root`` is the smallest node
     it can reach. Nodes are bigints; loops and repeated edges are allowed.
 
-    Each partition first reduces its edges to stars. Then the alternating
-    large-star and small-star steps run on Spark until the edges are stars of
-    their smallest node; every round is written to the shared checkpoint
-    folder. The driver sees a count and a checksum per round.
+    Each partition first reduces its edges to stars, which leaves at most one
+    edge per node and partition. If at most ``LOCAL_EDGES`` are left, one task
+    unites them. Otherwise the alternating large-star and small-star steps run
+    on Spark until the edges are stars of their smallest node; every round is
+    written to the shared checkpoint folder. Both ways give the same result;
+    the driver sees a count and a checksum per round.
     """
     star = edges.select(F.col(u).cast("bigint").alias("u"), F.col(v).cast("bigint").alias("v")).filter("u != v")
-    star = written(star.mapInArrow(_forest, "u bigint, v bigint").distinct(), "stars")
+    star = written(star.mapInArrow(_forest, "u bigint, v bigint"), "stars")
     before = None
+    if star.limit(LOCAL_EDGES + 1).count() <= LOCAL_EDGES:
+        star = written(star.repartition(1).mapInArrow(_forest, "u bigint, v bigint"), "stars")
+        return _with_roots(star)
     while True:
         # large star: every larger neighbour goes to the smallest neighbour
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -62,5 +70,10 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
         if now == before:
             break
         before = now
+    return _with_roots(star)
+
+
+def _with_roots(star: DataFrame) -> DataFrame:
+    """(node, root) of (node, smallest node) pairs, which leave out the roots."""
     roots = star.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return star.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

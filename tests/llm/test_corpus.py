@@ -261,6 +261,7 @@ def test_transcript_odd_rows(spark):
 
 
 def test_chat_query(spark, sf_dir):
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")  # 98 held-out turns instead of 10
     got = QUERIES["op5_chat_formatting"](spark, sf_dir).collect()
     assert len(got) == spark.read.parquet(f"{sf_dir}/conversations.parquet").count()
     held = [r for r in got if zlib.crc32(str(r.conv_id).encode()) % 5 == 0]

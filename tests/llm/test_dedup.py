@@ -83,7 +83,10 @@ def test_jaccard_query(spark, sf_dir):
     assert got == brute.jaccard(docs)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [10**6, 0])
+def test_components(spark, monkeypatch, local):
+    from cohortlab.llm import components
+    monkeypatch.setattr(components, "LOCAL_EDGES", local)
     rnd = random.Random(2)
     edges = [(rnd.randrange(300) - 50, rnd.randrange(300) - 50) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1200)] + \
             [(5000, x) for x in range(5001, 5300)]
