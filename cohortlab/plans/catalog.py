@@ -836,8 +836,9 @@ def _in_range(c: str, low: float = 0.0, high: float = 1.0):
 
 
 def _counts(metrics: DataFrame, *keys: str) -> DataFrame:
-    """Keys, total, positives and whether the AUC is one."""
-    return normalise(metrics.select(*keys, "total", "positives", _in_range("auc").alias("auc_ok")))
+    """Keys (-1 for no hour), total, positives and whether the AUC is one."""
+    cols = [F.coalesce(k, F.lit(-1)).alias(k) if k == "hour" else F.col(k) for k in keys]
+    return normalise(metrics.select(*cols, "total", "positives", _in_range("auc").alias("auc_ok")))
 
 
 # subjects of the note cohort with their label; its two splits
@@ -862,7 +863,7 @@ def _by_split(part: str, among: str | None = None) -> str:
 
 def _baseline_counts(part: str) -> str:
     present = "epoch_ms(c.{}) > epoch_ms(f.first_ts) + h.hour * 3600000"
-    return (f"SELECT 'train' AS split, CAST(NULL AS BIGINT) AS hour, {_N} FROM {part} "
+    return (f"SELECT 'train' AS split, CAST(-1 AS BIGINT) AS hour, {_N} FROM {part} "
             f"WHERE split = 'train' AND pid IN (SELECT pid FROM bl) UNION ALL "
             f"SELECT 'test', h.hour, {_N} FROM {part} p JOIN cohort c ON p.pid = c.pid JOIN first f ON p.pid = f.pid, "
             f"range({SWEEP[0]}, {SWEEP[1] + 1}, {SWEEP[2]}) h(hour) WHERE p.split = 'test' "
@@ -931,7 +932,7 @@ def q_cv_grid(spark, d):
     inp, _ = _study_inputs(spark, d)
     pts = op.labeled_points_dense(op.derived_features(inp.cohort, inp.scores, inp.flags), inp.labels)
     train = fit_ready(pts.join(inp.train, "pid", "left_semi"))
-    out, _ = cv_grid(train, CV_GRID, seed=SEED)
+    out, _ = cv_grid(train, CV_GRID, seed=SEED, parallelism=4)
     winners = out.filter("best").count()
     return normalise(out.select("grid_point", "intercept", "iterations", "reg", _in_range("mean_auc").alias("auc_ok"),
                                 F.lit(winners).cast("bigint").alias("winners")))
@@ -967,8 +968,8 @@ def q_derived_model(spark, d):
 
 @query("study_summary", O.sql(
     f"SELECT 'baseline' AS experiment, * FROM ({_baseline_counts('exact_balanced')}) UNION ALL "
-    f"SELECT 'retrospective_topics', split, NULL, total, positives, auc_ok FROM ({_by_split('exact_balanced')}) UNION ALL "
-    f"SELECT 'derived', split, NULL, total, positives, auc_ok FROM ({_by_split('exact_part', 'derived')}) UNION ALL "
+    f"SELECT 'retrospective_topics', split, -1, total, positives, auc_ok FROM ({_by_split('exact_balanced')}) UNION ALL "
+    f"SELECT 'derived', split, -1, total, positives, auc_ok FROM ({_by_split('exact_part', 'derived')}) UNION ALL "
     f"SELECT 'hourly_topics', * FROM ({_topic_counts('exact_part')})",
     "exact_balanced", "exact_part", "bl", "cohort", "first", "derived", "terms"))
 def q_study_summary(spark, d):

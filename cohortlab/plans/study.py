@@ -15,7 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +90,7 @@ class StudyConfig:
     threshold: float | None = 0.0
     lda_optimizer: str = "online"
     folds: int = N_FOLDS
+    parallelism: int = 4      # fits that run at once (EXP-2's hour marks, grid points)
 
 
 def _restrict(df: DataFrame, subjects: DataFrame, pid: str = "pid") -> DataFrame:
@@ -110,7 +114,7 @@ def _fit(train: DataFrame, iterations: int, reg: float, intercept: bool, cfg: St
     """SVM with the given settings, or with the best of ``grid`` by k-fold
     mean AUC on the training points."""
     if grid:
-        _, best = cv_grid(train, grid, cfg.folds, seed=cfg.seed)
+        _, best = cv_grid(train, grid, cfg.folds, seed=cfg.seed, parallelism=cfg.parallelism)
         iterations, reg, intercept = best["iterations"], best["reg"], best["intercept"]
     return fit_svm(train, iterations, reg, intercept)
 
@@ -171,16 +175,19 @@ def hourly_topic_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()) -> Da
     ``refit_test_topics``). One Spark ML fit per hour mark, one metrics pass
     over all marks."""
     tok_train, tok_test = _restrict(inp.tokens, inp.train), _restrict(inp.tokens, inp.test)
-    scored = None
-    for h in cfg.topic_hours:
+
+    def at(h: int) -> DataFrame:
         tr_h = op.events_within_hours(tok_train, inp.first, h)
         te_h = op.events_within_hours(tok_test, inp.first, h)
         tr_pts, topic_model = _topic_points(tr_h, inp.labels, cfg)
         te_pts, _ = _topic_points(te_h, inp.labels, cfg,
                                   model=None if cfg.refit_test_topics else topic_model)
         model = fit_svm(tr_pts, cfg.svm_iterations, cfg.hourly_topic_reg, cfg.intercept)
-        s = _scored(model, tr_pts, te_pts, h)
-        scored = s if scored is None else scored.unionByName(s)
+        return _scored(model, tr_pts, te_pts, h)
+
+    # a fit is a chain of small jobs: several marks at once keep the cluster busy
+    with ThreadPool(max(1, cfg.parallelism)) as pool:
+        scored = reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(at), list(cfg.topic_hours)))
     return _split_metrics(scored, cfg)
 
 

@@ -71,7 +71,7 @@ def fits(monkeypatch):
             seen["lda"].append((k, iterations, kw["optimizer"]))
         return real_topics(tok, 2, 2, **kw)
 
-    def grid(points, grid, folds, seed):
+    def grid(points, grid, folds, seed, parallelism):
         assert points.count() and "pid" in points.columns
         seen["grid"].append((grid, folds))
         return None, {"iterations": 7, "reg": 0.5, "intercept": False}
