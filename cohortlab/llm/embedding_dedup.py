@@ -276,7 +276,7 @@ def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
           .select("node", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                   F.coalesce("root", "node").alias("root"), "least"))
     names = at.groupBy("root").agg(F.min("least").alias("component"))
-    at = at.join(names, "root").select("node", "n_links", "component")
+    at = written(at.join(names, "root").select("node", "n_links", "component"), "node-links")
     out = rows.select("id", "node").join(at, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component"))
     return out.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),

@@ -359,7 +359,8 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     roots = written(_class_roots(sets, percent, group_size), "roots")
     rooted = (classes.join(small_side(roots), "cls", "left")
               .select("id", "tkey", "n", F.coalesce("root", "cls").alias("root")))
-    first = rooted.filter("n > 0").groupBy("root").agg(F.min("id").alias("first"))
+    # a table of its own, so that the join can split a large component
+    first = written(rooted.filter("n > 0").groupBy("root").agg(F.min("id").alias("first")), "first-ids")
     return (rooted.join(first, "root", "left")
             .select("id", "tkey", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("id")).alias("component_id")))

@@ -190,7 +190,7 @@ def fit_language_model(docs: DataFrame, training: Column, *, key: str = "doc_id"
     held = (sample.mapInArrow(count, "lang string, gram bigint, n bigint")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     totals = held.groupBy("lang").agg(F.sum("n").alias("total"))
-    shares = held.join(F.broadcast(totals), "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
+    shares = held.join(totals, "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
     # the best share of each n-gram, next to the language's own
     members = (shares.groupBy("gram").agg(F.collect_list(F.struct("lang", "share")).alias("all"),
                                           F.max("share").alias("best"))

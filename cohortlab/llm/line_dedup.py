@@ -212,6 +212,7 @@ def dropped_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     near_plain = F.struct("near.last", "near.id", "near.line")
     best = (first.join(near, "lh", "left").filter("n > 1 OR near IS NOT NULL")
             .select("lh", F.when(F.col("near").isNull() | (plain < near_plain), plain).otherwise(near_plain).alias("best")))
+    best = written(best, "best")  # a table of its own, so that the join can split a frequent line
     return (lines.drop("halves").join(best, "lh").filter(_order() > F.col("best"))
             .groupBy("id", "tkey").agg(F.sort_array(F.collect_set("line")).alias("dropped")))
 
