@@ -9,8 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import SQL as DECONTAMINATE_SQL
 from .decontaminate import decontaminate
 from .embedding_dedup import embedding_dedup
+from .jaccard_join import SQL as JACCARD_SQL
 from .jaccard_join import jaccard_report
 from .language_id import language_id
 from .line_dedup import SQL as LINE_DEDUP_SQL
@@ -93,4 +95,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP_SQL,
+    "op6_decontaminate": DECONTAMINATE_SQL,
+    "op10_ngram_jaccard_join": JACCARD_SQL,
 }

@@ -224,3 +224,27 @@ def covered(spans: list[int]) -> int:
         total += max(0, b - max(a, reach))
         reach = max(reach, b)
     return total
+
+
+_SQL_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+              r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+#: DuckDB SQL for ``decontaminate`` over ``documents`` and ``benchmark``.
+SQL = f"""
+WITH doc AS MATERIALIZED (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_SQL_WORDS} AS w FROM benchmark),
+win AS MATERIALIZED (
+  SELECT DISTINCT item, n, array_to_string(w[p:p + n - 1], ' ') AS s
+  FROM (SELECT item, w, least({WINDOW}, len(w)) AS n, unnest(range(1, len(w) - least({WINDOW}, len(w)) + 2)) AS p
+        FROM item WHERE len(w) > 0)),
+held AS (
+  SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS MATERIALIZED (SELECT h.doc_id, h.p, h.n, w.item FROM held h JOIN win w ON h.n = w.n AND h.s = w.s),
+words AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS i FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {MIN_SHARE_INVERSE} * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM doc d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -371,3 +371,23 @@ def jaccard_report(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     """key, n_shingles, component_id."""
     return (jaccard_components(docs, key=key, text=text, shingle=shingle, percent=percent)
             .select(F.col("id").alias(key), "n_shingles", "component_id"))
+
+
+#: DuckDB SQL for ``jaccard_report`` over ``documents``.
+SQL = rf"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + {SHINGLE} - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE} + 1, 1) + 1)) AS p FROM word WHERE len(w) > 0)),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id
+                    GROUP BY x.doc_id, y.doc_id) p
+  JOIN size m ON m.doc_id = a JOIN size n ON n.doc_id = b WHERE 100 * c >= {PERCENT} * (m.n + n.n - c)),
+reach(id, r) AS (SELECT a, b FROM link UNION SELECT reach.id, link.b FROM reach JOIN link ON reach.r = link.a)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, least(d.doc_id, coalesce(g.r, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN size z ON d.doc_id = z.doc_id
+LEFT JOIN (SELECT id, min(r) AS r FROM reach GROUP BY id) g ON d.doc_id = g.id
+"""
