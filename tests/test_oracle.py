@@ -17,10 +17,20 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
+_FRAMES: dict = {}
+
+
+def frame(spark, sf_dir, name):
+    """Each query's DataFrame, built once: building one can run model fits."""
+    if name not in _FRAMES:
+        _FRAMES[name] = E.queries()[name](spark, sf_dir)
+    return _FRAMES[name]
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, sf_dir, name):
     from compare import compare
-    r = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], sf_dir)
+    r = compare(spark, con, name, lambda s, d: frame(s, d, name), E.oracle_sql()[name], sf_dir)
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["cols"], r
     assert r["rounded"], r
@@ -40,7 +50,7 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "stri
 @pytest.mark.parametrize("name", NAMES)
 def test_query_types_match_oracle(spark, con, sf_dir, name):
     spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
-                   for f in E.queries()[name](spark, sf_dir).schema.fields}
+                   for f in frame(spark, sf_dir, name).schema.fields}
     duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
     assert spark_types == duck_types
 
