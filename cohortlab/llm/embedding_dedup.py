@@ -239,7 +239,7 @@ def embedding_graphs(nodes: DataFrame, threshold: float, shard_rows: int) -> Dat
              .select("label", "dim", F.pmod(F.xxhash64("node", F.lit(1)), F.col("shards")).alias("shard"), "node",
                      F.xxhash64("node", F.lit(2)).alias("turn"), "v"))
     return dealt.groupBy("label", "dim", "shard").applyInPandas(
-        _build_shard(threshold), "label bigint, dim int, shard bigint, nodes binary, vecs binary, sizes array<int>, "
+        _build_shard(threshold), "label string, dim int, shard bigint, nodes binary, vecs binary, sizes array<int>, "
                                  "tables binary, beam int, recall double")
 
 
@@ -247,7 +247,7 @@ def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
                     threshold: float = THRESHOLD, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """key, n_links, component_id, kept: one row per row of ``vectors``."""
     v = F.col("v")
-    rows = vectors.select(F.col(key).alias("id"), F.col(label).cast("bigint").alias("label"),
+    rows = vectors.select(F.col(key).alias("id"), F.col(label).cast("string").alias("label"),
                           F.col(vector).cast("array<double>").alias("v"))
     norm = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
     fine = (F.col("label").isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull()) & (norm > 0)
