@@ -30,18 +30,19 @@ from cohortlab.llm.scratch import written
 MIN_LANGUAGE_SCORE = 0.25
 
 
-def _columns(docs: DataFrame) -> list[str]:
-    return [c for c in docs.columns if c != "text"]
+def _whole(docs: DataFrame) -> DataFrame:
+    """The rows as one struct next to the texts that a stage reads, so that
+    what it adds can have any name."""
+    return docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("__row"), F.col("text").alias("__t"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that have a language (learned on the rows that the
     operator's contract allows)."""
     model = fit_language_model(docs, F.coalesce(remainder("doc_id") != 0, F.lit(False)))
-    tagged = docs.select(*(F.col(c) for c in _columns(docs)), "text", F.col("text").alias("__text"))
-    found = identify_language(tagged, model, keep=[*_columns(docs), "text"], text="__text")
+    found = identify_language(_whole(docs), model, keep=["__row"], text="__t")
     kept = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return kept.select(*docs.columns)
+    return kept.select("__row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +66,8 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops contaminated documents."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    flagged = decontaminate(docs.withColumn("__t", F.col("text")), items, keep=docs.columns, text="__t")
-    return flagged.filter(~F.col("contaminated")).select(*docs.columns)
+    flagged = decontaminate(_whole(docs), items, keep=["__row"], text="__t")
+    return flagged.filter(~F.col("contaminated")).select("__row.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
