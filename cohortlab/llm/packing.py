@@ -7,7 +7,7 @@ a bin is cut: its full pieces are bins of their own, the rest is packed.
 Items are dealt by a hash into shards of about ``shard_rows`` items (a copy
 number is part of the hash, so that equal rows spread); the number of shards
 follows the number of items and each shard is packed on its own. Within one,
-items come in descending size (ties by key, then piece and copy). Open bins
+items come in descending size (ties by key as text, then piece and copy). Open bins
 are kept in order of what is left in them, each with a bitmap of its sources
 and one of its clusters. The search starts at the smallest residual that can
 hold the item and goes on to the next larger one until a bin without a
@@ -27,13 +27,11 @@ from bisect import bisect_left, insort
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .scratch import written
 
 CAPACITY = 8192
 SHARD_ROWS = 4096
-SIZE_CAP = 1 << 62
 
 
 class Bins:
@@ -123,9 +121,7 @@ def best_fit_pack(docs: DataFrame, *, size: Column, source: Column, cluster: Col
     full = items.filter(F.col("n") == capacity)
     rest = items.filter(F.col("n") < capacity)
     shards = max(1, math.ceil(rest.count() / shard_rows))
-    kind = T.StructType([T.StructField("id", items.schema["id"].dataType), T.StructField("piece", T.LongType()),
-                         T.StructField("bin_id", T.StringType()), T.StructField("start", T.LongType()),
-                         T.StructField("n", T.LongType())])
+    kind = "id string, piece bigint, bin_id string, start bigint, n bigint"
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n", "id", "piece", "copy"], ascending=[False, True, True, True], na_position="last")
@@ -137,9 +133,10 @@ def best_fit_pack(docs: DataFrame, *, size: Column, source: Column, cluster: Col
                              "start": [s for _, s in got], "n": pdf["n"]})
 
     shard = F.pmod(F.xxhash64("id", "piece", "copy", "n"), F.lit(shards))
-    # hashes do not fit a double: nulls travel as strings
-    packed = (rest.select("id", "piece", "copy", "n", F.col("source").cast("string"), F.col("cluster").cast("string"),
-                          shard.alias("shard")).groupBy("shard").applyInPandas(pack, kind))
+    # pandas would make doubles of numbers with nulls: these columns travel as text
+    packed = (rest.select(F.col("id").cast("string"), "piece", "copy", "n", F.col("source").cast("string"),
+                          F.col("cluster").cast("string"), shard.alias("shard"))
+              .groupBy("shard").applyInPandas(pack, kind).withColumn("id", F.col("id").cast(items.schema["id"].dataType)))
     own = full.select("id", "piece", F.concat_ws("-", F.lit("full"), F.coalesce(F.col("id").cast("string"), F.lit("null")),
                                                  F.col("copy").cast("string"), F.col("piece").cast("string"),
                                                  F.hex(F.xxhash64("source", "cluster"))).alias("bin_id"),

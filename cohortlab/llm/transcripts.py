@@ -247,15 +247,17 @@ def decode_transcripts(blocks: DataFrame, model: RoleModel) -> DataFrame:
         return pd.DataFrame({"conv": pdf["conv"], "seq": pdf["seq"], "text": texts, "role": pdf["role"], "role_pred": pred,
                              "rendered": [render(t, r) for t, r in zip(texts, pred, strict=True)]})
 
-    kind = blocks.schema["seq"].dataType.simpleString()
-    out = f"conv string, seq {kind}, text string, role string, role_pred string, rendered string"
+    out = "conv string, seq string, text string, role string, role_pred string, rendered string"
     if not model.roles:
         none = F.lit(None).cast("string")
         shown = F.concat(F.lit("<|unknown|>\n"), F.trim(F.coalesce("text", F.lit(""))), F.lit("\n<|end|>\n"))
         return blocks.select("conv", "seq", "text", "role", none.alias("role_pred"), shown.alias("rendered"))
     parts = blocks.groupBy("block").applyInPandas(transfers, "conv string, block int, v array<double>, t array<double>")
     borders = parts.groupBy("conv").applyInPandas(join, "conv string, block int, before int, end int")
-    return blocks.groupBy("block").cogroup(borders.groupBy("block")).applyInPandas(decode, out)
+    # pandas would make doubles of numbers with nulls: seq travels as text
+    units = blocks.withColumn("seq", F.col("seq").cast("string"))
+    done = units.groupBy("block").cogroup(borders.groupBy("block")).applyInPandas(decode, out)
+    return done.withColumn("seq", F.col("seq").cast(blocks.schema["seq"].dataType))
 
 
 def format_conversations(units: DataFrame, *, conv: str = "conv_id", seq: str = "turn", text: str = "text",

@@ -102,7 +102,7 @@ def test_packing(make_docs):
 
 
 def test_packing_odd_rows(make_docs):
-    docs = [(1, None), (2, ""), (3, "a" * 100), (4, "b" * 250), (5, "c" * 99), (5, "c" * 99), (None, "d" * 30), (6, "e" * 50_000)]
+    docs = [(2**62 + 1, None), (2, ""), (3, "a" * 100), (4, "b" * 250), (5, "c" * 99), (5, "c" * 99), (None, "d" * 30), (6, "e" * 50_000)]
     df = make_docs(docs).withColumn("source", F.lit(None).cast("string")).withColumn("n", F.lit("x")).withColumn("shard", F.lit(0))
     rows = pack(df, capacity=100).collect()
     bins = check_bins(rows, docs, 100)
@@ -250,11 +250,12 @@ def test_blocks_give_the_path_of_the_whole_conversation(spark):
 
 
 def test_transcript_odd_rows(spark):
-    rows = [(1, 0, "user", "hello?"), (1, 0, "user", "hello?"), (1, 1, None, None), (None, 0, "user", "a"), (None, None, "assistant", ""),
+    big = 2**62 + 1
+    rows = [(1, 0, "user", "hello?"), (1, 0, "user", "hello?"), (1, big, None, None), (None, 0, "user", "a"), (None, None, "assistant", ""),
             (2, None, None, "y " * 100_000), (3, 5, "system", "b"), (3, 5, "user", "b")]
     df = chat_frame(spark, rows).withColumn("block", F.lit(1)).withColumn("pos", F.lit("x"))
     got = T.format_conversations(df).collect()
-    assert len(got) == 7 and all(r.role_pred for r in got)
+    assert len(got) == 7 and all(r.role_pred for r in got) and big in {r.turn for r in got}
     assert T.format_conversations(df.limit(0)).count() == 0
     none = T.format_conversations(df.withColumn("role", F.lit(None).cast("string"))).collect()
     assert {r.role_pred for r in none} == {None} and all(r.rendered.startswith("<|unknown|>") for r in none)
