@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import SQL as DECONTAMINATE_SQL
 from .decontaminate import decontaminate
+from .embedding_dedup import SQL as EMBEDDING_SQL
 from .embedding_dedup import embedding_dedup
 from .jaccard_join import SQL as JACCARD_SQL
 from .jaccard_join import jaccard_report
@@ -96,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op6_decontaminate": DECONTAMINATE_SQL,
+    "op8_embedding_near_dedup": EMBEDDING_SQL,
     "op10_ngram_jaccard_join": JACCARD_SQL,
 }

@@ -281,3 +281,21 @@ def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component"))
     return out.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
                       component.cast("bigint").alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+
+
+#: DuckDB SQL for ``embedding_dedup`` over ``embeddings`` (all links; the
+#: graphs' recall is measured in the tests).
+SQL = f"""
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= {THRESHOLD}),
+reach(id, r) AS (SELECT a, b FROM link UNION SELECT reach.id, link.b FROM reach JOIN link ON reach.r = link.a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(g.r, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(g.r, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) n ON e.vec_id = n.a
+LEFT JOIN (SELECT id, min(r) AS r FROM reach GROUP BY id) g ON e.vec_id = g.id
+"""
