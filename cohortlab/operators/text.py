@@ -149,9 +149,11 @@ def note_cohort(cohort: DataFrame, notes: DataFrame | None = None,
     if inep is None and notes is not None:
         inep = notes_in_episode(cohort, notes, ts=ts, carry=COHORT)
     tok = tokens if tokens is not None else tokenize(inep, text, stopwords)
-    agg = (tok.groupBy(pid).agg(F.sum(F.size("tokens")).cast("bigint").alias("n_words"),
-                                F.min(ts).alias("first_ts"), F.count(F.lit(1)).alias("n_notes"),
-                                F.first(COHORT).alias(COHORT))
+    # the cohort row is the same for all notes of a subject: as a grouping key
+    # it needs no aggregate of its own (one over structs would sort the tokens)
+    agg = (tok.select(pid, COHORT, ts, F.size("tokens").alias("_n")).groupBy(pid, COHORT)
+           .agg(F.sum("_n").cast("bigint").alias("n_words"), F.min(ts).alias("first_ts"),
+                F.count(F.lit(1)).alias("n_notes"))
            .filter(F.col("n_words") >= min_words))
     wide = agg.select(f"{COHORT}.*", "first_ts", "n_words", "n_notes")
     kept = (tok if inep is None else inep).join(agg.select(pid), pid, "left_semi").drop(COHORT)
