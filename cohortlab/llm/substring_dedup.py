@@ -15,8 +15,9 @@ is a passage if it follows the chunks of one other document for ``min_words``
 words. The common text can go on into the next chunk on either side (and a few
 words on, where cuts depend on what stands outside it); any other run that
 could reach ``min_words`` that way is verified: one whole window of that many
-words must also stand in an earlier document (around a first occurrence that
-the run follows, or in such a run of its own). Other runs (a licence line, a common sentence) are left alone.
+words must also stand in an earlier document. All documents are asked that
+hold enough neighbouring chunks of such runs, whether these are first
+occurrences, proven or not. Other runs (a licence line, a common sentence) are left alone.
 
 Shuffles hold digests and positions, never texts. Digests are counted once per
 map slice before they are shuffled, so that a frequent passage costs one row
@@ -134,51 +135,50 @@ def _chunk_rows(src: DataFrame) -> DataFrame:
                                "before int, after int")
 
 
+def stretches(chunks: list[dict], min_words: int) -> Iterator[tuple[list[dict], int]]:
+    """The stretches of neighbouring ones among a document's chunks that can
+    hold ``min_words`` words with what the common text may have on either
+    side, each with its own words."""
+    ordered = sorted({c["chunk"]: c for c in chunks}.values(), key=lambda c: c["chunk"])
+    cuts = [k for k in range(1, len(ordered)) if ordered[k]["chunk"] != ordered[k - 1]["chunk"] + 1]
+    for a, b in zip([0, *cuts], [*cuts, len(ordered)], strict=True):
+        run = ordered[a:b]
+        n = sum(c["n"] for c in run)
+        if run and n + run[0]["before"] + run[-1]["after"] >= min_words:
+            yield run, n
+
+
 def passages_of(own: tuple, chunks: list[dict], min_words: int) -> list[dict]:
     """The runs of one document's duplicate chunks that can hold
     ``min_words`` words: bytes, words, how many more words the common text may
-    have on either side, and the places of first occurrences that the run
-    follows, each with the words the run has before and from there. A run is
-    proven if it follows one other document for ``min_words`` words."""
-    out, run = [], []
-
-    def close() -> None:
-        if run:
-            n, before, after = sum(c["n"] for c in run), run[0]["before"], run[-1]["after"]
-            if n + before + after >= min_words:
-                partners, done, was, stretch, longest = [], 0, None, 0, 0
-                for c in run:
-                    f = c["f"]
-                    if was is None or (f["id"], f["tkey"], f["chunk"]) != (was["id"], was["tkey"], was["chunk"] + 1):
-                        partners.append({"id": f["id"], "tkey": f["tkey"], "chunk": f["chunk"], "back": before + done,
-                                         "ahead": n - done + after})
-                        stretch = 0
-                    done, was, stretch = done + c["n"], f, stretch + c["n"]
-                    if (f["id"], f["tkey"]) != own:
-                        longest = max(longest, stretch)
-                out.append({"start": run[0]["start"], "end": run[-1]["end"], "n": n, "before": before, "after": after,
-                            "proven": longest >= min_words, "partners": partners})
-
-    for c in sorted({c["chunk"]: c for c in chunks}.values(), key=lambda c: c["chunk"]):
-        if run and c["chunk"] != run[-1]["chunk"] + 1:
-            close()
-            run = []
-        run.append(c)
-    close()
+    have on either side, the document of the first chunk's first occurrence,
+    and the digests of a run that is not proven. A run is proven if it follows
+    one other document for ``min_words`` words."""
+    out = []
+    for run, n in stretches(chunks, min_words):
+        was, stretch, longest = None, 0, 0
+        for c in run:
+            f = c["f"]
+            if was is None or (f["id"], f["tkey"], f["chunk"]) != (was["id"], was["tkey"], was["chunk"] + 1):
+                stretch = 0
+            was, stretch = f, stretch + c["n"]
+            if (f["id"], f["tkey"]) != own:
+                longest = max(longest, stretch)
+        proven = longest >= min_words
+        out.append({"start": run[0]["start"], "end": run[-1]["end"], "n": n, "before": run[0]["before"],
+                    "after": run[-1]["after"], "proven": proven, "first_id": run[0]["f"]["id"],
+                    "digests": [] if proven else sorted({c["digest"] for c in run})})
     return out
 
 
 def _runs(again: DataFrame, min_words: int) -> DataFrame:
-    """(id, tkey, start, end, n, before, after, proven, partners)."""
+    """(id, tkey, start, end, n, before, after, proven, first_id, digests)."""
     kind = again.schema["id"].dataType.simpleString()
-    rows = again.select("id", "tkey", F.struct("chunk", "start", "end", "n", "before", "after", "f").alias("c"))
+    rows = again.select("id", "tkey", F.struct("digest", "chunk", "start", "end", "n", "before", "after", "f").alias("c"))
     docs = rows.groupBy("id", "tkey").agg(F.collect_list("c").alias("chunks"))
-    at = f"array<struct<id:{kind},tkey:bigint,chunk:int,back:bigint,ahead:bigint>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            place = pa.list_(pa.struct([("id", b.schema.field(0).type), ("tkey", pa.int64()), ("chunk", pa.int32()),
-                                        ("back", pa.int64()), ("ahead", pa.int64())]))
             for lo in range(0, b.num_rows, 256):
                 p = b.slice(lo, 256)
                 found = [passages_of((i, t), c, min_words) for i, t, c in zip(*(x.to_pylist() for x in p.columns), strict=True)]
@@ -187,18 +187,42 @@ def _runs(again: DataFrame, min_words: int) -> DataFrame:
                 ints = ("start", "end", "n", "before", "after")
                 yield pa.RecordBatch.from_arrays(
                     [p.column(0).take(rows), p.column(1).take(rows), *(pa.array([x[k] for x in flat], pa.int64()) for k in ints),
-                     pa.array([x["proven"] for x in flat], pa.bool_()), pa.array([x["partners"] for x in flat], place)],
-                    names=["id", "tkey", *ints, "proven", "partners"])
+                     pa.array([x["proven"] for x in flat], pa.bool_()), pa.array([x["first_id"] for x in flat], p.schema.field(0).type),
+                     pa.array([x["digests"] for x in flat], pa.list_(pa.int64()))],
+                    names=["id", "tkey", *ints, "proven", "first_id", "digests"])
 
     return docs.mapInArrow(run, f"id {kind}, tkey bigint, start bigint, end bigint, n bigint, before bigint, after bigint, "
-                                f"proven boolean, partners {at}")
+                                f"proven boolean, first_id {kind}, digests array<bigint>")
+
+
+def _holders(chunks: DataFrame, min_words: int) -> DataFrame:
+    """(id, tkey, place, back, ahead): where documents hold neighbouring ones
+    of ``chunks`` that can hold ``min_words`` words."""
+    kind = chunks.schema["id"].dataType.simpleString()
+    rows = chunks.select("id", "tkey", F.struct("chunk", "n", "before", "after").alias("c"))
+    docs = rows.groupBy("id", "tkey").agg(F.collect_list("c").alias("chunks"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                p = b.slice(lo, 256)
+                found = [[(run[0]["chunk"], run[0]["before"], n + run[-1]["after"]) for run, n in stretches(c, min_words)]
+                         for c in p.column(2).to_pylist()]
+                rows = pa.array(np.repeat(np.arange(p.num_rows), [len(f) for f in found]))
+                flat = [x for f in found for x in f]
+                yield pa.RecordBatch.from_arrays(
+                    [p.column(0).take(rows), p.column(1).take(rows), *(pa.array([x[k] for x in flat], pa.int64()) for k in range(3))],
+                    names=["id", "tkey", "place", "back", "ahead"])
+
+    return docs.mapInArrow(run, f"id {kind}, tkey bigint, place bigint, back bigint, ahead bigint")
 
 
 def _window_rows(texts: DataFrame, min_words: int) -> DataFrame:
     """(id, tkey, run, window) of (id, tkey, text, asks): the hashes of all
     windows of ``min_words`` words in each asked range. An ask gives a run of
     the text (or null), a byte or a chunk where the range has its place, and
-    how many words the range has before and from there."""
+    how many words the range has before and from there. What a run of the text
+    gives is not given again without a run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw, off = K.utf8_buffers(b.column(2))
@@ -206,9 +230,12 @@ def _window_rows(texts: DataFrame, min_words: int) -> DataFrame:
                 w = K.Words(raw, off[r: r + 2], _TABLE)
                 c, h = Chunks(w), K.windows(w.hash, min_words)
                 runs, win = [], [np.zeros(0, dtype=np.uint64)]
-                for a in b.column(3)[r].as_py():
+                given = np.zeros(len(h), dtype=bool)
+                for a in sorted(b.column(3)[r].as_py(), key=lambda a: a["run"] is None):
                     at = int(np.searchsorted(w.start, a["place"])) if a["run"] is not None else int(c.start[a["place"]])
-                    got = h[max(0, at - a["back"]): max(0, at + a["ahead"] - min_words + 1)]
+                    part = slice(max(0, at - a["back"]), max(0, at + a["ahead"] - min_words + 1))
+                    got = h[part] if a["run"] is not None else h[part][~given[part]]
+                    given[part] = True
                     runs += [a["run"]] * len(got)
                     win.append(got)
                 rows = pa.array(np.full(len(runs), r))
@@ -236,12 +263,13 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
         "run", F.xxhash64("id", F.col("id").isNull(), "tkey", "start")), "runs")
 
     # runs that are not proven: is a whole window of them, with what stands beside them, in an earlier document?
+    # A document with such a window holds all whole chunks in it, as its first or not, in a run that is proven or not.
     open_ = runs.filter("NOT proven")
+    sought = small_side(written(open_.select(F.explode("digests").alias("digest")).distinct(), "sought-digests"))
     own = open_.select("id", "tkey", F.struct("run", F.col("start").alias("place"), F.col("before").alias("back"),
                                               (F.col("n") + F.col("after")).alias("ahead")).alias("ask"))
-    other = (open_.select(F.explode("partners").alias("p"))
-             .select("p.id", "p.tkey", F.struct(F.lit(None).cast("bigint").alias("run"), F.col("p.chunk").cast("bigint").alias("place"),
-                                                "p.back", "p.ahead").alias("ask")))
+    other = (_holders(shared.join(sought, "digest", "left_semi"), min_words)
+             .select("id", "tkey", F.struct(F.lit(None).cast("bigint").alias("run"), "place", "back", "ahead").alias("ask")))
     asks = written(own.unionByName(other).groupBy("id", "tkey").agg(F.collect_set("ask").alias("asks")), "asks")
     a = small_side(asks).select(F.col("id").alias("aid"), F.col("tkey").alias("akey"), "asks")
     texts = src.join(a, src.id.eqNullSafe(F.col("aid")) & (src.tkey == F.col("akey"))).select("id", "tkey", "text", "asks")
@@ -251,8 +279,7 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     whole = (windows.filter("run IS NOT NULL").join(earliest, "window").filter(document > F.col("e"))
              .select("run").distinct())
     kept = runs.filter("proven").unionByName(open_.join(whole, "run", "left_semi").select(*runs.columns))
-    return kept.select("id", "tkey", "start", "end", F.col("n").alias("n_words"),
-                       F.col("partners")[0]["id"].alias("first_id"))
+    return kept.select("id", "tkey", "start", "end", F.col("n").alias("n_words"), "first_id")
 
 
 def passage_report(docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

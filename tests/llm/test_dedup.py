@@ -170,6 +170,27 @@ def test_repeated_passages_are_found(make_docs, words, size):
     assert all(r.first_doc_id < r.doc_id for r in got)
 
 
+def test_passages_between_near_copies(make_docs, words):
+    """The only earlier holder of the passage is inside a run that another
+    stretch proves, and is the first of none of its chunks."""
+    rnd, docs = random.Random(3), []
+    for g in range(6):
+        base = words(200, 10**9)
+        edited = [[*base[:30], f"e{g}", *base[31:]], [*base[:50], f"f{g}", *base[51:80]], base, [*words(9, 10**9), *base[9:72], *words(9, 10**9)]]
+        docs += [(10 * g + k, " ".join(w)) for k, w in enumerate(edited, 1)]
+    for g in range(8):
+        base = words(160, 10**9)
+        for k in range(30):
+            a = rnd.randrange(100)
+            w = base[a: a + rnd.randrange(52, 160)]
+            for _ in range(rnd.randrange(5)):
+                w[rnd.randrange(len(w))] = f"x{g}_{rnd.randrange(10**6)}"
+            docs.append((1000 + 100 * g + k, " ".join([*words(rnd.randrange(9), 10**9), *w, *words(rnd.randrange(9), 10**9)])))
+    got = passage_report(make_docs(docs)).collect()
+    assert {10 * g + 4 for g in range(6)} <= brute.passages(docs)
+    assert {r.doc_id for r in got} == brute.passages(docs)
+
+
 def test_shorter_repeats_are_left_alone(make_docs, words):
     docs = passage_docs(words, random.Random(9), 60, 50)
     assert not brute.passages(docs)
