@@ -7,10 +7,12 @@ more characters), ``hex`` (24 or more lower-case hex digits).
 The method adds the kind ``token``: every maximal run of 16 or more
 characters of A-Za-z0-9+/_.- is a candidate. Known shapes are excluded: hex
 strings as long as a digest (32, 40, 56, 64, 96 or 128), UUIDs, numbers, and
-identifiers (letters only, or parts joined by / _ . - + that are each a word
-in one case style or a number). Of the rest, a run with few characters per
-token under a byte-level BPE vocabulary is a random string: words that a
-vocabulary knows take few tokens, random characters take many.
+identifiers (parts joined by / _ . - + that are each a number or a word in one
+case style; a word of 16 or more letters must take few tokens, too). Of the
+rest, a run with few characters per token under a byte-level BPE vocabulary is
+a random string: words that a vocabulary knows take few tokens, random
+characters take many. In a run that is not, the same is asked of each part of
+16 or more characters, so that a path does not hide a key in it.
 
 Defined results: a null text is scanned as the empty text; positions are code
 points with an exclusive end; spans are joined as kind:start:end by start,
@@ -64,13 +66,32 @@ def encoding(ranks: bytes):
     return _ENCODINGS[key]
 
 
-def known_shape(s: str) -> bool:
+def few_tokens(s: str, enc, ratio: float) -> bool:
+    return len(s) >= ratio * len(enc.encode_ordinary(s))
+
+
+def known_shape(s: str, enc, min_run: int, ratio: float) -> bool:
     """Digests, UUIDs, numbers and identifiers: not random strings."""
     if len(s) in DIGEST_LENGTHS and _ANY_HEX.fullmatch(s):
         return True
-    if s.isalpha() or s.isdigit() or _UUID.fullmatch(s):
+    if s.isdigit() or _UUID.fullmatch(s):
         return True
-    return all(_PART.fullmatch(p) for p in _JOIN.split(s))
+    return all(_PART.fullmatch(p) and (len(p) < min_run or p.isdigit() or few_tokens(p, enc, ratio)) for p in _JOIN.split(s))
+
+
+def random_strings(s: str, enc, min_run: int, ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of the random strings in a run: the whole, or its parts."""
+    def is_random(x: str) -> bool:
+        return len(x) >= min_run and not known_shape(x, enc, min_run, ratio) and not few_tokens(x, enc, ratio)
+
+    if is_random(s):
+        return [(0, len(s))]
+    out, at = [], 0
+    for p in _JOIN.split(s) if len(s) > min_run else ():
+        if is_random(p):
+            out.append((at, at + len(p)))
+        at += len(p) + 1
+    return out
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -121,11 +142,9 @@ def scan(col, enc, min_run: int = MIN_RUN, ratio: float = MAX_CHARS_PER_TOKEN) -
                 own = raw[offsets[r]: offsets[r + 1]]
                 chars = None if t.isascii() else K.char_positions(own)
                 for s, e in cand:
-                    piece = own[s:e].tobytes().decode("ascii")
-                    if len(piece) < min_run or known_shape(piece) or len(piece) >= ratio * len(enc.encode_ordinary(piece)):
-                        continue
                     a = s if chars is None else int(chars[s])
-                    spans.append((a, a + len(piece), "token"))
+                    found = random_strings(own[s:e].tobytes().decode("ascii"), enc, min_run, ratio)
+                    spans += [(a + x, a + y, "token") for x, y in found]
             spans.sort(key=lambda x: (x[0], order[x[2]]))
             out.append(spans)
     return out

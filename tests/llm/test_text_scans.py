@@ -93,6 +93,24 @@ def test_token_efficiency_finds_random_strings_only():
     assert not [f for f in S.scan(pa.array(clean), enc) for s in f if s[2] == "token"]
 
 
+def test_keys_inside_paths_and_of_letters_are_found():
+    import string
+
+    import pyarrow as pa
+    enc = S.encoding(TC.read_bytes(RANKS))
+    rnd = random.Random(6)
+    path = "https/www.example.com/some/long/path/to/the/download/page/of/documents/"
+    for alphabet, size in ((string.ascii_letters + string.digits, 20), (string.ascii_letters + string.digits, 32),
+                           (string.ascii_letters, 24)):
+        keys = ["".join(rnd.choice(alphabet) for _ in range(size)) for _ in range(50)]
+        for before, after in ((path, ""), (path, "/index.html"), ("", "")):
+            found = S.scan(pa.array([f"é {before}{k}{after} end" for k in keys]), enc)
+            assert sum(any(a <= 2 + len(before) and 2 + len(before) + size <= b for a, b, kind in f if kind == "token") for f in found) >= 48
+    clean = [path + x for x in ("d41d8cd98f00b204e9800998ecf8427e", "123e4567-e89b-12d3-a456-426614174000", "internationalization",
+                                "12345678901234567890", "HelloWorldOfManyWords")]
+    assert not [f for f in S.scan(pa.array(clean), enc) for s in f if s[2] == "token"]
+
+
 def test_secret_scan_query(spark, sf_dir):
     got = {r.doc_id: r for r in QUERIES["op9_secret_scan"](spark, sf_dir).collect()}
     for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
