@@ -29,6 +29,12 @@ percent * |A | B|. The result is exact: components of all links.
 No step forms all pairs of a bucket, and no size is capped: hot shingles only
 count, hot buckets are stars, hot groups are salted.
 
+Components need no more links than those that connect them. ``jaccard_links``
+and ``jaccard_link_counts`` give all links: there a class also queries the
+groups of its own component, and an opened group returns every member that
+links. Links between classes grow with the square of a group of different
+texts; copies are one class and only weigh the counts.
+
 Defined results: null and empty texts have no shingles, link with nothing and
 are their own component; a text with fewer than ``shingle`` words is one
 shingle, the whole; repeated rows are one class; a null id never names a
@@ -38,6 +44,7 @@ component unless all its ids are null; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -286,28 +293,29 @@ def _leader_links(ranked: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return _linked_pairs(both.distinct().join(a, "u").join(b, "v"), percent)
 
 
-def _opened(percent: int):
-    """Cogroup of one group's members and its queries: first link of each
-    query with the group, if the bound lets it be opened."""
+def _opened(percent: int, every: bool):
+    """Cogroup of one group's members and its queries: the first link of each
+    query with the group, or every one, if the bound lets it be opened. In a
+    group of its own component a query returns the members after itself."""
     def run(members: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int]] = []
         if len(members) and len(queries):
             inside = list(zip(members["cls"].tolist(), members["toks"].tolist(), strict=True))
             union = np.unique(np.concatenate([t for _, t in inside]))
-            for q, toks in zip(queries["q"].tolist(), queries["qtoks"].tolist(), strict=True):
+            for q, toks, own in zip(queries["q"].tolist(), queries["qtoks"].tolist(), queries["own"].tolist(), strict=True):
                 if 100 * int((union[np.minimum(np.searchsorted(union, toks), len(union) - 1)] == toks).sum()) \
                         < percent * len(toks):
                     continue
-                hit = next((c for c, t in inside if linked(toks, t, percent)), None)
-                if hit is not None:
-                    found.append((q, hit))
+                hits = ((q, c) for c, t in inside if (c > q or not own) and linked(toks, t, percent))
+                found += hits if every else islice(hits, 1)
         return pd.DataFrame({"u": pd.Series([f[0] for f in found], dtype="int64"),
                              "v": pd.Series([f[1] for f in found], dtype="int64")})
     return run
 
 
-def _class_roots(sets: DataFrame, percent: int, group_size: int) -> DataFrame:
-    """(cls, root) for the classes that link with another one."""
+def _class_links(sets: DataFrame, percent: int, group_size: int, every: bool) -> DataFrame:
+    """Links (u, v) of classes, each once: all of them if ``every``, or
+    otherwise enough to connect the components."""
     ranked = written(_ranked(sets, percent), "ranked")
     near = written(_leader_links(ranked, sets, percent), "leader-links")
     comp = connected_components(near)
@@ -325,9 +333,9 @@ def _class_roots(sets: DataFrame, percent: int, group_size: int) -> DataFrame:
     # if this is the rarest shingle that the two share, they share ``both`` at most and unite ``union`` at least
     both = F.least("rest", "reach")
     union = F.col("n") + F.greatest(F.col("least"), both) - both
-    asked = (query.join(matrix, "tok").filter("comp < gcomp").filter(both * 100 >= union * percent)
+    asked = (query.join(matrix, "tok").filter("comp <= gcomp" if every else "comp < gcomp").filter(both * 100 >= union * percent)
              .filter((F.col("most") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("least") * percent))
-             .select(F.col("cls").alias("q"), "gcomp", "gblock").distinct())
+             .select(F.col("cls").alias("q"), (F.col("comp") == F.col("gcomp")).alias("own"), "gcomp", "gblock").distinct())
     asked = written(asked, "asked")
     salts = asked.groupBy("gcomp", "gblock").agg(F.ceil(F.count("*") / F.lit(QUERIES_PER_TASK)).alias("salts"))
     members = (placed.select("cls", F.col("comp").alias("gcomp"), F.col("block").alias("gblock"))
@@ -335,16 +343,15 @@ def _class_roots(sets: DataFrame, percent: int, group_size: int) -> DataFrame:
                .select("gcomp", "gblock", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "cls", "toks"))
     queries = (asked.join(salts, ["gcomp", "gblock"])
                .join(sets.select(F.col("cls").alias("q"), F.col("toks").alias("qtoks")), "q")
-               .select("gcomp", "gblock", F.pmod(F.xxhash64("q"), F.col("salts")).alias("salt"), "q", "qtoks"))
+               .select("gcomp", "gblock", F.pmod(F.xxhash64("q"), F.col("salts")).alias("salt"), "q", "own", "qtoks"))
     group = ["gcomp", "gblock", "salt"]
-    more = members.groupBy(*group).cogroup(queries.groupBy(*group)).applyInPandas(_opened(percent), "u bigint, v bigint")
-    return connected_components(near.unionByName(more)).withColumnRenamed("node", "cls")
+    more = members.groupBy(*group).cogroup(queries.groupBy(*group)).applyInPandas(_opened(percent, every), "u bigint, v bigint")
+    # the links with leaders are among all links
+    return more.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")) if every else near.unionByName(more)
 
 
-def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                       percent: int = PERCENT, group_size: int = GROUP_SIZE) -> DataFrame:
-    """(id, tkey, n_shingles, component_id): one row per row of ``docs``;
-    ``component_id`` is the smallest key reachable by links."""
+def _classes_and_sets(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The class of each row, and the sets of the classes that can link."""
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = docs.select(F.col(key).alias("id"), text_key(text).alias("tkey"), F.col(text).alias("text"))
@@ -355,17 +362,53 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
                    .select("cls", F.col("one.tkey").alias("ltkey"), F.col("one.id").alias("lid")), "live")
     side = small_side(live)
     texts = src.join(side, src.id.eqNullSafe(F.col("lid")) & (src.tkey == F.col("ltkey"))).select("text")
-    sets = written(_sets(texts, shingle).dropDuplicates(["cls"]), "sets")
-    roots = written(_class_roots(sets, percent, group_size), "roots")
+    return classes, written(_sets(texts, shingle).dropDuplicates(["cls"]), "sets")
+
+
+def _component_rows(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, tkey, cls, n_shingles, component_id) of each row."""
+    roots = written(connected_components(links).withColumnRenamed("node", "cls"), "roots")
     rooted = (classes.join(small_side(roots), "cls", "left")
-              .select("id", "tkey", "n", F.coalesce("root", "cls").alias("root")))
+              .select("id", "tkey", "cls", "n", F.coalesce("root", "cls").alias("root")))
     # a table of its own, so that the join can split a large component
     first = written(rooted.filter("n > 0").groupBy("root").agg(F.min("id").alias("first")), "first-ids")
     return (rooted.join(first, "root", "left")
-            .select("id", "tkey", F.col("n").alias("n_shingles"),
+            .select("id", "tkey", "cls", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("id")).alias("component_id")))
 
 
+def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                       percent: int = PERCENT, group_size: int = GROUP_SIZE) -> DataFrame:
+    """(id, tkey, n_shingles, component_id): one row per row of ``docs``;
+    ``component_id`` is the smallest key reachable by links."""
+    classes, sets = _classes_and_sets(docs, key, text, shingle, percent)
+    return _component_rows(classes, _class_links(sets, percent, group_size, every=False)).drop("cls")
+
+
+def jaccard_links(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                  percent: int = PERCENT, group_size: int = GROUP_SIZE) -> tuple[DataFrame, DataFrame]:
+    """The join itself: (id, tkey, cls, n) with the class of each row (0 for a
+    text without words), and every link (u, v) of two classes, u < v, once.
+    Rows of one class link with each other, too."""
+    classes, sets = _classes_and_sets(docs, key, text, shingle, percent)
+    return classes, written(_class_links(sets, percent, group_size, every=True), "links")
+
+
+def jaccard_link_counts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                        percent: int = PERCENT, group_size: int = GROUP_SIZE) -> DataFrame:
+    """key, n_shingles, component_id, n_links: one row per row of ``docs``;
+    ``n_links`` is the number of other rows that it links with."""
+    classes, links = jaccard_links(docs, key=key, text=text, shingle=shingle, percent=percent, group_size=group_size)
+    copies = written(classes.filter("n > 0").groupBy("cls").agg(F.count("*").alias("copies")), "copies")
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    others = both.join(copies.withColumnRenamed("cls", "v"), "v").groupBy(F.col("u").alias("cls")).agg(F.sum("copies").alias("others"))
+    counts = written(copies.join(others, "cls", "left")
+                     .select("cls", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+                     .filter("n_links > 0"), "link-counts")
+    return (_component_rows(classes, links).join(small_side(counts), "cls", "left")
+            .select(F.col("id").alias(key), "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
+
+
 def jaccard_report(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                    percent: int = PERCENT) -> DataFrame:
     """key, n_shingles, component_id."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.llm.catalog import QUERIES
 from cohortlab.llm.components import connected_components
-from cohortlab.llm.jaccard_join import jaccard_components, jaccard_report
+from cohortlab.llm.jaccard_join import jaccard_components, jaccard_link_counts, jaccard_links, jaccard_report
 from cohortlab.llm.line_dedup import dropped_lines, line_dedup, line_dedup_report, within_one_edit
 from cohortlab.llm.substring_dedup import passage_report, without_passages
 
@@ -64,6 +64,31 @@ def test_jaccard_hot_groups(make_docs, spark):
     assert got == brute.jaccard(docs)
 
 
+def test_jaccard_links_are_all_found(make_docs):
+    """Every pair inside groups of near copies, with copies and empty texts."""
+    rnd = random.Random(5)
+    docs = near_docs(rnd, 120, 60, 0.1)
+    base = [f"b{i}" for i in range(120)]
+    for i in range(200, 260):
+        w = list(base)
+        for k in rnd.sample(range(0, 115, 6), rnd.randrange(1, 3)):
+            w[k] = f"x{i}_{k}"
+        docs.append((i, " ".join(w)))
+    docs += [(300, None), (301, ""), (302, docs[0][1]), (302, docs[0][1])]
+    sets = [brute.shingles(t) for _, t in docs]
+    linked = [[100 * len(a & b) >= 80 * len(a | b) and bool(a) and m != n for n, b in enumerate(sets)] for m, a in enumerate(sets)]
+    got = jaccard_link_counts(make_docs(docs), group_size=4).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.n_links) for r in got) == \
+        sorted((i, len(s), sum(x)) for (i, _), s, x in zip(docs, sets, linked))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard(docs)
+    classes, links = jaccard_links(make_docs(docs), group_size=4)
+    of = {r.id: r.cls for r in classes.collect()}
+    want = {(min(of[i], of[j]), max(of[i], of[j])) for (i, _), x in zip(docs, linked) for (j, _), y in zip(docs, x) if y and of[i] != of[j]}
+    pairs = [(r.u, r.v) for r in links.collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want and len(want) > 250
+    assert jaccard_link_counts(make_docs(docs).limit(0)).count() == 0
+
+
 def test_jaccard_odd_rows(make_docs, spark):
     long = " ".join(f"t{i}" for i in range(60_000))
     docs = [(7, None), (8, ""), (9, " \n "), (4, "One two"), (3, "one TWO"), (5, "one two three"), (12, long), (11, long + " end"),
