@@ -18,7 +18,7 @@ from .jaccard_join import jaccard_report
 from .language_id import language_id
 from .line_dedup import SQL as LINE_DEDUP_SQL
 from .line_dedup import line_dedup_report
-from .packing import best_fit_pack
+from .packing import best_fit_pack, text_cluster
 from .secrets import secret_scan
 from .substring_dedup import passage_report
 from .token_counts import token_counts
@@ -60,7 +60,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes in UTF-8 bytes; copies of one text are a duplicate cluster."""
     return best_fit_pack(table(spark, sf_dir, "documents"), size=F.octet_length("text"), source=F.col("source"),
-                         cluster=F.xxhash64("text"))
+                         cluster=text_cluster())
 
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,11 @@ def packing_items(docs: DataFrame, key: str, size: Column, source: Column, clust
                     F.least(F.col("size") - F.col("piece") * capacity, F.lit(capacity)).alias("n")))
 
 
+def text_cluster(text: str = "text") -> Column:
+    """The cluster of exact copies; a null text has none."""
+    return F.when(F.col(text).isNotNull(), F.xxhash64(text))
+
+
 def best_fit_pack(docs: DataFrame, *, size: Column, source: Column, cluster: Column, key: str = "doc_id",
                   capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per piece: key, piece, bin_id, start, n. Runs one job that

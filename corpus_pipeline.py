@@ -22,7 +22,7 @@ from cohortlab.llm.decontaminate import decontaminate
 from cohortlab.llm.jaccard_join import jaccard_components
 from cohortlab.llm.language_id import UNDETERMINED, fit_language_model, identify_language, remainder
 from cohortlab.llm.line_dedup import line_dedup, text_key
-from cohortlab.llm.packing import best_fit_pack
+from cohortlab.llm.packing import best_fit_pack, text_cluster
 from cohortlab.llm.scratch import written
 
 #: Share of a document's n-grams that must be of its language. A clean
@@ -72,7 +72,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece: doc_id, piece, bin_id, start, n (bytes)."""
-    return best_fit_pack(docs, size=F.octet_length("text"), source=F.col("source"), cluster=F.xxhash64("text"))
+    return best_fit_pack(docs, size=F.octet_length("text"), source=F.col("source"), cluster=text_cluster())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

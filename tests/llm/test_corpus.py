@@ -111,6 +111,15 @@ def test_packing_odd_rows(make_docs):
     assert pack(df.limit(0)).count() == 0
 
 
+def test_null_texts_share_a_bin(make_docs, spark, tmp_path):
+    import corpus_pipeline as P
+    docs = make_docs([(i, None, "en", f"s{i}") for i in range(40)] + [(100 + i, "same", "en", f"t{i}") for i in range(3)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for rows in (QUERIES["op7_best_fit_packing"](spark, str(tmp_path)).collect(), P.packing_stage(spark, docs, str(tmp_path)).collect()):
+        assert len(rows) == 43 and len({r.bin_id for r in rows}) == 3
+        assert len({r.bin_id for r in rows if r.doc_id < 100}) == 1
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
 
