@@ -19,6 +19,8 @@ from .language_id import language_id
 from .line_dedup import SQL as LINE_DEDUP_SQL
 from .line_dedup import line_dedup_report
 from .packing import best_fit_pack, text_cluster
+from .resampling import SQL as RESAMPLING_SQL
+from .resampling import importance_resample
 from .secrets import secret_scan
 from .substring_dedup import passage_report
 from .token_counts import token_counts
@@ -75,6 +77,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_report(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_importance_resampling": op11_importance_resampling,
     "pipeline": pipeline,
 }
 
@@ -99,4 +106,5 @@ ORACLE: dict[str, str] = {
     "op6_decontaminate": DECONTAMINATE_SQL,
     "op8_embedding_near_dedup": EMBEDDING_SQL,
     "op10_ngram_jaccard_join": JACCARD_SQL,
+    "op11_importance_resampling": RESAMPLING_SQL,
 }
