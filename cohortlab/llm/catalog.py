@@ -22,6 +22,8 @@ from .packing import best_fit_pack, text_cluster
 from .resampling import SQL as RESAMPLING_SQL
 from .resampling import importance_resample
 from .secrets import secret_scan
+from .structure_repair import SQL as STRUCTURE_SQL
+from .structure_repair import structure_report
 from .substring_dedup import passage_report
 from .token_counts import token_counts
 from .transcripts import format_conversations
@@ -81,6 +83,11 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repair of the damaged conversations."""
+    return structure_report(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -98,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_importance_resampling": op11_importance_resampling,
+    "op13_structure_repair": op13_structure_repair,
     "pipeline": pipeline,
 }
 
@@ -107,4 +115,5 @@ ORACLE: dict[str, str] = {
     "op8_embedding_near_dedup": EMBEDDING_SQL,
     "op10_ngram_jaccard_join": JACCARD_SQL,
     "op11_importance_resampling": RESAMPLING_SQL,
+    "op13_structure_repair": STRUCTURE_SQL,
 }
