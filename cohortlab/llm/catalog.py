@@ -25,6 +25,8 @@ from .secrets import secret_scan
 from .structure_repair import SQL as STRUCTURE_SQL
 from .structure_repair import structure_report
 from .substring_dedup import passage_report
+from .suffix_dedup import SQL as SUFFIX_SQL
+from .suffix_dedup import removed_report
 from .token_counts import token_counts
 from .transcripts import format_conversations
 
@@ -83,6 +85,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed_report(table(spark, sf_dir, "documents"))
+
+
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The repair of the damaged conversations."""
     return structure_report(table(spark, sf_dir, "conversations"))
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_structure_repair": op13_structure_repair,
     "pipeline": pipeline,
 }
@@ -115,5 +122,6 @@ ORACLE: dict[str, str] = {
     "op8_embedding_near_dedup": EMBEDDING_SQL,
     "op10_ngram_jaccard_join": JACCARD_SQL,
     "op11_importance_resampling": RESAMPLING_SQL,
+    "op12_suffix_dedup": SUFFIX_SQL,
     "op13_structure_repair": STRUCTURE_SQL,
 }
