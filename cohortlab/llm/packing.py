@@ -98,7 +98,7 @@ def pack_shard(items: list[tuple], capacity: int) -> list[tuple[int, int]]:
 
 def packing_items(docs: DataFrame, key: str, size: Column, source: Column, cluster: Column,
                   capacity: int) -> DataFrame:
-    """(id, source, cluster, copy, piece, n): one row per piece."""
+    """(id, size, source, cluster, copy, piece, n): one row per piece."""
     n = F.greatest(F.coalesce(size.cast("bigint"), F.lit(0)), F.lit(0))
     rows = docs.select(F.col(key).alias("id"), n.alias("size"), F.xxhash64(source.cast("string")).alias("s"),
                        source.isNull().alias("no_s"), F.xxhash64(cluster).alias("c"), cluster.isNull().alias("no_c"))
@@ -109,7 +109,7 @@ def packing_items(docs: DataFrame, key: str, size: Column, source: Column, clust
             .select("id", "size", "source", "cluster", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")))
     full = F.floor(F.when(F.col("size") > 0, F.col("size") - 1).otherwise(F.lit(0)) / capacity)
     return (rows.select("*", F.explode(F.sequence(F.lit(0), full)).alias("piece"))
-            .select("id", "source", "cluster", "copy", "piece",
+            .select("id", "size", "source", "cluster", "copy", "piece",
                     F.least(F.col("size") - F.col("piece") * capacity, F.lit(capacity)).alias("n")))
 
 
@@ -144,6 +144,6 @@ def best_fit_pack(docs: DataFrame, *, size: Column, source: Column, cluster: Col
               .groupBy("shard").applyInPandas(pack, kind).withColumn("id", F.col("id").cast(items.schema["id"].dataType)))
     own = full.select("id", "piece", F.concat_ws("-", F.lit("full"), F.coalesce(F.col("id").cast("string"), F.lit("null")),
                                                  F.col("copy").cast("string"), F.col("piece").cast("string"),
-                                                 F.hex(F.xxhash64("source", "cluster"))).alias("bin_id"),
+                                                 F.col("size").cast("string"), F.hex(F.xxhash64("source", "cluster"))).alias("bin_id"),
                       F.lit(0).cast("bigint").alias("start"), F.col("n"))
     return packed.unionByName(own).withColumnRenamed("id", key)
