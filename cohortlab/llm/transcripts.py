@@ -16,8 +16,9 @@ few matrices are combined per conversation (one small row per block), which
 fixes the roles at the block's borders; then every block decodes on its own.
 The result is the path of the undivided conversation.
 
-Defined results: units order by (sequence, text, label), nulls last; equal
-units (all columns equal) are one unit; a null text is an empty one; a null
+Defined results: units order by (sequence, text, label), nulls last; units
+that are equal in conversation, sequence, text and label are one unit for the
+model and come out as often as they came in; a null text is an empty one; a null
 conversation is a conversation of its own; ties go to the role that sorts
 first; without labelled units every role is null; an empty table gives an
 empty result.
@@ -145,10 +146,11 @@ def _runs(conv: pd.Series) -> list[tuple[int, int]]:
 
 
 def transcript_blocks(units: DataFrame, conv: str, seq: str, text: str, role: Column | None) -> DataFrame:
-    """(conv, seq, text, role, block, pos): the distinct units, range-partitioned
-    and sorted; a block is one partition."""
+    """(conv, seq, text, role, copies, block, pos): the different units and how
+    often each is given, range-partitioned and sorted; a block is one partition."""
     rows = units.select(F.col(conv).cast("string").alias("conv"), F.col(seq).alias("seq"), F.col(text).alias("text"),
-                        (F.lit(None).cast("string") if role is None else role).alias("role")).distinct()
+                        (F.lit(None).cast("string") if role is None else role).alias("role"))
+    rows = rows.groupBy("conv", "seq", "text", "role").agg(F.count("*").alias("copies"))
     order = [F.col("conv").asc_nulls_last(), F.col("seq").asc_nulls_last(), F.col("text").asc_nulls_last(),
              F.col("role").asc_nulls_last()]
     return written(rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -203,7 +205,7 @@ def role_counts(blocks: DataFrame) -> DataFrame:
 
 
 def decode_transcripts(blocks: DataFrame, model: RoleModel) -> DataFrame:
-    """(conv, seq, text, role, role_pred, rendered) for every unit."""
+    """(conv, seq, text, role, copies, role_pred, rendered) for every different unit."""
     held = blocks.sparkSession.sparkContext.broadcast(model)
 
     def transfers(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -244,14 +246,14 @@ def decode_transcripts(blocks: DataFrame, model: RoleModel) -> DataFrame:
             before, end = fixed[None if pd.isna(c) else c] if j in (0, len(runs) - 1) else (-1, None)
             pred += [m.roles[s] for s in m.decode(e, None if before < 0 else before, end)]
         texts = [t if isinstance(t, str) else None for t in pdf["text"]]
-        return pd.DataFrame({"conv": pdf["conv"], "seq": pdf["seq"], "text": texts, "role": pdf["role"], "role_pred": pred,
+        return pd.DataFrame({"conv": pdf["conv"], "seq": pdf["seq"], "text": texts, "role": pdf["role"], "copies": pdf["copies"], "role_pred": pred,
                              "rendered": [render(t, r) for t, r in zip(texts, pred, strict=True)]})
 
-    out = "conv string, seq string, text string, role string, role_pred string, rendered string"
+    out = "conv string, seq string, text string, role string, copies bigint, role_pred string, rendered string"
     if not model.roles:
         none = F.lit(None).cast("string")
         shown = F.concat(F.lit("<|unknown|>\n"), F.trim(F.coalesce("text", F.lit(""))), F.lit("\n<|end|>\n"))
-        return blocks.select("conv", "seq", "text", "role", none.alias("role_pred"), shown.alias("rendered"))
+        return blocks.select("conv", "seq", "text", "role", "copies", none.alias("role_pred"), shown.alias("rendered"))
     parts = blocks.groupBy("block").applyInPandas(transfers, "conv string, block int, v array<double>, t array<double>")
     borders = parts.groupBy("conv").applyInPandas(join, "conv string, block int, before int, end int")
     # pandas would make doubles of numbers with nulls: seq travels as text
@@ -269,6 +271,6 @@ def format_conversations(units: DataFrame, *, conv: str = "conv_id", seq: str =
     blocks = transcript_blocks(units, conv, seq, text, F.col(role))
     seen = blocks.withColumn("role", F.when(learn, F.col("role")))
     model = RoleModel.from_counts([tuple(r) for r in role_counts(seen).collect()])
-    return (decode_transcripts(blocks, model)
+    return (decode_transcripts(blocks, model).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
             .select(F.col("conv").cast(kind).alias(conv), F.col("seq").alias(seq), F.col("role").alias(role),
                     "role_pred", "rendered"))
