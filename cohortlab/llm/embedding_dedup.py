@@ -249,10 +249,14 @@ def embedding_dedup(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
     v = F.col("v")
     rows = vectors.select(F.col(key).alias("id"), F.col(label).cast("string").alias("label"),
                           F.col(vector).cast("array<double>").alias("v"))
+    most = F.array_max(F.transform(v, F.abs))
     norm = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
-    fine = (F.col("label").isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull()) & (norm > 0)
-            & (norm < float("inf")) & ~F.isnan(norm))
+    fine = (F.col("label").isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull()) & (most > 0)
+            & (most < float("inf")) & ~F.isnan(most))
     rows = rows.withColumn("node", F.when(F.coalesce(fine, F.lit(False)), F.xxhash64("label", "v")))
+    # squares of very large or small numbers leave the range of doubles: the cosine is that of the scaled vector
+    scaled = F.transform(v, lambda x: x / most)
+    rows = rows.withColumn("v", F.when(F.col("node").isNotNull() & ~norm.between(1e-280, 1e280), scaled).otherwise(v))
     found = rows.filter("node IS NOT NULL")
     nodes = written(found.groupBy("node").agg(F.first("label").alias("label"), F.first("v").alias("v"),
                                               F.count("*").alias("copies"), F.min("id").alias("least"))
