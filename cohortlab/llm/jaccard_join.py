@@ -366,14 +366,14 @@ def _classes_and_sets(docs: DataFrame, key: str, text: str, shingle: int, percen
 
 
 def _component_rows(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, tkey, cls, n_shingles, component_id) of each row."""
+    """(id, tkey, cls, root, n_shingles, component_id) of each row."""
     roots = written(connected_components(links).withColumnRenamed("node", "cls"), "roots")
     rooted = (classes.join(small_side(roots), "cls", "left")
               .select("id", "tkey", "cls", "n", F.coalesce("root", "cls").alias("root")))
     # a table of its own, so that the join can split a large component
     first = written(rooted.filter("n > 0").groupBy("root").agg(F.min("id").alias("first")), "first-ids")
     return (rooted.join(first, "root", "left")
-            .select("id", "tkey", "cls", F.col("n").alias("n_shingles"),
+            .select("id", "tkey", "cls", "root", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("id")).alias("component_id")))
 
 
@@ -382,7 +382,38 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     """(id, tkey, n_shingles, component_id): one row per row of ``docs``;
     ``component_id`` is the smallest key reachable by links."""
     classes, sets = _classes_and_sets(docs, key, text, shingle, percent)
-    return _component_rows(classes, _class_links(sets, percent, group_size, every=False)).drop("cls")
+    return _component_rows(classes, _class_links(sets, percent, group_size, every=False)).drop("cls", "root")
+
+
+def without_near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                        percent: int = PERCENT, group_size: int = GROUP_SIZE) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest
+    key (nulls last), of several texts under that key the one with the smallest text
+    key, of equal ones any one. Texts without words are all kept; all columns
+    pass through."""
+    classes, sets = _classes_and_sets(docs, key, text, shingle, percent)
+    rows = _component_rows(classes, _class_links(sets, percent, group_size, every=False)).filter("n_shingles > 0")
+    each = written(rows.groupBy("root", "id", "tkey").agg(F.count("*").alias("copies")), "group-members")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "tkey")
+    best = written(each.groupBy("root").agg(F.min(order).alias("best"), F.sum("copies").alias("size")).filter("size > 1"), "group-heads")
+    stays = (F.col("last") == F.col("best.last")) & F.col("id").eqNullSafe(F.col("best.id")) & (F.col("tkey") == F.col("best.tkey"))
+    marked = written(each.withColumn("last", F.col("id").isNull()).join(best, "root")
+                     .select(F.col("id").alias("__nc_id"), F.col("tkey").alias("__nc_key"), stays.alias("__nc_stays"), "copies")
+                     .filter("NOT __nc_stays OR copies > 1").drop("copies"), "near-copies")
+
+    def same(side: DataFrame):
+        return docs[key].eqNullSafe(side["__nc_id"]) & (text_key(docs[text]) == side["__nc_key"])
+
+    side = small_side(marked)
+    kept = docs.join(side, same(side), "left_anti")
+    repeated = marked.filter("__nc_stays")
+    if repeated.limit(1).count() == 0:
+        return kept
+    # rows that share key and text: one of them
+    side = small_side(repeated)
+    one = (docs.join(side, same(side)).select("__nc_id", "__nc_key", F.struct(*(docs[c] for c in docs.columns)).alias("__nc_row"))
+           .groupBy("__nc_id", "__nc_key").agg(F.first("__nc_row").alias("__nc_row")).select("__nc_row.*"))
+    return kept.unionByName(one)
 
 
 def jaccard_links(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,

@@ -111,6 +111,13 @@ def test_packing_odd_rows(make_docs):
     assert pack(df.limit(0)).count() == 0
 
 
+def test_packing_sizes_of_one_id(make_docs):
+    docs = [(7, "x" * 250), (7, "y" * 350), (8, "z" * 100)]
+    rows = best_fit_pack(make_docs(docs), size=F.octet_length("text"), source=F.col("source"), cluster=F.lit(None).cast("bigint"),
+                         capacity=100).collect()
+    check_bins(rows, docs, 100)
+
+
 def test_null_texts_share_a_bin(make_docs, spark, tmp_path):
     import corpus_pipeline as P
     docs = make_docs([(i, None, "en", f"s{i}") for i in range(40)] + [(100 + i, "same", "en", f"t{i}") for i in range(3)])
@@ -175,6 +182,14 @@ def test_embedding_odd_rows(spark):
     assert E.embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_embedding_components_of_any_size(spark):
+    rows = [(1, [1.0, 1.0], 0), (2, [1e200, 1e200], 0), (3, [1e-200, 1e-200], 0), (4, [1e308, 0.0], 0), (5, [5e-324, 0.0], 0),
+            (6, [0.0, -0.0], 0), (7, [1e200, float("inf")], 0), (8, [1e200, 1.1e200], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.embedding_dedup(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 8: (3, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6), 7: (0, 7)}
+
+
 def test_graph_recall_and_large_clusters():
     rnd = np.random.default_rng(5)
     base = rnd.normal(size=(3, 32))
@@ -264,12 +279,20 @@ def test_transcript_odd_rows(spark):
             (2, None, None, "y " * 100_000), (3, 5, "system", "b"), (3, 5, "user", "b")]
     df = chat_frame(spark, rows).withColumn("block", F.lit(1)).withColumn("pos", F.lit("x"))
     got = T.format_conversations(df).collect()
-    assert len(got) == 7 and all(r.role_pred for r in got) and big in {r.turn for r in got}
+    assert len(got) == len(rows) and all(r.role_pred for r in got) and big in {r.turn for r in got}
     assert T.format_conversations(df.limit(0)).count() == 0
     none = T.format_conversations(df.withColumn("role", F.lit(None).cast("string"))).collect()
     assert {r.role_pred for r in none} == {None} and all(r.rendered.startswith("<|unknown|>") for r in none)
 
 
+def test_transcript_returns_every_row(spark):
+    rows = [(1, 0, "user", "hello?"), (1, 0, "user", "hello?"), (None, None, "user", "thanks"), (None, None, "user", "thanks"),
+            (2, 3, "assistant", "Hi.")]
+    df = chat_frame(spark, rows).withColumn("copies", F.monotonically_increasing_id())
+    got = T.format_conversations(df).collect()
+    assert sorted((str(r.conv_id), str(r.turn), r.role) for r in got) == sorted((str(c), str(t), r) for c, t, r, _ in rows)
+
+
 def test_chat_query(spark, sf_dir):
     sf_dir = sf_dir.replace("sf0.001", "sf0.01")  # 98 held-out turns instead of 10
     got = QUERIES["op5_chat_formatting"](spark, sf_dir).collect()
@@ -280,7 +303,7 @@ def test_chat_query(spark, sf_dir):
 
 def test_queries_and_oracle_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES and set(ORACLE) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES and set(ORACLE) <= set(QUERIES)
 
 
 def stage_rows(spark, sf_dir):
@@ -342,6 +365,26 @@ def test_pipeline_stages_on_odd_rows(make_docs, spark, tmp_path, sf_dir):
     assert set(left) == {1, 6, 7, None} and left[6] == " ".join(w[20:24]) + "\n"
 
 
+def test_near_copy_stage_keeps_one_of_each_group(make_docs, spark, sf_dir):
+    import corpus_pipeline as P
+    rnd = random.Random(2)
+    w = [f"w{rnd.randrange(900)}" for _ in range(60)]
+
+    def near(k):
+        return " ".join([*w[:k], f"x{k}", *w[k + 1:]])
+    groups = [[(1, near(50)), (1, near(51)), (5, near(52)), (None, near(53)), (None, near(54))],
+              [(None, "a b c d e f"), (None, "a b c d e f")],
+              [(9, " ".join(w[::-1])), (9, " ".join(w[::-1])), (9, " ".join(w[::-1])), (8, " ".join([*w[::-1], "y"]))],
+              [(20, "alone in its group with some words")]]
+    rows = [r for g in groups for r in g] + [(30, None), (30, None), (31, "")]
+    docs = make_docs(rows).withColumn("id", F.lit("x")).withColumn("tkey", F.lit(1)).withColumn("copies", F.lit(None).cast("int"))
+    out = P.near_copy_stage(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in out.collect()]
+    assert len([x for x in left if x[0] == 1]) == 1 and sorted(str(i) for i, _ in left) == sorted(["1", "None", "8", "20", "30", "30", "31"])
+    assert (None, "a b c d e f") in left
+
+
 def test_pipeline_run(spark, sf_dir):
     import corpus_pipeline as P
     rows = P.run(spark, sf_dir).collect()
