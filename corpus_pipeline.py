@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlab.llm.decontaminate import decontaminate
-from cohortlab.llm.jaccard_join import jaccard_components
+from cohortlab.llm.jaccard_join import without_near_copies
 from cohortlab.llm.language_id import UNDETERMINED, fit_language_model, identify_language, remainder
-from cohortlab.llm.line_dedup import line_dedup, text_key
+from cohortlab.llm.line_dedup import line_dedup
 from cohortlab.llm.packing import best_fit_pack, text_cluster
 from cohortlab.llm.scratch import written
 
@@ -55,12 +55,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group."""
-    groups = jaccard_components(docs).select(F.col("id").alias("__id"), F.col("tkey").alias("__key"),
-                                             F.col("component_id").alias("__first"))
-    gone = written(groups.filter("__id != __first").select("__id", "__key").distinct(), "near-copies")
-    return docs.join(gone, (docs.doc_id == F.col("__id")) & (text_key(docs.text) == F.col("__key")), "left_anti") \
-        .select(*docs.columns)
+    """Keeps one document of each group: the one of the smallest id (null
+    last), also where several rows have that id or no row has one."""
+    return without_near_copies(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
