@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import operators as op
-from ..constants import BASELINE_GRID, MIN_WORDS
+from ..constants import BASELINE_GRID, DERIVED_GRID, MIN_WORDS, SVM_ITERATIONS
 from ..functions.hashing import hash_threshold
 from ..functions.timecols import ts_text
 from ..sources import fixtures as fx
@@ -938,6 +938,132 @@ def q_cv_grid(spark, d):
                                 F.lit(winners).cast("bigint").alias("winners")))
 
 
+# ------------------------------------------------- the study's solver, compared number by number
+# At reg 100 its weights grow by up to 100 an iteration; these queries use 0.1, the grids all of the study's values.
+FIXED_REG = 0.1
+# labelled points with a constant last feature
+_POINTS = ("SELECT x.pid, list(x.value ORDER BY x.idx) || [1.0::DOUBLE] AS x, CASE WHEN any_value(k.label) > 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END "
+           "AS y, any_value(k.label) AS label, any_value(k.split) AS split, {fold} AS fold FROM {features} x JOIN hash_part k ON x.pid = k.pid "
+           "GROUP BY x.pid")
+_FOLD_SQL = f"CAST({O.unit_hash_sql('x.pid', FOLD)} % 5 AS BIGINT)"
+O.cte("wide", _WIDE.format(t="bl"), "bl")
+
+
+def _fitted(features: str, width: int, train: bool) -> list[tuple[str, str]]:
+    """One model of the study's iterations on all points or the train ones."""
+    where = " WHERE split = 'train'" if train else ""
+    return [("all_pts", _POINTS.format(features=features, fold="0")), ("pts", f"SELECT * FROM all_pts{where}"),
+            ("models", f"SELECT 0 AS model, 1.0::DOUBLE AS bias, CAST({FIXED_REG} AS DOUBLE) AS reg, -1 AS held_out, "
+                       "(SELECT count(*) FROM pts) AS n"),
+            ("walk", O.descent(width, SVM_ITERATIONS))]
+
+
+def _grid_sql(features: str, width: int, grid: dict) -> str:
+    """Mean AUC of every grid point over five folds."""
+    rows = list(enumerate((i, t, r) for i in grid["intercept"] for t in grid["iterations"] for r in grid["reg"]))
+    pairs = sorted({(i, r) for _, (i, _, r) in rows})
+    models = " UNION ALL ".join(
+        f"SELECT {p * 5 + f} AS model, CAST({float(i)} AS DOUBLE) AS bias, CAST({r} AS DOUBLE) AS reg, {f} AS held_out, "
+        f"(SELECT count(*) FROM pts WHERE fold <> {f}) AS n" for p, (i, r) in enumerate(pairs) for f in range(5))
+    points = ", ".join(f"({g}, {int(i)}, {t}, {float(r)}, {pairs.index((i, r))})" for g, (i, t, r) in rows)
+    scored = ("SELECT w.t, w.model, list_dot_product(p.x, w.w) AS score, p.label FROM walk w JOIN models m ON w.model = m.model "
+              f"JOIN pts p ON p.fold = m.held_out WHERE w.t IN ({', '.join(map(str, grid['iterations']))})")
+    return O.sql(f"""SELECT CAST(g.grid_point AS BIGINT) AS grid_point, CAST(g.intercept AS BIGINT) AS intercept,
+  CAST(g.iterations AS BIGINT) AS iterations, CAST(g.reg AS DOUBLE) AS reg, mean_auc,
+  CAST(CASE WHEN row_number() OVER (ORDER BY mean_auc DESC NULLS LAST, grid_point) = 1 THEN 1 ELSE 0 END AS BIGINT) AS best
+FROM (VALUES {points}) g(grid_point, intercept, iterations, reg, pair)
+JOIN (SELECT t, pair, list_reduce(list(auc ORDER BY fold), lambda a, b: a + b) / count(auc) AS mean_auc
+      FROM (SELECT model // 5 AS pair, model % 5 AS fold, t, auc FROM ({auc_sql('scored', 't, model')}) WHERE auc IS NOT NULL)
+      GROUP BY t, pair) a
+ON a.t = g.iterations AND a.pair = g.pair""", features, "hash_part", recursive=True,
+                 extra=[("pts", f"SELECT * FROM ({_POINTS.format(features=features, fold=_FOLD_SQL)}) WHERE split = 'train'"),
+                        ("models", models), ("walk", O.descent(width, max(grid["iterations"]))), ("scored", scored)])
+
+
+def _train_points(spark, d, features) -> DataFrame:
+    from .study import fit_ready
+    inp, _ = _study_inputs(spark, d)
+    pts = op.labeled_points_dense(features(inp), inp.labels)
+    return fit_ready(op.restrict_to_subjects(pts, inp.train))
+
+
+def _graded(out: DataFrame) -> DataFrame:
+    return normalise(out.select("grid_point", "intercept", "iterations", "reg", "mean_auc", "best"))
+
+
+@query("svm_weights", O.sql(
+    "SELECT CAST(j - 1 AS BIGINT) AS idx, round(w[j], 9) AS value FROM walk, range(1, 35) r(j) WHERE t = "
+    f"{SVM_ITERATIONS} UNION ALL SELECT -1, auc FROM (" + auc_sql("scored") + ")", "derived", "hash_part", recursive=True,
+    extra=[*_fitted("derived", 33, False),
+           ("scored", f"SELECT list_dot_product(p.x, w.w) AS score, p.label FROM pts p, walk w WHERE w.t = {SVM_ITERATIONS}")]))
+def q_svm_weights(spark, d):
+    """Weights of the study's solver (intercept last) and, as -1, their AUC."""
+    from .study import fit_ready
+    from .subgradient import fit_svm_subgradient
+    inp, _ = _study_inputs(spark, d)
+    pts = fit_ready(op.labeled_points_dense(op.derived_features(inp.cohort, inp.scores, inp.flags), inp.labels))
+    m = fit_svm_subgradient(pts, SVM_ITERATIONS, FIXED_REG)
+    weights = spark.createDataFrame([(j, w) for j, w in enumerate([*m.weights, m.intercept])], "idx bigint, value double")
+    auc = op.auc_by_rank(m.score(pts)).select(F.lit(-1).cast("bigint").alias("idx"), F.col("auc").alias("value"))
+    return weights.select("idx", F.round("value", 9).alias("value")).unionByName(auc)
+
+
+@query("cv_grid_baseline", _grid_sql("wide", 3, BASELINE_GRID))
+def q_cv_grid_baseline(spark, d):
+    """The study's 15 grid points of EXP-1, five folds."""
+    from .subgradient import cv_grid_subgradient
+    pts = _train_points(spark, d, lambda inp: op.baseline_features_wide(inp.cohort, inp.scores))
+    return _graded(cv_grid_subgradient(pts, BASELINE_GRID, seed=SEED)[0])
+
+
+@query("cv_grid_derived", _grid_sql("derived", 33, DERIVED_GRID))
+def q_cv_grid_derived(spark, d):
+    """The study's 24 grid points of EXP-4, five folds."""
+    from .subgradient import cv_grid_subgradient
+    pts = _train_points(spark, d, lambda inp: op.derived_features(inp.cohort, inp.scores, inp.flags))
+    return _graded(cv_grid_subgradient(pts, DERIVED_GRID, seed=SEED)[0])
+
+
+def _solver_cfg():
+    from dataclasses import replace
+    return replace(_cfg(), solver="subgradient", svm_iterations=SVM_ITERATIONS, baseline_reg=FIXED_REG, derived_reg=FIXED_REG)
+
+
+def _split_auc(src: str, by: str) -> str:
+    keys = [k.strip() for k in by.split(",")]
+    on = " AND ".join(f"a.{k} IS NOT DISTINCT FROM t.{k}" for k in keys)
+    cols = ", ".join(f"a.{k}" for k in keys)
+    return (f"SELECT {cols}, t.total, t.positives, a.auc FROM ({auc_sql(src, by)}) a JOIN (SELECT {by}, count(*) AS total, "
+            f"CAST(sum(label) AS BIGINT) AS positives FROM {src} GROUP BY {by}) t ON {on}")
+
+
+@query("derived_model_auc", O.sql(
+    _split_auc("scored", "split"), "derived", "hash_part", recursive=True,
+    extra=[*_fitted("derived", 33, True),
+           ("scored", f"SELECT p.split, list_dot_product(p.x, w.w) AS score, p.label FROM all_pts p, walk w WHERE w.t = {SVM_ITERATIONS}")]))
+def q_derived_model_auc(spark, d):
+    """EXP-4 with the study's solver: the AUC itself."""
+    from .study import derived_model
+    inp, _ = _study_inputs(spark, d)
+    return normalise(derived_model(inp, _solver_cfg()).select("split", "total", "positives", "auc"))
+
+
+@query("baseline_model_auc", O.sql(
+    _split_auc("scored", "split, hour"), "wide", "hash_part", "cohort", "first", recursive=True,
+    extra=[*_fitted("wide", 3, True),
+           ("subject_score", f"SELECT p.pid, p.split, list_dot_product(p.x, w.w) AS score, p.label FROM all_pts p, walk w WHERE w.t = {SVM_ITERATIONS}"),
+           ("scored", f"""SELECT split, CAST(-1 AS BIGINT) AS hour, score, label FROM subject_score WHERE split = 'train' UNION ALL
+SELECT s.split, h.hour, s.score, s.label FROM subject_score s JOIN cohort c ON s.pid = c.pid JOIN first f ON s.pid = f.pid,
+range({SWEEP[0]}, {SWEEP[1] + 1}, {SWEEP[2]}) h(hour) WHERE s.split = 'test' AND (h.hour <= 0
+  OR (epoch_ms(c.out_ts) > epoch_ms(f.first_ts) + h.hour * 3600000 AND epoch_ms(c.dod) > epoch_ms(f.first_ts) + h.hour * 3600000))""")]))
+def q_baseline_model_auc(spark, d):
+    """EXP-1 with the study's solver: the AUC of every hour mark."""
+    from .study import baseline_model
+    inp, _ = _study_inputs(spark, d)
+    out = baseline_model(inp, _solver_cfg())[0]
+    return normalise(out.select("split", F.coalesce("hour", F.lit(-1)).alias("hour"), "total", "positives", "auc"))
+
+
 @query("hourly_auc_fitted", O.sql(_baseline_counts("hash_part"), "hash_part", "bl", "cohort", "first"))
 def q_hourly_auc_fitted(spark, d):
     from .study import baseline_model

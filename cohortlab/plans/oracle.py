@@ -152,8 +152,27 @@ def _closure(names) -> list[str]:
     return sorted(seen, key=order.index)
 
 
-def sql(body: str, *names: str, extra: list[tuple[str, str]] | None = None) -> str:
-    """``WITH <needed ctes>, <extra ctes> <body>``."""
+def sql(body: str, *names: str, extra: list[tuple[str, str]] | None = None, recursive: bool = False) -> str:
+    """``WITH <needed ctes>, <extra ctes> <body>``. With ``recursive`` the
+    extra CTEs but the last, which is the recursion, are computed once."""
     parts = [f"{n} AS (\n{CTES[n][1]}\n)" for n in _closure(names)]
-    parts += [f"{n} AS (\n{b}\n)" for n, b in (extra or [])]
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    extra = extra or []
+    for i, (n, b) in enumerate(extra):
+        parts.append(f"{n} AS {'MATERIALIZED ' if recursive and i < len(extra) - 1 else ''}(\n{b}\n)")
+    return ("WITH " + ("RECURSIVE " if recursive else "") + ",\n".join(parts) + "\n" + body) if parts else body
+
+
+def descent(width: int, iterations: int) -> str:
+    """Full-batch subgradient descent as a recursion: (t, model, w) from
+    ``pts`` (x with a constant last, y in -1/1, fold) and ``models`` (model,
+    bias, reg, held_out, n)."""
+    g = ", ".join(f"sum(CASE WHEN p.y * list_dot_product(p.x, v.w) < 1 THEN -p.y * p.x[{j}] ELSE 0.0::DOUBLE END)"
+                  + (" * any_value(m.bias)" if j == width + 1 else "") for j in range(1, width + 2))
+    zero = ", ".join(["0.0"] * (width + 1))
+    return f"""SELECT 0 AS t, model, CAST([{zero}] AS DOUBLE[]) AS w FROM models
+  UNION ALL
+  SELECT t + 1, model, list_transform(list_zip(w, g), lambda z:
+    z[1] * (1.0::DOUBLE - 1.0::DOUBLE / sqrt(t + 1) * reg) - 1.0::DOUBLE / sqrt(t + 1) * z[2] / n)
+  FROM (SELECT v.t, v.model, any_value(v.w) AS w, any_value(m.reg) AS reg, any_value(m.n) AS n, [{g}] AS g
+        FROM walk v JOIN models m ON v.model = m.model JOIN pts p ON p.fold <> m.held_out
+        WHERE v.t < {iterations} GROUP BY v.t, v.model)"""

@@ -29,6 +29,7 @@ from ..constants import (BASELINE_GRID, DERIVED_GRID, HOURS_START, HOURS_STEP, H
 from ..functions.timecols import millis
 from ..session import clear_scratch, materialize
 from .models import LinearModel, cv_grid, fit_svm, fit_topics, linear_score, topic_features
+from .subgradient import cv_grid_subgradient, fit_svm_subgradient
 
 
 def hourly_auc(scored: DataFrame, cohort: DataFrame | None, first: DataFrame, hours: Iterable[int], *,
@@ -90,6 +91,7 @@ class StudyConfig:
     threshold: float | None = 0.0
     lda_optimizer: str = "online"
     folds: int = N_FOLDS
+    solver: str = "linear_svc"      # or "subgradient", the study's
     parallelism: int = 4      # fits that run at once (EXP-2's hour marks, grid points)
 
 
@@ -113,10 +115,12 @@ def _fit(train: DataFrame, iterations: int, reg: float, intercept: bool, cfg: St
          grid: Mapping | None) -> LinearModel:
     """SVM with the given settings, or with the best of ``grid`` by k-fold
     mean AUC on the training points."""
+    own = cfg.solver == "subgradient"
     if grid:
-        _, best = cv_grid(train, grid, cfg.folds, seed=cfg.seed, parallelism=cfg.parallelism)
+        _, best = cv_grid_subgradient(train, grid, cfg.folds, seed=cfg.seed) if own else \
+            cv_grid(train, grid, cfg.folds, seed=cfg.seed, parallelism=cfg.parallelism)
         iterations, reg, intercept = best["iterations"], best["reg"], best["intercept"]
-    return fit_svm(train, iterations, reg, intercept)
+    return (fit_svm_subgradient if own else fit_svm)(train, iterations, reg, intercept)
 
 
 def baseline_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig(), *,
@@ -150,7 +154,7 @@ def retrospective_topic_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()
     train and test."""
     pts, _ = _topic_points(inp.tokens, inp.labels, cfg)
     train, test = _restrict(pts, inp.train), _restrict(pts, inp.test)
-    model = fit_svm(train, cfg.svm_iterations, cfg.retrospective_topic_reg, cfg.intercept)
+    model = _fit(train, cfg.svm_iterations, cfg.retrospective_topic_reg, cfg.intercept, cfg, None)
     return _split_metrics(_scored(model, train, test), cfg)
 
 
@@ -182,7 +186,7 @@ def hourly_topic_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()) -> Da
         tr_pts, topic_model = _topic_points(tr_h, inp.labels, cfg)
         te_pts, _ = _topic_points(te_h, inp.labels, cfg,
                                   model=None if cfg.refit_test_topics else topic_model)
-        model = fit_svm(tr_pts, cfg.svm_iterations, cfg.hourly_topic_reg, cfg.intercept)
+        model = _fit(tr_pts, cfg.svm_iterations, cfg.hourly_topic_reg, cfg.intercept, cfg, None)
         return _scored(model, tr_pts, te_pts, h)
 
     # a fit is a chain of small jobs: several marks at once keep the cluster busy
@@ -291,6 +295,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--stopwords", help="text file, one stop word per line")
     ap.add_argument("--label", default="in_episode", choices=["in_episode", "30d", "1y"])
     ap.add_argument("--seed", type=int, default=0)
+    ap.add_argument("--solver", default="linear_svc", choices=["linear_svc", "subgradient"],
+                    help="Spark ML's solver or the study's full-batch subgradient descent")
     ap.add_argument("--svm-iterations", type=int, default=SVM_ITERATIONS)
     ap.add_argument("--lda-k", type=int, default=LDA_K)
     ap.add_argument("--lda-iterations", type=int, default=LDA_ITERATIONS)
@@ -311,7 +317,7 @@ def main(argv: list[str] | None = None) -> None:
     inputs = build_inputs(spark, t["subjects"], t["episodes"], t["notes"], t["scores"], t["flags"],
                           stopwords=stop, label_kind=a.label, seed=a.seed, exact=not a.hash_split)
     cfg = StudyConfig(svm_iterations=a.svm_iterations, lda_k=a.lda_k, lda_iterations=a.lda_iterations,
-                      seed=a.seed, lda_optimizer=a.lda_optimizer)
+                      seed=a.seed, lda_optimizer=a.lda_optimizer, solver=a.solver)
     grids = {"baseline_grid": BASELINE_GRID, "derived_grid": DERIVED_GRID} if a.cross_validate else {}
     summary = study_summary(run_study(inputs, cfg, topic_sweep=not a.no_topic_sweep, **grids))
     summary.write.mode("overwrite").option("header", True).csv(a.out)
