@@ -15,13 +15,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import MAX_AGE, MAX_SCORE
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .cohort import present_after_hours
 
 BASELINE_NAMES = ("patient_age", "patient_sex", "saps_score")
@@ -99,9 +100,20 @@ def labeled_points_dense(features: DataFrame, labels: DataFrame, *, pid: str = "
     return j.select(pid, "label", array_to_vector(F.col(features_col)).alias("features"))
 
 
-# Spark ML has no expression that makes a sparse vector of two arrays; this
-# is the library's one Python UDF, and it sees a subject's own features only.
-sparse_vector = F.udf(lambda size, indices, values: SparseVector(size, indices, values), VectorUDT())
+def with_sparse_vectors(df: DataFrame, size: Column | int, indices: Column, values: Column, out: str = "features") -> DataFrame:
+    """``df`` with ``out``, the sparse vector of ``indices`` (ascending) and
+    ``values``, as a written table.
+
+    Spark has no expression that makes a sparse vector of two arrays, but a
+    vector column is stored as a struct of them: the struct is written and read
+    with a schema that calls it a vector. No row passes through Python."""
+    parts = F.struct(F.lit(0).cast("tinyint").alias("type"), (F.lit(size) if isinstance(size, int) else size).cast("int").alias("size"),
+                     indices.cast("array<int>").alias("indices"), values.cast("array<double>").alias("values"))
+    path = scratch_path(df.sparkSession, "vectors")
+    table = df.withColumn(out, parts)
+    table.write.parquet(path)
+    fields = [T.StructField(f.name, VectorUDT() if f.name == out else f.dataType) for f in table.schema.fields]
+    return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
 
 def labeled_points_sparse(long: DataFrame, labels: DataFrame, dictionary: DataFrame | None = None,
@@ -114,7 +126,7 @@ def labeled_points_sparse(long: DataFrame, labels: DataFrame, dictionary: DataFr
     name; it is written once, its size is checked, and it is broadcast up to
     ``BROADCAST_NAMES`` names (the join shuffles beyond). Names the dictionary
     does not have are left out; a subject with none that it has keeps an empty
-    vector.
+    vector. The points are a written table.
     """
     if dictionary is None:
         long = materialize(long)
@@ -129,7 +141,7 @@ def labeled_points_sparse(long: DataFrame, labels: DataFrame, dictionary: DataFr
     per = per.select(pid, F.col("_p.index").alias("indices"), F.col("_p._v").alias("values"))
     j = per.join(labels.select(pid, F.col(label).cast("double").alias("label")), pid, "inner")
     j = j.select(pid, "label", F.lit(size).alias("size"), "indices", "values")
-    return j.withColumn("features", sparse_vector("size", "indices", "values"))
+    return with_sparse_vectors(j, F.col("size"), F.col("indices"), F.col("values"))
 
 
 def mean_vector_by_key(df: DataFrame, key: str | Sequence[str], vec: str, *,

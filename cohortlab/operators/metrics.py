@@ -20,6 +20,8 @@ called; everything after it is lazy.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -151,6 +153,61 @@ def binary_metrics(df: DataFrame, score: str = "score", label: str = "label", *,
         _safe_div(F.col("tn"), negatives).alias("specificity"))
 
 
+def binary_metrics_over_marks(df: DataFrame, marks: Sequence[int], until: str, score: str = "score", label: str = "label", *,
+                              out: str = "mark", threshold: float | None = 0.0) -> DataFrame:
+    """``binary_metrics`` at each of ``marks`` (ascending) of rows that are
+    present at the first ``until`` marks: (out, total, positives, auc, ...),
+    without the marks at which no row is present.
+
+    A row is not repeated for each mark. It counts once, at its last mark, in the
+    counts of its score; sums from the last mark backwards turn these into the
+    counts of every mark, and one pass over the scores in order gives all marks'
+    ranks at once."""
+    hs, n = [int(m) for m in marks], len(marks)
+    if not n:
+        return df.sparkSession.createDataFrame([], f"{out} int, total bigint, positives bigint, auc double, accuracy double, "
+                                                   "sensitivity double, specificity double")
+    pos = F.col(label) > 0
+
+    def at(k: int, c: Column) -> Column:
+        return F.sum(F.when(c & (F.col("_until") == k), 1).otherwise(0)).cast("bigint")
+
+    last = (df.filter(F.col(score).isNotNull() & (F.col(until) > 0)).withColumn("_until", F.least(F.col(until), F.lit(n))).groupBy(score)
+            .agg(*[at(k, pos).alias(f"_dp{k}") for k in range(1, n + 1)],
+                 *[at(k, F.coalesce(~pos, F.lit(True))).alias(f"_dn{k}") for k in range(1, n + 1)]))
+    # present at mark i: all whose last mark is i or a later one
+    def present(kind: str, i: int) -> Column:
+        return reduce(add, [F.col(f"_d{kind}{k}") for k in range(i + 1, n + 1)])
+
+    ps = last.select(score, *[present("p", i).alias(f"_p{i}") for i in range(n)], *[present("n", i).alias(f"_n{i}") for i in range(n)])
+    s = materialize(ps.repartitionByRange(score).withColumn("_part", F.spark_partition_id()))
+    totals = s.groupBy(F.col("_part").alias("_p")).agg(*[F.sum(f"_n{i}").alias(f"_t{i}") for i in range(n)])
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)   # one row a partition
+    offsets = totals.select("_p", *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_o{i}") for i in range(n)])
+    inside = Window.partitionBy("_part").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = s.join(F.broadcast(offsets), F.col("_part") == F.col("_p")).select(
+        score, *[f"_p{i}" for i in range(n)], *[f"_n{i}" for i in range(n)],
+        *[(F.col(f"_o{i}") + F.coalesce(F.sum(f"_n{i}").over(inside), F.lit(0))).alias(f"_b{i}") for i in range(n)])
+    v = F.col(score)
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+    aggs = []
+    for i in range(n):
+        p, q = F.col(f"_p{i}"), F.col(f"_n{i}")
+        yes, no = (v == 1.0, v == 0.0) if threshold is None else (v > F.lit(float(threshold)), ~(v > F.lit(float(threshold))))
+        aggs.append(F.struct(F.lit(hs[i]).alias(out), F.sum(p.cast("double") * (F.col(f"_b{i}").cast("double") + q / 2.0)).alias("_c"),
+                             total(p).alias("n_pos"), total(q).alias("n_neg"), total(F.when(yes, p)).alias("tp"),
+                             total(F.when(no, q)).alias("tn")).alias(f"_m{i}"))
+    m = ranked.agg(*aggs).select(F.inline(F.array(*[F.col(f"_m{i}") for i in range(n)])))
+    both = F.col("n_pos") + F.col("n_neg")
+    return m.filter(both > 0).select(
+        out, both.alias("total"), F.col("n_pos").alias("positives"), _auc_col().alias("auc"),
+        _safe_div(F.col("tp") + F.col("tn"), both).alias("accuracy"), _safe_div(F.col("tp"), F.col("n_pos")).alias("sensitivity"),
+        _safe_div(F.col("tn"), F.col("n_neg")).alias("specificity"))
+
+
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """(stage, n) row counts of named intermediate results, one DataFrame."""
     return table_counts(stages, name_col="stage", count_col="n")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import BASELINE_GRID, LDA_ITERATIONS, LDA_K, N_FOLDS, SVM_ITERATIONS, SVM_REG
-from ..operators.features import BROADCAST_NAMES, mean_vector_by_key, sparse_vector
+from ..operators.features import BROADCAST_NAMES, mean_vector_by_key, with_sparse_vectors
 from ..operators.sampling import fold_assignment
 from ..operators.text import dense_index, term_counts, vocabulary
 from ..session import materialize
@@ -73,18 +73,15 @@ class TopicModel:
     lda: object
 
     def vectors(self, tok: DataFrame, *, tokens: str = "tokens") -> DataFrame:
-        """``tok`` with ``_tf``, the sparse vector of its known terms' counts;
-        rows without a known term are left out."""
+        """``tok`` with ``_tf``, the sparse vector of its known terms' counts, as
+        a written table; rows without a known term are left out."""
         rest = [c for c in tok.columns if c != tokens]
         docs = tok.filter(F.size(tokens) > 0).select(F.monotonically_increasing_id().alias("_doc"), *tok.columns)
-        counts = term_counts(docs.select("_doc", F.struct(*rest).alias("_rest"), tokens), doc=["_doc", "_rest"], tokens=tokens) \
-            if rest else term_counts(docs, doc=["_doc"], tokens=tokens)
+        counts = term_counts(docs, doc=["_doc", *rest], tokens=tokens)
         known = F.broadcast(self.vocabulary) if self.size <= BROADCAST_NAMES else self.vocabulary
         pairs = counts.join(known.select("term", "term_index"), "term")
-        keys = ["_doc", "_rest"] if rest else ["_doc"]
-        v = pairs.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("term_index", "n"))).alias("_p"))
-        tf = sparse_vector(F.lit(self.size), F.col("_p.term_index"), F.transform("_p.n", lambda x: x.cast("double")))
-        return v.select(*(["_rest.*"] if rest else []), tf.alias("_tf"))
+        v = pairs.groupBy("_doc", *rest).agg(F.sort_array(F.collect_list(F.struct("term_index", "n"))).alias("_p"))
+        return with_sparse_vectors(v.select(*rest, "_p"), self.size, F.col("_p.term_index"), F.col("_p.n"), "_tf").drop("_p")
 
     def transform(self, tok: DataFrame, *, tokens: str = "tokens") -> DataFrame:
         return self.lda.transform(self.vectors(tok, tokens=tokens))
@@ -108,11 +105,52 @@ def fit_topics(tok: DataFrame, k: int = LDA_K, iterations: int = LDA_ITERATIONS,
         terms = terms.filter(F.col("term_index") < int(vocab_size))
     terms = materialize(terms.select("term", "n", F.col("term_index").cast("int").alias("term_index")))
     model = TopicModel(terms, terms.count(), None)
-    model.lda = LDA(k=int(k), maxIter=int(iterations), optimizer=optimizer, seed=int(seed), featuresCol="_tf",
-                    topicDistributionCol="topic_mix").fit(materialize(model.vectors(docs, tokens=tokens)))
+    model.lda = fit_lda(model.vectors(docs, tokens=tokens), k, iterations, seed=seed, optimizer=optimizer)
     return model
 
 
+def fit_lda(vectors: DataFrame, k: int = LDA_K, iterations: int = LDA_ITERATIONS, *, seed: int = 0, optimizer: str = "online"):
+    """LDA over the column ``_tf`` of a written table."""
+    return LDA(k=int(k), maxIter=int(iterations), optimizer=optimizer, seed=int(seed), featuresCol="_tf",
+               topicDistributionCol="topic_mix").fit(vectors)
+
+
+class TopicCube:
+    """Term vectors of notes at many marks, from one count of their tokens.
+
+    A note is seen from its mark on (``mark``, a place in the sequence of marks). Terms
+    are numbered by (first mark of a note that has them, count descending, term), so
+    the vocabulary of mark m is the numbers below ``sizes[m]``, and the vectors of mark m
+    are those of the mark before and the new notes' ones, under a larger size."""
+
+    def __init__(self, notes: DataFrame, marks: int, *, vocabulary_of: str = "train", part: str = "part", mark: str = "mark",
+                 pid: str = "pid", tokens: str = "tokens"):
+        """``notes``: (pid, part, mark, tokens); the notes of one part make
+        the vocabulary."""
+        docs = notes.select(F.monotonically_increasing_id().alias("_doc"), pid, part, mark, tokens)
+        counts = materialize(term_counts(docs, doc=["_doc", pid, part, mark], tokens=tokens))
+        seen = counts.filter(F.col(part) == vocabulary_of).groupBy("term").agg(F.min(mark).alias("first"), F.sum("n").alias("n"))
+        terms = dense_index(seen, [F.col("first"), F.desc("n"), F.col("term")], out="term_index")
+        self.vocabulary = materialize(terms.select("term", "n", "first", F.col("term_index").cast("int").alias("term_index")))
+        # one number a mark
+        new = {r["first"]: r["k"] for r in self.vocabulary.groupBy("first").agg(F.count(F.lit(1)).alias("k")).collect()}
+        self.sizes = [sum(new.get(j, 0) for j in range(m + 1)) for m in range(marks)]
+        known = self.vocabulary.select("term", "term_index")
+        pairs = counts.join(F.broadcast(known) if (self.sizes or [0])[-1] <= BROADCAST_NAMES else known, "term")
+        self.notes = materialize(pairs.groupBy("_doc", pid, part, mark)
+                                 .agg(F.sort_array(F.collect_list(F.struct("term_index", "n"))).alias("_p")).drop("_doc"))
+        self.part, self.mark, self.pid = part, mark, pid
+
+    def vectors(self, m: int, part: str) -> DataFrame:
+        """(pid, _tf) of a part's notes that are seen at mark m and have a
+        term of its vocabulary; no token is counted again."""
+        at = self.notes.filter((F.col(self.part) == part) & (F.col(self.mark) <= m))
+        # ascending numbers: the known ones come first
+        known = F.filter("_p", lambda x: x["term_index"] < self.sizes[m])
+        at = at.select(self.pid, known.alias("_p")).filter(F.size("_p") > 0)
+        return with_sparse_vectors(at, self.sizes[m], F.col("_p.term_index"), F.col("_p.n"), "_tf").drop("_p")
+
+
 def topic_features(tok: DataFrame, k: int = LDA_K, iterations: int = LDA_ITERATIONS, *,
                    seed: int = 0, pid: str = "pid", tokens: str = "tokens", optimizer: str = "online",
                    vocab_size: int | None = None,

@@ -6,9 +6,14 @@ EXP-3 ``retrospective_topic_model`` LDA on all in-episode notes, SVM on train
 EXP-4 ``derived_model``      33 derived features
 EXP-5 ``run_study``          everything above on one set of inputs
 
-The hour sweep of EXP-1 is one job: every test subject is exploded to the
-hour marks at which it is still present (each subject has one cut-off,
-min(out, death) - first note), and the metrics are grouped by hour.
+The hour sweep of EXP-1 is one job: every test subject counts once, at the
+last hour mark at which it is present (each subject has one cut-off,
+min(out, death) - first note); sums over the marks give the counts of every hour.
+
+The hour sweep of EXP-2 counts the notes' tokens once. A note is seen from one
+mark on, so the notes of a mark are those of the mark before and the ones new at
+it; terms are numbered by the mark that sees them first, so the vocabulary of a
+mark is a prefix of one numbering and a note has one vector for all marks.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
+from operator import add
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +34,7 @@ from ..constants import (BASELINE_GRID, DERIVED_GRID, HOURS_START, HOURS_STEP, H
                          TOPIC_HOURS_START, TRAIN_PROPORTION)
 from ..functions.timecols import millis
 from ..session import clear_scratch, materialize
-from .models import LinearModel, cv_grid, fit_svm, fit_topics, linear_score, topic_features
+from .models import LinearModel, TopicCube, cv_grid, fit_lda, fit_svm, fit_topics, linear_score, topic_features
 from .subgradient import cv_grid_subgradient, fit_svm_subgradient
 
 
@@ -48,14 +54,13 @@ def hourly_auc(scored: DataFrame, cohort: DataFrame | None, first: DataFrame, ho
         cohort.select(pid, "out_ts", "dod"), pid, "inner")
     x = x.select(pid, score, label, millis("out_ts").alias("_o"), millis("dod").alias("_d")).join(f, pid, "left")
 
-    # each subject meets every mark once (a fixed number of rows per subject),
-    # then keeps the marks at which it is still present
-    ex = x.select(pid, score, label, "_f", "_o", "_d",
-                  F.explode(F.array(*[F.lit(h) for h in hrs])).alias("hour"))
-    b = F.col("_f") + F.col("hour").cast("bigint") * F.lit(MS_HOUR)
-    present = (F.col("hour") <= 0) | (F.col("_f").isNotNull() & (F.col("_o") > b) & (F.col("_d") > b))
-    ex = ex.filter(present).select(pid, score, label, "hour")
-    return op.binary_metrics(ex, score, label, by="hour", threshold=threshold)
+    # a subject is present at the marks up to its last one; marks up to 0 hold for all
+    stay = F.least("_o", "_d") - F.col("_f")
+    known = F.col("_f").isNotNull() & F.col("_o").isNotNull() & F.col("_d").isNotNull()
+    later = [F.when(stay > h * MS_HOUR, 1).otherwise(0) for h in hrs if h > 0]
+    until = F.lit(len(hrs) - len(later)) + (F.when(known, reduce(add, later)).otherwise(0) if later else F.lit(0))
+    return op.binary_metrics_over_marks(x.select(score, label, until.alias("_marks")), hrs, "_marks", score, label, out="hour",
+                                        threshold=threshold)
 
 
 def _sweep(start=HOURS_START, stop=HOURS_STOP, step=HOURS_STEP) -> range:
@@ -172,26 +177,58 @@ def _split_metrics(scored: DataFrame, cfg: StudyConfig) -> DataFrame:
     return op.binary_metrics(scored, by=by, threshold=cfg.threshold)
 
 
+def _marked(notes: DataFrame, first: DataFrame, hours: list[int], pid: str = "pid", ts: str = "ts") -> DataFrame:
+    """Notes with ``mark``, the place in ``hours`` (ascending) of the first
+    mark that sees them; at marks up to 0 all notes count, as in
+    ``events_within_hours``. Notes no mark sees are left out."""
+    f = first.select(pid, millis("first_ts").alias("_f"))
+    since = millis(ts) - F.col("_f")
+    mark = reduce(add, [F.when(since >= h * MS_HOUR, 1).otherwise(0) for h in hours])
+    return notes.join(f, pid, "inner").withColumn("mark", mark).filter(F.col("mark") < len(hours)).drop("_f")
+
+
 def hourly_topic_model(inp: StudyInputs, cfg: StudyConfig = StudyConfig()) -> DataFrame:
     """EXP-2: at every hour mark keep notes before first + h, fit LDA on the
     train subjects' notes, SVM on their topic mixtures, evaluate on the test
     subjects (their notes transformed by the train topics unless
-    ``refit_test_topics``). One Spark ML fit per hour mark, one metrics pass
-    over all marks."""
-    tok_train, tok_test = _restrict(inp.tokens, inp.train), _restrict(inp.tokens, inp.test)
-
-    def at(h: int) -> DataFrame:
-        tr_h = op.events_within_hours(tok_train, inp.first, h)
-        te_h = op.events_within_hours(tok_test, inp.first, h)
-        tr_pts, topic_model = _topic_points(tr_h, inp.labels, cfg)
-        te_pts, _ = _topic_points(te_h, inp.labels, cfg,
-                                  model=None if cfg.refit_test_topics else topic_model)
+    ``refit_test_topics``). Tokens are counted once for all marks; one Spark
+    ML fit per hour mark, one metrics pass over all marks."""
+    hours = sorted({int(h) for h in cfg.topic_hours})
+    later = [h for h in hours if h > 0]
+    parts = [_restrict(inp.tokens, s).withColumn("part", F.lit(name)) for name, s in (("train", inp.train), ("test", inp.test))]
+    tok = parts[0].unionByName(parts[1])
+    marked = _marked(tok, inp.first, later) if later else None
+
+    def cubes(notes: DataFrame, marks: int) -> tuple[TopicCube, TopicCube]:
+        notes = materialize(notes.select("pid", "part", "mark", "tokens"))
+        own = TopicCube(notes, marks)
+        return own, TopicCube(notes, marks, vocabulary_of="test") if cfg.refit_test_topics else own
+
+    jobs = []
+    if later:
+        pair = cubes(marked, len(later))
+        jobs += [(h, m, pair) for m, h in enumerate(later)]
+    if len(later) < len(hours):            # marks up to 0 see all notes
+        pair = cubes(tok.withColumn("mark", F.lit(0)), 1)
+        jobs += [(h, 0, pair) for h in hours if h <= 0]
+
+    def points(vectors: DataFrame, lda) -> DataFrame:
+        return _points_with_ids(op.mean_vector_by_key(lda.transform(vectors), "pid", "topic_mix", out="features"), inp.labels)
+
+    def at(job: tuple) -> DataFrame:
+        h, m, (train, test) = job
+        fit = {"seed": cfg.seed, "optimizer": cfg.lda_optimizer}
+        mine = train.vectors(m, "train")
+        theirs = test.vectors(m, "test")
+        lda = fit_lda(mine, cfg.lda_k, cfg.lda_iterations, **fit)
+        tr_pts = points(mine, lda)
+        te_pts = points(theirs, fit_lda(theirs, cfg.lda_k, cfg.lda_iterations, **fit) if cfg.refit_test_topics else lda)
         model = _fit(tr_pts, cfg.svm_iterations, cfg.hourly_topic_reg, cfg.intercept, cfg, None)
         return _scored(model, tr_pts, te_pts, h)
 
     # a fit is a chain of small jobs: several marks at once keep the cluster busy
     with ThreadPool(max(1, cfg.parallelism)) as pool:
-        scored = reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(at), list(cfg.topic_hours)))
+        scored = reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(at), jobs))
     return _split_metrics(scored, cfg)
 
 

@@ -60,7 +60,7 @@ def fits(monkeypatch):
     """Settings of every SVM and LDA fit; grid searches only note the grid."""
     from cohortlab.plans import study
     seen = {"svm": [], "lda": [], "grid": []}
-    real_svm, real_topics = study.fit_svm, study.topic_features
+    real_svm, real_topics, real_lda = study.fit_svm, study.topic_features, study.fit_lda
 
     def svm(points, iterations, reg, intercept):
         seen["svm"].append((iterations, reg, intercept))
@@ -71,6 +71,10 @@ def fits(monkeypatch):
             seen["lda"].append((k, iterations, kw["optimizer"]))
         return real_topics(tok, 2, 2, **kw)
 
+    def lda(vectors, k, iterations, **kw):
+        seen["lda"].append((k, iterations, kw["optimizer"]))
+        return real_lda(vectors, 2, 2, **kw)
+
     def grid(points, grid, folds, seed, parallelism):
         assert points.count() and "pid" in points.columns
         seen["grid"].append((grid, folds))
@@ -78,6 +82,7 @@ def fits(monkeypatch):
 
     monkeypatch.setattr(study, "fit_svm", svm)
     monkeypatch.setattr(study, "topic_features", topics)
+    monkeypatch.setattr(study, "fit_lda", lda)
     monkeypatch.setattr(study, "cv_grid", grid)
     return seen
 
@@ -118,6 +123,45 @@ def test_each_experiment_uses_its_settings(spark, sf_dir, fits):
     assert fits["svm"] == [(7, 0.5, False), (300, 0.1, True), (7, 0.5, False)]
 
 
+def test_topic_cube_equals_counts_at_every_mark(spark):
+    """The vectors of each mark against a new count of the notes it sees."""
+    from collections import Counter
+
+    from cohortlab.plans.models import TopicCube
+    rnd = random.Random(4)
+    words = [f"word{i}" for i in range(12)]
+    notes = [(p, "train" if p % 3 else "test", m, [rnd.choice(words[: 3 + 2 * m + p % 2]) for _ in range(rnd.randrange(0, 6))])
+             for p in range(12) for m in range(5)]
+    df = spark.createDataFrame(notes, "pid long, part string, mark int, tokens array<string>").repartition(3)
+    cube = TopicCube(df, 5)
+    index = {r["term"]: r["term_index"] for r in cube.vocabulary.collect()}
+    assert sorted(index.values()) == list(range(len(index)))
+    for m in range(5):
+        vocabulary = {t for _, s, k, ts in notes if s == "train" and k <= m for t in ts}
+        assert {t for t, i in index.items() if i < cube.sizes[m]} == vocabulary
+        for part in ("train", "test"):
+            want = sorted((p, tuple(sorted((index[t], float(n)) for t, n in Counter(ts).items() if t in vocabulary)))
+                          for p, s, k, ts in notes if s == part and k <= m and set(ts) & vocabulary)
+            got = sorted((r["pid"], tuple(zip(r["_tf"].indices.tolist(), r["_tf"].values.tolist())))
+                         for r in cube.vectors(m, part).collect())
+            assert got == want
+        assert {r["_tf"].size for r in cube.vectors(m, "train").collect()} == {cube.sizes[m]}
+
+
+def test_marks_equal_the_hour_filter(spark):
+    from cohortlab import operators as op
+    from cohortlab.plans.study import _marked
+    rnd = random.Random(5)
+    base = dt.datetime(2000, 1, 1)
+    notes = spark.createDataFrame([(p, base + dt.timedelta(hours=rnd.choice([0, 1, 12, 24, 36, 37, 400])), i)
+                                   for i, p in enumerate(rnd.choices(range(8), k=80))], "pid long, ts timestamp, i long")
+    first = spark.createDataFrame([(p, base + dt.timedelta(hours=p % 3)) for p in range(6)], "pid long, first_ts timestamp")
+    hours = [12, 24, 36]
+    marked = {r["i"]: r["mark"] for r in _marked(notes, first, hours).collect()}
+    for m, h in enumerate(hours):
+        assert {i for i, k in marked.items() if k <= m} == {r["i"] for r in op.events_within_hours(notes, first, h).collect()}
+
+
 def test_default_hours():
     from cohortlab.plans.study import StudyConfig
     cfg = StudyConfig()
