@@ -9,7 +9,7 @@ a written table to build the plan: ``split_exact``, ``take_smallest`` and
 
 from .cohort import (build_cohort, cohort_episodes, cohort_subjects, events_within_hours,
                      first_event, join_subject_episode, label_all, label_events, latest_episode,
-                     notes_in_episode, present_after_hours, restrict_to_subjects,
+                     notes_in_episode, notes_in_episode_binned, present_after_hours, restrict_to_subjects,
                      with_first_event)
 from .features import (array_to_long, baseline_features_long, baseline_features_wide,
                        concat_features, derived_features, feature_dictionary, flag_vector,

@@ -3,8 +3,9 @@ dense document index and the note cohort.
 
 Tokenization is one JVM expression tree per document over the whole text
 (regex passes, lower case, split, higher-order token filter) followed by
-Spark ML's ``StopWordsRemover`` (a hash-set lookup in the JVM). Stop words
-given as a DataFrame are not collected: tokens are joined with them. Counting
+Spark ML's ``StopWordsRemover`` (a hash-set lookup in the JVM), also for stop
+words given as a DataFrame, if they or those in use are at most
+``LOOKUP_WORDS``; more are joined with the rows' distinct terms. Counting
 explodes tokens and aggregates with map-side combine, so a very frequent
 term or a very long document never becomes a single hot reduce task.
 """
@@ -21,23 +22,36 @@ from ..constants import DEFAULT_STOP_WORDS, MIN_WORDS
 from ..functions.textcols import word_tokens
 from .cohort import notes_in_episode
 
+#: Stop words that a task looks up in a hash set (a word each, a few dozen MB).
+LOOKUP_WORDS = 1_000_000
 #: Column of the cohort row that in-episode notes carry.
 COHORT = "_cohort"
 
 
+def _words_in_use(words: DataFrame, df: DataFrame, raw: str) -> list[str] | None:
+    """The stop words to look up, or None if they are more than
+    ``LOOKUP_WORDS``: the whole list if it is short enough, otherwise those of its
+    words that occur at all (a join of distinct terms, not of tokens)."""
+    stop = words.select(F.col(words.columns[0]).alias("term")).filter("term IS NOT NULL").distinct()
+    for found in (lambda: stop, lambda: explode_tokens(df, [], raw).distinct().join(stop, "term", "left_semi")):
+        rows = found().limit(LOOKUP_WORDS + 1).collect()
+        if len(rows) <= LOOKUP_WORDS:
+            return [r["term"] for r in rows]
+    return None
+
+
 def _without_words(df: DataFrame, raw: str, out: str, words: DataFrame) -> DataFrame:
-    """``raw`` without the tokens in the first column of ``words``, by a join
-    of the exploded tokens (any size of list; order and repeats are kept)."""
-    stop = words.select(F.col(words.columns[0]).alias("_stop")).filter("_stop IS NOT NULL").distinct()
-    rest = [c for c in df.columns if c != raw]
-    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.struct(*rest).alias("_rest"), raw)
-    terms = rows.select("_row", "_rest", F.posexplode_outer(raw).alias("_at", "_term"))
-    marked = terms.join(stop, F.col("_term") == F.col("_stop"), "left")
-    kept = F.when(F.col("_term").isNotNull() & F.col("_stop").isNull(), F.struct("_at", "_term"))
-    # the row's own columns come along once, from its first position
-    head = F.min_by("_rest", F.coalesce("_at", F.lit(0)))
-    return (marked.groupBy("_row").agg(head.alias("_rest"), F.sort_array(F.collect_list(kept)).alias("_kept"))
-            .select("_rest.*", F.col("_kept._term").alias(out)))
+    """``raw`` without the tokens in the first column of ``words``, whatever
+    their number: each row's distinct terms are joined with the list, and what a
+    row loses comes back as one array. The row's other columns do not move with
+    its terms."""
+    from ..session import materialize
+    stop = words.select(F.col(words.columns[0]).alias("_term")).filter("_term IS NOT NULL").distinct()
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
+    terms = rows.select("_row", F.explode(F.array_distinct(raw)).alias("_term"))
+    lost = terms.join(stop, "_term", "left_semi").groupBy("_row").agg(F.collect_list("_term").alias("_lost"))
+    kept = F.when(F.col("_lost").isNull(), F.col(raw)).otherwise(F.filter(raw, lambda t: ~F.array_contains("_lost", t)))
+    return rows.join(lost, "_row", "left").withColumn(out, kept).drop("_row", "_lost", raw)
 
 
 def tokenize(df: DataFrame, col: str = "text", stopwords: Iterable[str] | DataFrame | None = None,
@@ -50,7 +64,10 @@ def tokenize(df: DataFrame, col: str = "text", stopwords: Iterable[str] | DataFr
     if drop_text:
         with_raw = with_raw.drop(col)
     if isinstance(stopwords, DataFrame):
-        return _without_words(with_raw, tmp, out, stopwords)
+        found = _words_in_use(stopwords, with_raw, tmp)
+        if found is None:
+            return _without_words(with_raw, tmp, out, stopwords)
+        stopwords = found
     words = sorted(set(DEFAULT_STOP_WORDS if stopwords is None else stopwords))
     if not words:
         return with_raw.withColumnRenamed(tmp, out)

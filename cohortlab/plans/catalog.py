@@ -452,6 +452,65 @@ def q_text_sink_roundtrip(spark, d):
     return spark.read.text(path)
 
 
+@query("text_sink_single", ORACLE["text_sink_roundtrip"])
+def q_text_sink_single(spark, d):
+    """Written by all tasks, merged to one file."""
+    from ..session import scratch_path
+    from ..sources.csv_io import write_text
+    c = fx.table(spark, d, "customer")
+    path = scratch_path(spark, "text_sink_single") + "/lines.txt"
+    write_text(c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment").alias("value"))
+               .repartition(7), path, single=True)
+    return spark.read.text(path)
+
+
+def _raw_export(spark, d) -> str:
+    """A raw export of the documents: quoted fields, doubled quotes, texts that
+    span lines. Every fourth document stands without quotes around its id."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "raw_export")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    key = F.when(F.col("doc_id") % 4 == 0, F.col("doc_id").cast("string")).otherwise(F.concat(F.lit('"'), F.col("doc_id"), F.lit('"')))
+    Tables(spark, d).documents().select(F.concat(key, F.lit(",nurse, ward,"), quoted).alias("value")).write.text(path)
+    return path
+
+
+_RAW = ("SELECT CASE WHEN doc_id % 4 = 0 THEN CAST(doc_id AS VARCHAR) ELSE '\"' || doc_id || '\"' END || ',nurse, ward,\"' "
+        "|| replace(text, '\"', '\"\"') || '\"' AS r FROM documents")
+_COMMAS = ("array_to_string(list_transform(string_split({x}, '\"'), lambda p, i: CASE WHEN i % 2 = 0 THEN replace(p, ',', ';') ELSE p END), '\"')")
+
+
+@query("repaired_notes", f"""WITH raw AS ({_RAW}),
+line AS (SELECT list_filter(string_split(replace(replace(r, '""', ' '), '  ', ' '), chr(10)),
+                            lambda l: NOT regexp_full_match(l, '[ \\t\\r\\f\\x0B]*')) AS l FROM raw),
+rec AS (SELECT array_to_string(list_transform(l, lambda x, i: CASE WHEN i < len(l) THEN regexp_replace(x, '\\r$', '') ELSE x END), ' ') AS v
+        FROM line)
+SELECT {_COMMAS.format(x='v')} AS value FROM rec""")
+def q_repaired_notes(spark, d):
+    """The repair of a raw note export (SRC-10), from the file itself."""
+    from ..sources.repair import repaired_notes
+    return repaired_notes(spark, _raw_export(spark, d)).select("value")
+
+
+@query("repaired_lab_lines", f"""WITH raw AS ({_RAW}),
+line AS (SELECT unnest(string_split(r, chr(10))) AS l FROM raw)
+SELECT {_COMMAS.format(x="replace(l, '\"\"', ' ')")} AS value FROM line""")
+def q_repaired_lab_lines(spark, d):
+    """The repair of a raw lab export (SRC-11), line by line."""
+    from ..sources.repair import repaired_lab_lines
+    return repaired_lab_lines(spark, _raw_export(spark, d)).select("value")
+
+
+@query("tokenize_large_word_file", ORACLE["tokenize_word_file"])
+def q_tokenize_large_word_file(spark, d):
+    """As ``tokenize_word_file``, without a list on the driver: what a list
+    of more words than a task may look up takes."""
+    docs = Tables(spark, d).documents().select("doc_id", "text")
+    stop = op.vocabulary(op.tokenize(docs, stopwords=[])).select("term").filter(F.length("term") <= 5)
+    t = op.text._without_words(op.tokenize(docs, stopwords=[]), "tokens", "kept", stop)
+    return t.select("doc_id", F.array_join("kept", " ").alias("tokens"))
+
+
 # =================================================================== features
 _BL = ("SELECT c.pid, c.age / CAST(89.0 AS DOUBLE) AS a, CAST(c.is_male AS DOUBLE) AS s, "
        "sc.score / CAST(163.0 AS DOUBLE) AS sc FROM {src} c JOIN scr sc "
@@ -491,6 +550,34 @@ def q_baseline_wide_at_hours(spark, d):
     return normalise(op.array_to_long(w, ["pid"], "features"))
 
 
+def _bucketed(spark, d, *names: str) -> dict[str, DataFrame]:
+    from ..sources.bucketed import load_bucketed, save_bucketed
+    t = Tables(spark, d)
+    return load_bucketed(spark, save_bucketed({n: getattr(t, n)() for n in names}))
+
+
+@query("baseline_features_bucketed", ORACLE["baseline_features_wide"])
+def q_baseline_features_bucketed(spark, d):
+    """The joins of the study over tables stored by subject."""
+    from ..sources.bucketed import baseline_features_bucketed
+    t = _bucketed(spark, d, "subjects", "episodes", "scores")
+    return normalise(op.array_to_long(baseline_features_bucketed(t["subjects"], t["episodes"], t["scores"]), ["pid"], "features"))
+
+
+@query("notes_in_episode_bucketed", ORACLE["notes_in_episode"])
+def q_notes_in_episode_bucketed(spark, d):
+    from ..sources.bucketed import notes_in_episode_bucketed
+    t = _bucketed(spark, d, "subjects", "episodes", "notes")
+    return normalise(notes_in_episode_bucketed(t["subjects"], t["episodes"], t["notes"]).select("pid", "hadm", "ts", "note_id", "doc_id"))
+
+
+@query("notes_in_episode_binned", ORACLE["notes_in_episode"])
+def q_notes_in_episode_binned(spark, d):
+    """Admissions of three notes or more are dealt by time bins of 30 days."""
+    t = Tables(spark, d)
+    return normalise(op.notes_in_episode_binned(t.cohort(), t.notes(), bin_hours=720, hot_rows=2).select("pid", "hadm", "ts", "note_id", "doc_id"))
+
+
 O.cte("fv", "SELECT f.pid, f.flag_str, f.flags FROM flg f JOIN cohort c ON f.pid = c.pid AND f.hadm = c.hadm",
       "flg", "cohort")
 

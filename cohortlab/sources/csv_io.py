@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,14 +46,57 @@ def write_csv_table(df: DataFrame, path: str) -> None:
 def write_text(df: DataFrame, path: str, single: bool = False) -> None:
     """Write a one-string-column DataFrame as text lines, replacing ``path``.
 
-    Output stays partitioned (one part file per task) unless ``single`` asks
-    for one file, which funnels the data through one task.
+    Output stays partitioned (one part file per task). With ``single`` the
+    part files, written by as many tasks, become one file at ``path`` in their order.
     """
     if len(df.columns) != 1:
         df = df.select(F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns]).alias("value"))
-    if single:
-        df = df.coalesce(1)
-    df.write.mode("overwrite").text(path)
+    if not single:
+        df.write.mode("overwrite").text(path)
+        return
+    parts = f"{path.rstrip('/')}.parts-{uuid.uuid4().hex[:12]}"
+    df.write.text(parts)
+    merge_files(df.sparkSession, parts, path)
+
+
+def merge_files(spark: SparkSession, folder: str, path: str) -> int:
+    """The part files of ``folder`` as one file ``path`` (an old one is
+    deleted first), in the order of their names; the folder goes. File systems that
+    can concatenate do it without copying; elsewhere the bytes are streamed.
+    Returns the number of parts."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(conf)
+    parts = sorted((f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")),
+                   key=lambda p: p.getName())
+    fs.delete(target, True)
+    if target.getParent() is not None:
+        fs.mkdirs(target.getParent())
+    full = [p for p in parts if fs.getFileStatus(p).getLen() > 0]
+    try:
+        if len(full) > 1:
+            rest = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(full) - 1)
+            for i, p in enumerate(full[1:]):
+                rest[i] = p
+            fs.concat(full[0], rest)
+        done = bool(full) and fs.rename(full[0], target)
+    except (Py4JJavaError, UnsupportedOperationException) as e:      # PySpark converts some
+        if isinstance(e, Py4JJavaError) and "UnsupportedOperationException" not in str(e.java_exception):
+            raise
+        done = False
+    if not done:
+        out = fs.create(target, True)
+        try:
+            for p in full:
+                part = fs.open(p)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+                finally:
+                    part.close()
+        finally:
+            out.close()
+    fs.delete(source, True)
+    return len(parts)
 
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:

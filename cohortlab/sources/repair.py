@@ -16,16 +16,24 @@ lab results: steps 1 and 5.
 
 Whether a line is inside a record depends on the quotes of all lines before
 it, so a reader of records needs the whole file in one task. Here the file is
-read as lines in as many splits as it has: each split counts its quotes, the
-parity before each split comes from one row per split, and the lines of a
-record meet by its number. What comes out is one record per row without line
-breaks, which Spark's CSV functions parse.
+read as lines in as many splits as it has. Each split numbers its records twice
+as it is read, for a start outside and for a start inside of a record (a running
+count over the parity of the quotes alone: the text stays in the JVM and nothing
+is shuffled). One row per split then tells which of the two holds and how many
+records lie before it. A record of one line is complete; only the lines of
+longer records meet by its number. What comes out is one record per row without
+line breaks, which Spark's CSV functions parse.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
@@ -49,32 +57,64 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                         F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
 
 
-def repaired_notes(spark: SparkSession, path: str) -> DataFrame:
-    """(file, record, value): the records of a raw note export, repaired,
-    numbered from 1 in each file. Writes the lines to the shared checkpoint
-    folder, as they feed two passes."""
+@F.pandas_udf(T.StructType([T.StructField(c, T.LongType()) for c in ("before", "outside", "inside")]))
+def _numbered(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """Of each line in the order of its split: the parity of the quotes
+    before it in the split, and how many records have begun with it, should the
+    split begin outside or inside of one."""
+    split, parity, counts = None, 0, [0, 0]
+    for file, block, odd in batches:
+        n = len(odd)
+        out = np.zeros((n, 3), dtype=np.int64)
+        new = np.flatnonzero((file.ne(file.shift()) | block.ne(block.shift())).to_numpy())
+        for a, z in zip(new, [*new[1:], n], strict=True):
+            if (file.iloc[a], block.iloc[a]) != split:
+                split, parity, counts = (file.iloc[a], block.iloc[a]), 0, [0, 0]
+            o = odd.iloc[a:z].to_numpy()
+            before = (parity + np.cumsum(o) - o) % 2
+            out[a:z, 0] = before
+            for k in (0, 1):
+                out[a:z, k + 1] = counts[k] + np.cumsum(before == k)
+                counts[k] = int(out[z - 1, k + 1])
+            parity = (parity + int(o.sum())) % 2
+        yield pd.DataFrame(out, columns=["before", "outside", "inside"])
+
+
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, at, line, odd, before, record) of the non-blank lines:
+    ``before`` tells whether the line begins inside of a record. Writes the
+    lines to the shared checkpoint folder, as they are read twice."""
     line = F.replace(_unquote(F.col("line")), F.lit("  "), F.lit(" "))
     odd = (F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))) % 2
-    here = Window.partitionBy("file", "block").orderBy("at")
-    lines = (read_lines(spark, path).withColumn("line", line).filter(~F.col("line").rlike(_BLANK)).withColumn("odd", odd)
-             .withColumn("before", F.coalesce(F.sum("odd").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2))
-    lines = materialize(lines)
-    # one row per split: its quotes, and the records that start in it, should it begin outside (0) or inside (1) of one
-    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("odd"), F.count_if(F.col("before") == 0).alias("starts0"),
-                                                F.count_if(F.col("before") == 1).alias("starts1"))
+    lines = read_lines(spark, path).withColumn("line", line).filter(~F.col("line").rlike(_BLANK)).withColumn("odd", odd)
+    lines = materialize(lines.withColumn("n", _numbered("file", "block", "odd")).select("file", "block", "at", "line", "odd", "n.*"))
+    # one row per split
+    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("odd"), F.max("outside").alias("outside"), F.max("inside").alias("inside"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("carry", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
-    starts = F.when(F.col("carry") == 0, F.col("starts0")).otherwise(F.col("starts1"))
-    blocks = blocks.withColumn("starts", starts).withColumn("first", F.coalesce(F.sum("starts").over(earlier), F.lit(0)))
-    begins = F.when((F.col("before") + F.col("carry")) % 2 == 0, 1).otherwise(0)
-    numbered = (lines.join(blocks.select("file", "block", "carry", "first"), ["file", "block"])
-                .withColumn("record", F.col("first") + F.sum(begins).over(here)))
-    parts = numbered.groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("block", "at", "line"))).alias("parts"),
-                                                   F.sum("odd").alias("odd"))
+    own = F.when(F.col("carry") == 0, F.col("outside")).otherwise(F.col("inside"))
+    blocks = blocks.withColumn("begun", own).withColumn("first", F.coalesce(F.sum("begun").over(earlier), F.lit(0)))
+    number = F.col("first") + F.when(F.col("carry") == 0, F.col("outside")).otherwise(F.col("inside"))
+    return (lines.join(F.broadcast(blocks.select("file", "block", "carry", "first")), ["file", "block"])
+            .select("file", "block", "at", "line", "odd", ((F.col("before") + F.col("carry")) % 2).alias("before"), number.alias("record")))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    alone = (F.col("before") == 0) & (F.col("odd") == 0)
+    # the value names its condition: what a caller computes of it must not be pushed down to lines that are no records
+    single = lines.filter(alone).select("file", "record", F.when(alone, commas_in_quotes(F.col("line"))).alias("value"))
+    parts = lines.filter(~alone).groupBy("file", "record").agg(
+        F.sort_array(F.collect_list(F.struct("block", "at", "line"))).alias("parts"), F.sum("odd").alias("odd"))
     texts = F.transform("parts", lambda x: x["line"])
     head = F.transform(F.slice(texts, F.lit(1), F.size(texts) - 1), lambda x: F.regexp_replace(x, "\r$", ""))
     joined = F.array_join(F.concat(head, F.slice(texts, -1, 1)), " ")
-    return parts.filter(F.col("odd") % 2 == 0).select("file", "record", commas_in_quotes(joined).alias("value"))
+    return single.unionByName(parts.filter(F.col("odd") % 2 == 0).select("file", "record", commas_in_quotes(joined).alias("value")))
+
+
+def repaired_notes(spark: SparkSession, path: str) -> DataFrame:
+    """(file, record, value): the records of a raw note export, repaired,
+    numbered from 1 in each file. Only lines of records that span lines are shuffled."""
+    return _records(_numbered_lines(spark, path))
 
 
 def repaired_lab_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -85,8 +125,8 @@ def repaired_lab_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_repaired_notes(spark: SparkSession, path: str) -> DataFrame:
     """A raw note export as a table of text columns; the first record of each
     file is its header."""
-    records = materialize(repaired_notes(spark, path))
-    header = records.filter("record = 1").select("value").first()
+    lines = _numbered_lines(spark, path)
+    records, header = _records(lines), _records(lines.filter("record = 1")).select("value").first()
     if header is None:
         return spark.createDataFrame([], "value string").drop("value")
     names = [c.strip().strip('"') for c in header["value"].split(",")]

@@ -51,3 +51,33 @@ def test_hot_subject_latest_episode_and_notes(spark):
             assert firsts[p] == min(t for q, t, _ in inside if q == p)
         else:
             assert p not in firsts
+
+
+def test_hot_admission_is_spread_over_time_bins(spark):
+    """A third of all notes in one admission: the same rows, dealt evenly."""
+    from pyspark.sql import functions as F
+    rnd = random.Random(9)
+    base = dt.datetime(2000, 1, 1)
+    rows = [(p, p, p, base, base + dt.timedelta(days=400) if p % 4 else dt.datetime(9000, 1, 1),
+             dt.datetime(9000, 1, 1) if p % 3 else base + dt.timedelta(days=300)) for p in range(1, 40)]
+    cohort = spark.createDataFrame(rows, "pid long, hadm long, stay long, in_ts timestamp, out_ts timestamp, dod timestamp")
+    notes = [(rnd.randrange(1, 45), base + dt.timedelta(hours=rnd.randrange(-500, 12_000))) for _ in range(4000)]
+    notes += [(4, base + dt.timedelta(hours=rnd.randrange(-500, 12_000))) for _ in range(2000)]
+    nt = spark.createDataFrame([(p, p, t, i) for i, (p, t) in enumerate(notes)], "pid long, hadm long, ts timestamp, i long").repartition(6)
+    want = sorted(map(tuple, op.notes_in_episode(cohort, nt, carry="c").collect()))
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
+                                                "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = op.notes_in_episode_binned(cohort, nt, bin_hours=240, hot_rows=500, carry="c")
+        assert sorted(map(tuple, out.collect())) == want
+
+        def fullest(df):
+            sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+            return max(sizes) / len(want)
+        assert fullest(out.select("pid")) < 0.2 < fullest(op.notes_in_episode(cohort, nt).select("pid"))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -69,7 +69,7 @@ def test_word_list_and_text_sink(spark):
     out = os.path.join(d, "out")
     write_text(spark.createDataFrame([("a",), ("b",)], "value string"), out, single=True)
     assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["a", "b"]
-    assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 1
+    assert os.path.isfile(out)
 
 
 def test_normalize_quoted_text(spark):
@@ -164,3 +164,50 @@ def test_doubled_quotes_of_a_raw_field(spark, tmp_path):
     (tmp_path / "n.csv").write_text('ID,TEXT,EMPTY\n1,"he said ""stop"" now, please\nnext",""\n2,plain,x\n3,"lost\n')
     df = repair.read_repaired_notes(spark, str(tmp_path / "n.csv"))
     assert sorted(map(tuple, df.collect())) == [("1", "he said stop now; please next", None), ("2", "plain", "x")]
+
+
+def test_repair_shuffles_only_records_of_several_lines(spark, tmp_path):
+    from cohortlab.sources import repair
+    rows = [f'{i},"one line, {i}"' for i in range(300)] + [f'{i},"two\nlines, {i}"' for i in range(300, 330)]
+    (tmp_path / "n.csv").write_text("\n".join(rows) + "\n")
+    out = repair.repaired_notes(spark, str(tmp_path / "n.csv"))
+    got = {r["record"]: r["value"] for r in out.collect()}
+    assert got == {i + 1: (f'{i},"one line; {i}"' if i < 300 else f'{i},"two lines; {i}"') for i in range(330)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("collect_list") >= 1 and "ArrowEvalPython" not in plan      # the numbered lines are written
+
+
+def test_single_file_sink(spark, tmp_path):
+    import os
+
+    from cohortlab.sources.csv_io import write_text
+    target = f"{tmp_path}/deep/lines.txt"
+    for n in (100, 7):                      # an old file is replaced
+        df = spark.range(0, n, 1, 5).selectExpr("concat('line ', id) AS value")
+        write_text(df, target, single=True)
+        assert os.path.isfile(target) and os.listdir(f"{tmp_path}/deep") in (["lines.txt"], [".lines.txt.crc", "lines.txt"], ["lines.txt", ".lines.txt.crc"])
+        with open(target) as f:
+            assert f.read().splitlines() == [f"line {i}" for i in range(n)]
+    write_text(spark.range(0).selectExpr("cast(id as string) AS value"), target, single=True)
+    assert open(target).read() == ""
+
+
+def test_bucketed_joins_shuffle_nothing(spark, sf_dir):
+    from cohortlab.plans.catalog import Tables
+    from cohortlab.sources import bucketed as B
+    t = Tables(spark, sf_dir)
+    names = B.save_bucketed({n: getattr(t, n)() for n in ("subjects", "episodes", "scores", "notes")}, buckets=6)
+    s = B.load_bucketed(spark, names)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        for df in (B.baseline_features_bucketed(s["subjects"], s["episodes"], s["scores"]),
+                   B.notes_in_episode_bucketed(s["subjects"], s["episodes"], s["notes"])):
+            assert df.count() > 0
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "SortMergeJoin" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

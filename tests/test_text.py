@@ -94,3 +94,18 @@ def test_stop_words_by_join_keep_rows_order_and_repeats(spark):
     got = sorted((r["doc_id"], r["tokens"]) for r in op.tokenize(df, "text", stop).collect())
     plain = sorted((r["doc_id"], r["tokens"] or []) for r in op.tokenize(df, "text", ["alpha", "xx"]).collect())
     assert got == plain and got[0] == (1, ["gamma", "beta", "gamma"]) and len(got) == 5
+
+
+def test_stop_word_tables_of_any_size(spark, monkeypatch):
+    """The list itself, its words in use, or a join: the same tokens."""
+    from cohortlab.operators import text as T
+    docs = spark.createDataFrame([(1, "heart lungs heart kidney"), (2, ""), (3, None), (4, "lungs lungs"), (4, "lungs lungs")],
+                                 "doc_id long, text string")
+    words = spark.createDataFrame([("lungs",), ("lungs",), (None,), *((f"other{i}",) for i in range(30))], "word string")
+    want = [(1, ["heart", "heart", "kidney"]), (2, []), (3, []), (4, []), (4, [])]
+    for limit, listed in ((1000, 31), (5, 1), (0, None)):
+        monkeypatch.setattr(T, "LOOKUP_WORDS", limit)
+        raw = op.tokenize(docs, stopwords=[])
+        found = T._words_in_use(words, raw, "tokens")
+        assert (found if found is None else len(found)) == listed
+        assert sorted((r["doc_id"], r["tokens"]) for r in op.tokenize(docs, stopwords=words).collect()) == want
