@@ -21,7 +21,8 @@ occurrences, proven or not. Other runs (a licence line, a common sentence) are l
 
 Shuffles hold digests and positions, never texts. Digests are counted once per
 map slice before they are shuffled, so that a frequent passage costs one row
-per slice there; the second exchange is a join that Spark can split.
+per slice there. What is joined with them by digest or window is a written table,
+so that Spark can split a frequent one.
 
 Defined results: null and empty texts have no words and no passages; null ids
 come last; rows that share id and text are one document, so that repeated rows
@@ -253,11 +254,14 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     repeats an earlier document; start and end are UTF-8 byte positions of its
     whole chunks, first_id is the document that keeps the first of them."""
     src = docs.select(F.col(key).alias("id"), text_key(text).alias("tkey"), F.col(text).alias("text"))
-    shared = written(_chunk_rows(src).join(_repeated_digests(src), "digest", "left_semi"), "shared-chunks")
+    # the sides that are aggregates of the join key are written first: a join of two scans can split a frequent key
+    repeated = written(_repeated_digests(src), "repeated-digests")
+    shared = written(_chunk_rows(src).join(repeated, "digest", "left_semi"), "shared-chunks")
     order = F.struct(F.col("id").isNull().alias("last"), "id", "tkey", "chunk")
     firsts = (shared.groupBy("digest").agg(F.min(order).alias("f"), F.max(F.struct(F.col("id").isNull(), "id", "tkey")).alias("m"))
               .filter(~F.col("m.id").eqNullSafe(F.col("f.id")) | (F.col("m.tkey") != F.col("f.tkey")))
               .select("digest", "f"))
+    firsts = written(firsts, "first-chunks")
     again = shared.join(firsts, "digest").filter(order > F.col("f"))
     runs = written(_runs(again, min_words).withColumn(
         "run", F.xxhash64("id", F.col("id").isNull(), "tkey", "start")), "runs")
@@ -275,7 +279,8 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     texts = src.join(a, src.id.eqNullSafe(F.col("aid")) & (src.tkey == F.col("akey"))).select("id", "tkey", "text", "asks")
     windows = written(_window_rows(texts, min_words), "windows")
     document = F.struct(F.col("id").isNull().alias("last"), "id", "tkey")
-    earliest = windows.groupBy("window").agg(F.min(document).alias("e"), F.max(document).alias("m")).filter("e != m")
+    earliest = written(windows.groupBy("window").agg(F.min(document).alias("e"), F.max(document).alias("m")).filter("e != m")
+                       .select("window", "e"), "earliest-windows")
     whole = (windows.filter("run IS NOT NULL").join(earliest, "window").filter(document > F.col("e"))
              .select("run").distinct())
     kept = runs.filter("proven").unionByName(open_.join(whole, "run", "left_semi").select(*runs.columns))
