@@ -137,6 +137,51 @@ def test_language_id_held_out_accuracy(spark, sf_dir):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def naive_language_id(docs):
+    """{doc_id: (best language, its share of the text's n-grams, the second's share)} with plain sets."""
+    from collections import Counter
+
+    def found(text):
+        out, word = [], ""
+        for c in (text or "").lower() + " ":
+            if c.isalpha():
+                word += c
+            elif word:
+                w = f"_{word}_"
+                out += [w[i:i + k] for k in (3, 4) for i in range(len(w) - k + 1) if not (k == 4 and len(w) == 4)]
+                word = ""
+        return out
+    train = [(t, lang) for i, t, lang in docs if lang is not None and zlib.crc32(str(i).encode()) % 5]
+    counts = {lang: Counter() for _, lang in train}
+    for t, lang in train:
+        counts[lang].update(found(t))
+    totals = {lang: sum(c.values()) for lang, c in counts.items()}
+    share = {lang: {g: n / totals[lang] for g, n in c.items()} for lang, c in counts.items()}
+    best: dict = {}
+    for c in share.values():
+        for g, x in c.items():
+            best[g] = max(x, best.get(g, 0))
+    sets = {lang: {g for g, x in c.items() if x >= 2e-5 and x >= 0.05 * best[g]} for lang, c in share.items()}
+    out = {}
+    for i, t, _ in docs:
+        g = found(t)
+        hits = sorted(((sum(x in s for x in g) / len(g), lang) for lang, s in sets.items()), reverse=True) if g else []
+        out[i] = (hits[0][1], hits[0][0], hits[1][0]) if g else ("und", 0.0, -1.0)
+    return out
+
+
+def test_language_id_equals_plain_sets(spark, sf_dir):
+    """The filters against exact sets of the same n-grams: the same language
+    wherever the two best are apart, the same score up to the false positives."""
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    want = naive_language_id(docs)
+    got = {r.doc_id: r for r in QUERIES["op3_language_id"](spark, sf_dir).collect()}
+    assert set(got) == set(want)
+    apart = [i for i, w in want.items() if w[1] - w[2] > 0.02]
+    assert len(apart) > 0.9 * len(want) and all(got[i].lang_pred == want[i][0] for i in apart)
+    assert sorted(abs(got[i].score - want[i][1]) for i in want)[int(0.95 * len(want))] < 0.02
+
+
 def test_language_id_odd_rows(make_docs, spark):
     rows = [(i, "the cat and the dog went home", "en") for i in range(30)] + \
            [(100 + i, "der hund und die katze gehen heim", "de") for i in range(30)]
