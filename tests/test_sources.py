@@ -211,3 +211,14 @@ def test_bucketed_joins_shuffle_nothing(spark, sf_dir):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_flags_from_long_sends_one_row_an_admission(spark):
+    from cohortlab.sources.loaders import flags_from_long
+    long = spark.createDataFrame([(1, 10, i, None if i == 2 else i % 2) for i in range(4)] + [(1, 11, 9, 1), (2, 12, 0, 1)],
+                                 "pid long, hadm long, flag_no int, flag int")
+    wide = flags_from_long(long, n_flags=4)
+    rows = {r["hadm"]: (r["pid"], r["f0"], r["f1"], r["f2"], r["f3"]) for r in wide.collect()}
+    assert rows == {10: (1, 0, 1, None, 1), 11: (1, None, None, None, None), 12: (2, 1, None, None, None)}
+    plan = wide._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate(") == 2 and "pivotfirst" not in plan.lower()      # partial and final
