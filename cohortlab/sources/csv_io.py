@@ -37,10 +37,14 @@ def read_csv_table(spark: SparkSession, path: str, name: str | None = None, *,
     return df
 
 
-def write_csv_table(df: DataFrame, path: str) -> None:
-    """Partitioned CSV with header (the counterpart of ``read_csv_table``)."""
-    (df.write.mode("overwrite").option("header", True).option("escape", '"')
-       .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+def write_csv_table(df: DataFrame, path: str, *, compression: str = "none", rows_per_file: int = 0) -> None:
+    """Partitioned CSV with header (the counterpart of ``read_csv_table``).
+
+    Big texts are better written with a ``compression`` (``read_csv_table`` knows
+    it by the file names) and, as a compressed or multi-line file is read by one
+    task, with at most ``rows_per_file`` rows in a file."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("compression", compression)
+       .option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", int(rows_per_file)).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
 
 
 def write_text(df: DataFrame, path: str, single: bool = False) -> None:

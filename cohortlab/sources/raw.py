@@ -20,6 +20,8 @@ from .repair import read_repaired_notes
 # Export file names of the five tables (fixed values).
 RAW_FILES = {"subjects": "PATIENTS.csv", "notes": "NOTEEVENTS.csv", "flags": "EHCOMORBIDITIES.csv",
              "episodes": "ICUSTAYS.csv", "scores": "SAPSII.csv"}
+# Rows of a file of an exported table: a few dozen to a few hundred MB of notes for a task that reads it.
+ROWS_PER_FILE = 50_000
 
 
 def load_raw_tables(spark: SparkSession, data_dir: str, *, repair_notes: bool = True) -> dict[str, DataFrame]:
@@ -48,11 +50,13 @@ def raw_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def export_raw_csv(spark: SparkSession, sf_dir: str, out_dir: str,
-                   only: tuple[str, ...] | None = None) -> dict[str, str]:
+                   only: tuple[str, ...] | None = None, compression: str = "none") -> dict[str, str]:
     """Write the fixture tables of ``sf_dir`` in the raw export layout (text
     columns, empty for missing values) under ``out_dir``; returns the paths.
     ``only`` limits the export to some of the five tables. Used to run the
-    whole study from CSV files in tests and demos."""
+    whole study from CSV files in tests and demos. With a ``compression`` the
+    files are what an archive of the export holds (``.csv.gz``): every note has
+    its whole text, which takes many times the tables' own room as plain text."""
     from ..constants import FLAG_NAMES, SCORE_FIELDS
     o = out_dir.rstrip("/")
     txt = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -82,5 +86,5 @@ def export_raw_csv(spark: SparkSession, sf_dir: str, out_dir: str,
         if only is not None and key not in only:
             continue
         paths[key] = f"{o}/{RAW_FILES[key]}"
-        write_csv_table(df, paths[key])
+        write_csv_table(df, paths[key], compression=compression, rows_per_file=ROWS_PER_FILE)
     return paths

@@ -222,3 +222,29 @@ def test_flags_from_long_sends_one_row_an_admission(spark):
     assert rows == {10: (1, 0, 1, None, 1), 11: (1, None, None, None, None), 12: (2, 1, None, None, None)}
     plan = wide._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("HashAggregate(") == 2 and "pivotfirst" not in plan.lower()      # partial and final
+
+
+def test_compressed_export_holds_the_same_notes(spark, sf_dir):
+    import glob
+    import os
+    from cohortlab.sources import raw
+    from cohortlab.sources.csv_io import read_csv_table
+    sizes, frames = [], []
+    for codec, ending in (("none", "csv"), ("gzip", "csv.gz")):
+        path = raw.export_raw_csv(spark, sf_dir, tempfile.mkdtemp(prefix="cohortlab-raw-"), only=("notes",), compression=codec)["notes"]
+        files = glob.glob(f"{path}/part-*")
+        assert files and all(f.endswith(ending) for f in files)
+        sizes.append(sum(map(os.path.getsize, files)))
+        frames.append(read_csv_table(spark, path, "NOTES", multi_line=True))
+    a, b = frames
+    assert a.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert sizes[1] * 2 < sizes[0]
+
+
+def test_csv_files_hold_few_rows(spark):
+    import glob
+    from cohortlab.sources.csv_io import read_csv_table, write_csv_table
+    path = tempfile.mkdtemp(prefix="cohortlab-csv-") + "/T.csv"
+    write_csv_table(spark.range(25).coalesce(1), path, compression="gzip", rows_per_file=10)
+    assert len(glob.glob(f"{path}/part-*.csv.gz")) == 3
+    assert sorted(int(r["id"]) for r in read_csv_table(spark, path).collect()) == list(range(25))
