@@ -40,6 +40,26 @@ def test_topic_mixtures_sum_to_one(spark):
     assert len(terms) == 6 and {r["term"] for r in terms} <= {"heart", "lung", "renal", "sepsis", "fever"}
 
 
+def test_topic_features_count_their_notes_once(spark, monkeypatch):
+    """Fit and mixtures use one table of vectors, made with one shuffle of whole token lists."""
+    tok = spark.createDataFrame([(p, ["heart", "lung", "renal", "heart"] if p % 2 else ["sepsis", "renal"]) for p in range(20)],
+                                "pid long, tokens array<string>").repartition(3)
+    made, real = [], M.with_sparse_vectors
+
+    def vectors(df, *a, **kw):
+        made.append(df._jdf.queryExecution().sparkPlan().toString())
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *a, **kw)
+
+    plans = []
+    monkeypatch.setattr(M, "with_sparse_vectors", vectors)
+    feats, model = M.topic_features(tok, k=2, iterations=2, seed=1)
+    assert feats.count() == 20 and len(made) == 1
+    assert plans[0].count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(_doc" in plans[0]
+    M.topic_features(tok, model=model)
+    assert len(made) == 2
+
+
 def test_cv_grid_rows_and_best(spark):
     pts = _points(spark, 80)
     out, best = M.cv_grid(pts, {"intercept": [True], "iterations": [3, 5], "reg": [0.01]}, 2, seed=1)
