@@ -174,3 +174,53 @@ def test_fitted_experiments_run(spark, sf_dir):
     assert len(hourly) == 22 and sum(r["split"] == "train" for r in hourly) == 1
     derived = q["derived_model"](spark, sf_dir).collect()
     assert sorted(r["split"] for r in derived) == ["test", "train"]
+
+
+def test_texts_are_attached_to_in_episode_notes_only(spark, sf_dir):
+    from cohortlab.plans.catalog import Tables
+    from cohortlab.plans.study import build_inputs
+    from cohortlab.sources import fixtures as fx
+    t = Tables(spark, sf_dir)
+    seen = []
+
+    def attach(notes):
+        seen.append(notes.count())
+        return fx.attach_text(spark, sf_dir, notes)
+
+    late = build_inputs(spark, t.subjects(), t.episodes(), t.notes(with_text=False), t.scores(), t.flags(), seed=3, attach=attach)[0]
+    early = _inputs(spark, sf_dir)[0]
+    assert 0 < seen[0] < t.notes(with_text=False).count()
+    for name in ("tokens", "cohort", "labels", "train", "test"):
+        a, b = getattr(late, name), getattr(early, name)
+        b = b.select(*a.columns)
+        assert a.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_few_large_topic_models_at_once(spark, sf_dir, monkeypatch):
+    """Fits of large vocabularies run one by one, and no vectors or counts are left on disk."""
+    import os
+    import threading
+    import time
+    from cohortlab import session
+    from cohortlab.plans import study
+    assert study.fits_at_once(5, 1000, 4) == 4 and study.fits_at_once(5, 600_000, 4) == 2 and study.fits_at_once(50, 10**7, 4) == 1
+    monkeypatch.setattr(study, "FIT_VALUES", 1)
+    lock, now, most, real = threading.Lock(), [0], [0], study.fit_lda
+
+    def lda(vectors, k, iterations, **kw):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(0.5)
+        try:
+            return real(vectors, 2, 2, **kw)
+        finally:
+            with lock:
+                now[0] -= 1
+
+    monkeypatch.setattr(study, "fit_lda", lda)
+    before = set(session._SCRATCH)
+    cfg = study.StudyConfig(svm_iterations=2, topic_hours=range(2400, 4801, 1200), parallelism=3)
+    assert study.hourly_topic_model(_inputs(spark, sf_dir)[0], cfg).count() == 6
+    assert most[0] == 1
+    assert not [p for p in set(session._SCRATCH) - before if os.path.exists(p)]
