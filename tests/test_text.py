@@ -109,3 +109,13 @@ def test_stop_word_tables_of_any_size(spark, monkeypatch):
         found = T._words_in_use(words, raw, "tokens")
         assert (found if found is None else len(found)) == listed
         assert sorted((r["doc_id"], r["tokens"]) for r in op.tokenize(docs, stopwords=words).collect()) == want
+
+
+def test_without_words_looks_lost_terms_up(spark):
+    """Repeats, order, empty rows and rows that lose nothing; no comparison of every token with every lost one."""
+    from cohortlab.operators.text import _without_words
+    rows = [(1, ["a", "b", "a", "c", "b"]), (2, ["c", "d"]), (3, []), (4, ["b"]), (5, None)]
+    df = spark.createDataFrame(rows, "id long, raw array<string>")
+    out = _without_words(df, "raw", "kept", spark.createDataFrame([("b",), ("a",), (None,), ("x",)], "w string"))
+    assert {r["id"]: r["kept"] for r in out.collect()} == {1: ["c"], 2: ["c", "d"], 3: [], 4: [], 5: None}
+    assert "array_contains" not in out._jdf.queryExecution().optimizedPlan().toString()
