@@ -119,3 +119,20 @@ def test_without_words_looks_lost_terms_up(spark):
     out = _without_words(df, "raw", "kept", spark.createDataFrame([("b",), ("a",), (None,), ("x",)], "w string"))
     assert {r["id"]: r["kept"] for r in out.collect()} == {1: ["c"], 2: ["c", "d"], 3: [], 4: [], 5: None}
     assert "array_contains" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_word_tokens_are_the_passes_in_order(spark):
+    """One split against the passes of the study, on characters that meet in odd ways; texts are not replaced twice."""
+    import random
+
+    from cohortlab.functions import textcols as tc
+    rnd = random.Random(7)
+    odd = [*"abcXYZkK019_|. -/'^`:\t\n\x0b\f\r\x00\x1c\x7f{}~[]\\@\x85\xa0éÉßΣσςΑΩİıÅ−–“年дЖ²½ǅⅠⒶ", "K", "\U0001d400", "\U00010400", "abcd", "Wort"]
+    texts = ["".join(rnd.choice(odd) for _ in range(rnd.randrange(40))) for _ in range(3000)]
+    texts += ["".join(rnd.choice("abK1._ -'|") for _ in range(30)) for _ in range(1000)]
+    texts += ["".join(rnd.choice("abΣςΑß1._ -'K") for _ in range(30)) for _ in range(1000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "", None]], "text string").repartition(4)
+    new, passes = tc.word_tokens("text"), F.filter(tc.raw_tokens("text"), tc.keep_token)
+    assert df.filter(~new.eqNullSafe(passes)).count() == 0
+    assert df.select(F.sum(F.size(new))).first()[0] > 1000
+    assert r"\w*\d\w*" not in df.select(new)._jdf.queryExecution().optimizedPlan().toString()
