@@ -86,3 +86,33 @@ def test_topic_vectors_count_known_terms(spark):
     got = sorted((r["pid"], tuple(r["_tf"].indices.tolist()), tuple(r["_tf"].values.tolist()), r["_tf"].size)
                  for r in model.vectors(tok).collect())
     assert got == [(1, (0, 1), (2.0, 1.0), 3), (1, (2,), (1.0,), 3)]
+
+
+def test_cv_grid_equals_the_cross_validator(spark):
+    """Fits that are shared between iterations against Spark ML's CrossValidator, which makes each."""
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    pts = _points(spark, 90)
+    grid = {"intercept": [False, True], "iterations": [2, 30, 40], "reg": [0.1]}
+    got = [r["mean_auc"] for r in M.cv_grid(pts, grid, 2, seed=1, parallelism=2)[0].orderBy("grid_point").collect()]
+    svc = LinearSVC(standardization=False)
+    maps = (ParamGridBuilder().addGrid(svc.fitIntercept, grid["intercept"]).addGrid(svc.maxIter, grid["iterations"])
+            .addGrid(svc.regParam, grid["reg"]).build())
+    cv = CrossValidator(estimator=svc, estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(numBins=0), foldCol="fold", numFolds=2)
+    want = cv.fit(M.fold_assignment(pts, 2, 1, key="pid")).avgMetrics
+    assert len(got) == 6 and all(abs(a - b) < 1e-12 for a, b in zip(got, want))
+
+
+def test_cv_grid_query_searches_the_whole_grid(spark, monkeypatch):
+    import __spark_entry__ as E
+    from cohortlab.constants import DERIVED_GRID
+    seen, real = [], M.cv_grid
+
+    def grid(points, grid, *a, **kw):
+        seen.append(grid)
+        return real(points, {"intercept": [True], "iterations": [2], "reg": [0.1]}, *a, **kw)
+
+    monkeypatch.setattr(M, "cv_grid", grid)
+    E.queries()["cv_grid"](spark, "/root/testdata/sf0.01").count()
+    assert seen == [DERIVED_GRID]
