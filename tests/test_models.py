@@ -116,3 +116,16 @@ def test_cv_grid_query_searches_the_whole_grid(spark, monkeypatch):
     monkeypatch.setattr(M, "cv_grid", grid)
     E.queries()["cv_grid"](spark, "/root/testdata/sf0.01").count()
     assert seen == [DERIVED_GRID]
+
+
+def test_topic_features_query_fits_the_study_s_topics(spark, monkeypatch):
+    import __spark_entry__ as E
+    seen, real = [], M.topic_features
+
+    def features(tok, k, iterations, **kw):
+        seen.append((k, iterations))
+        return real(tok, 2, 2, **kw)
+
+    monkeypatch.setattr(M, "topic_features", features)
+    E.queries()["topic_features"](spark, "/root/testdata/sf0.01").count()
+    assert seen == [(50, 50)]
