@@ -48,7 +48,7 @@ def test_spread_fit_equals_the_fit_in_one_task(spark, monkeypatch):
     one, spread = tp.fit_online(docs, 3, 6, seed=4), tp.fit_online(docs, 3, 6, seed=4, local_values=0)
     assert np.allclose(one.weights.total, spread.weights.total) and np.allclose(one.weights.alpha, spread.weights.alpha)
     # what the iterations keep is the whole of the topics: first weights and what documents added
-    rows = {int(t): v for r in spread.added.collect() for t, v in zip(np.frombuffer(r["terms"], "<i4"), np.frombuffer(r["vals"], "<f8").reshape(-1, 3))}
+    rows = {int(t): v for r in spread.added.collect() for t, v in zip(np.frombuffer(r["terms"], "<i4"), np.frombuffer(r["vals"], "<f4").reshape(-1, 3))}
     whole = spread.weights.base(np.arange(60))
     for t, v in rows.items():
         whole[t] += v
